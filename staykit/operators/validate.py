@@ -78,8 +78,14 @@ def rejected(marked: DataFrame) -> DataFrame:
 
 
 def reason_counts(marked: DataFrame) -> DataFrame:
-    """``reason, count`` over rejected rows (a row counts once per reason)."""
-    return (rejected(marked)
+    """``reason, count`` over rejected rows (a row counts once per reason).
+
+    Valid rows carry an empty list, so exploding every row and dropping the
+    empty item counts rejected rows only. Filtering on ``is_valid`` first
+    would be pushed below the projection and evaluate every rule twice.
+    """
+    return (marked
             .select(F.explode(F.split(F.col("reasons"), REASON_SEP)).alias("reason"))
+            .filter(F.col("reason") != "")
             .groupBy("reason").count()
             .orderBy(F.col("count").desc(), F.col("reason")))

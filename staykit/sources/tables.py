@@ -5,9 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least as many tasks as the cluster has cores.
+
+    Decided at plan time from the file splits (no job runs): a table read
+    from many files or row groups already has enough splits and is returned
+    unchanged, so this never adds a shuffle at scale. A small table stored
+    as one row group would otherwise run every downstream narrow step in a
+    single task; it is round-robin spread instead. Column pruning and
+    filters still reach the scan below the exchange.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a session without RDD access
+        return df
+    return df if have >= target else df.repartition(target)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
     """One driver table; the scan stays lazy so pruning and pushdown apply."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if parallel else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
