@@ -8,12 +8,12 @@ there is no join, no broadcast of rows and no driver round trip; scalar
 aggregates over the same frame are merged into one job by the optimizer.
 
 Scale notes: ``mean`` and ``zero`` are constant-size. ``median`` is exact
-(same as ``percentile(x, 0.5)``): partial buffers hold one entry per
-*distinct* value, so it suits columns of bounded cardinality (counts,
-scores, prices in cents); ``median_approx`` uses ``percentile_approx``
-(bounded sketch) for anything else. ``mode`` counts values with a hash
-aggregate (partial counts combined map-side, so one hot value is cheap)
-and keeps the top one by a distributed ``TakeOrderedAndProject``.
+(equal to ``percentile(x, 0.5)``) but computed by the bounded multi-pass
+selection of :mod:`.quantiles`, so no task holds the column's distinct
+values; ``median_approx`` is one ``percentile_approx`` pass. ``mode``
+counts values with a hash aggregate (partial counts combined map-side, so
+one hot value is cheap) and keeps the top one by a distributed
+``TakeOrderedAndProject``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MISSING_CATEGORY, is_floating, is_missing, is_present
+from .quantiles import exact_median
 
 FLAG_SUFFIX = "_imputed"
 
@@ -44,7 +45,7 @@ def fill_value(df: DataFrame, c: str, method: str, approx_accuracy: int = 10000)
     if method == "mean":
         return present.select(F.avg(c)).scalar()
     if method == "median":
-        return present.select(F.median(c)).scalar()
+        return exact_median(df, c)
     if method == "median_approx":
         return present.select(F.percentile_approx(c, 0.5, approx_accuracy)).scalar()
     if method == "mode":

@@ -8,10 +8,10 @@ map-side partial counts, so a value held by a third of all rows costs one
 partial row per task, not a hot reducer.
 
 Scale notes: ``approx`` quantiles (``percentile_approx``) and distinct
-counts (HyperLogLog++) have fixed-size buffers and are the defaults for big
-tables. ``exact=True`` switches to ``percentile`` and ``count(distinct)``,
-whose buffers grow with the number of distinct values; exact distinct over
-many columns also multiplies the shuffled rows by the number of columns.
+counts (HyperLogLog++) have fixed-size buffers and need one pass.
+``exact=True`` computes quantiles with the bounded multi-pass algorithm of
+:mod:`.quantiles` and distinct counts with a stacked distributed dedupe;
+neither ever holds a whole column's distinct values in one task.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql.types import (
 )
 
 from ..functions.text import is_floating, is_missing, is_present
+from .quantiles import exact_quantile_columns
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -116,9 +117,7 @@ def describe_long(df: DataFrame, columns: list[str] | None = None,
     return df.agg(*aggs).select(F.inline(F.array(*structs)))
 
 
-def _quantiles(v: Column, exact: bool, accuracy: int) -> Column:
-    if exact:
-        return F.percentile(v, F.array(*[F.lit(q) for q in QUARTILES]))
+def _approx_quartiles(v: Column, accuracy: int) -> Column:
     return F.percentile_approx(v, QUARTILES, accuracy).cast("array<double>")
 
 
@@ -127,16 +126,20 @@ def summary_long(df: DataFrame, columns: list[str] | None = None, exact: bool =
     """``summary()`` as typed rows: describe plus quartiles and IQR (numeric columns).
 
     ``column_name, count, mean, stddev, min, max, p25, p50, p75, iqr``.
-    Quartiles are ``percentile_approx`` unless ``exact`` (linear interpolation,
-    as ``percentile``).
+    Quartiles are ``percentile_approx`` in the same pass, or with ``exact``
+    the bounded exact quantiles of :mod:`.quantiles` (equal to
+    ``percentile``), joined on the column name.
     """
     cols = [c for c in (columns or df.columns) if _numeric(df, c)]
     aggs, structs = [], []
     for i, c in enumerate(cols):
         v = _value(df, c).cast("double")
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mu{i}"), F.stddev_samp(v).alias(f"sd{i}"),
-                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"), _quantiles(v, exact, accuracy).alias(f"q{i}")]
+                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+        if not exact:
+            aggs.append(_approx_quartiles(v, accuracy).alias(f"q{i}"))
         q = F.col(f"q{i}")
+        none_d = F.lit(None).cast("double")
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
             F.col(f"n{i}").alias("count"),
@@ -144,12 +147,26 @@ def summary_long(df: DataFrame, columns: list[str] | None = None, exact: bool =
             _round(F.col(f"sd{i}"), digits).alias("stddev"),
             F.col(f"lo{i}").alias("min"),
             F.col(f"hi{i}").alias("max"),
-            _round(q[0], digits).alias("p25"),
-            _round(q[1], digits).alias("p50"),
-            _round(q[2], digits).alias("p75"),
-            _round(q[2] - q[0], digits).alias("iqr"),
+            (none_d if exact else q[0]).alias("p25"),
+            (none_d if exact else q[1]).alias("p50"),
+            (none_d if exact else q[2]).alias("p75"),
         ))
-    return df.agg(*aggs).select(F.inline(F.array(*structs)))
+    stats = df.agg(*aggs).select(F.inline(F.array(*structs)))
+    if exact:
+        stats = _with_exact_quartiles(stats, df, cols)
+    return stats.select(
+        "column_name", "count", "mean", "stddev", "min", "max",
+        *[_round(F.col(n), digits).alias(n) for n in ("p25", "p50", "p75")],
+        _round(F.col("p75") - F.col("p25"), digits).alias("iqr"))
+
+
+def _with_exact_quartiles(stats: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
+    """Replace the quartile placeholders by exact values (one row per column
+    on both sides of the join)."""
+    names = ["p25", "p50", "p75"]
+    q = exact_quantile_columns(df, cols, QUARTILES, [f"_{n}" for n in names])
+    out = stats.join(q, "column_name", "left")
+    return out.select(*[F.col(f"_{c}").alias(c) if c in names else F.col(c) for c in stats.columns])
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -209,8 +226,10 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
             vd = v.cast("double")
             aggs += [F.count_if(vd == 0).alias(f"z{i}"), F.avg(vd).alias(f"mu{i}"),
                      F.stddev_samp(vd).alias(f"sd{i}"), F.min(vd).alias(f"lo{i}"),
-                     F.max(vd).alias(f"hi{i}"), _quantiles(vd, exact, accuracy).alias(f"q{i}")]
-        q = F.col(f"q{i}") if num else None
+                     F.max(vd).alias(f"hi{i}")]
+            if not exact:
+                aggs.append(_approx_quartiles(vd, accuracy).alias(f"q{i}"))
+        q = F.col(f"q{i}") if num and not exact else None
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
             F.lit(dtype.simpleString()).alias("data_type"),
@@ -223,14 +242,18 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
             (_round(F.col(f"sd{i}"), digits) if num else none_d).alias("stddev"),
             (F.col(f"lo{i}") if num else none_d).alias("min"),
             (F.col(f"hi{i}") if num else none_d).alias("max"),
-            (_round(q[0], digits) if num else none_d).alias("p25"),
-            (_round(q[1], digits) if num else none_d).alias("p50"),
-            (_round(q[2], digits) if num else none_d).alias("p75"),
+            (_round(q[0], digits) if q is not None else none_d).alias("p25"),
+            (_round(q[1], digits) if q is not None else none_d).alias("p50"),
+            (_round(q[2], digits) if q is not None else none_d).alias("p75"),
         ))
     stats = df.agg(*aggs).select(F.inline(F.array(*structs)))
     if not exact:
         return stats
     names = stats.columns
+    numeric = [c for c in cols if _numeric(df, c)]
+    if numeric:
+        stats = _with_exact_quartiles(stats, df, numeric).withColumns(
+            {n: _round(F.col(n), digits) for n in ("p25", "p50", "p75")})
     counts = distinct_counts(df, cols).withColumnRenamed("distinct_count", "_dc")
     return (stats.join(counts, "column_name", "left")
             .withColumn("distinct_count", F.coalesce(F.col("_dc"), F.lit(0).cast("long")))
