@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MISSING_CATEGORY, is_floating, is_missing, is_present
-from .quantiles import exact_median
+from .quantiles import exact_quantiles
 
 FLAG_SUFFIX = "_imputed"
 
@@ -39,17 +39,26 @@ def _clean(df: DataFrame, c: str) -> Column:
     return col
 
 
-def fill_value(df: DataFrame, c: str, method: str, approx_accuracy: int = 10000) -> Column:
+def _numeric_value(df: DataFrame, c: str) -> Column:
+    """Value with NaN read as null; aggregates skip both. No row filter, so
+    the scalar aggregates of several columns share one plan and Spark merges
+    them into a single job."""
+    return _clean(df, c)
+
+
+def fill_value(df: DataFrame, c: str, method: str, approx_accuracy: int = 10000,
+               medians: DataFrame | None = None) -> Column:
     """Fill value for one column as a scalar-subquery Column."""
-    present = df.filter(is_present(c, df.schema[c].dataType))
     if method == "mean":
-        return present.select(F.avg(c)).scalar()
+        return df.select(F.avg(_numeric_value(df, c))).scalar()
     if method == "median":
-        return exact_median(df, c)
+        q = medians if medians is not None else exact_quantiles(df, [c], [0.5])
+        return q.filter(F.col("column_name") == c).select("value").scalar()
     if method == "median_approx":
-        return present.select(F.percentile_approx(c, 0.5, approx_accuracy)).scalar()
+        return df.select(F.percentile_approx(_numeric_value(df, c), 0.5, approx_accuracy)).scalar()
     if method == "mode":
         # most frequent value, lowest value on ties
+        present = df.filter(is_present(c, df.schema[c].dataType))
         top = (present.groupBy(c).count()
                .orderBy(F.col("count").desc(), F.col(c).asc()).limit(1))
         return top.select(c).scalar()
@@ -66,6 +75,8 @@ def impute(df: DataFrame, columns: list[str], method: str = "mean",
     """
     new: dict[str, Column] = {}
     flags: dict[str, Column] = {}
+    # one exact-median plan for all columns; each column's subquery reads it
+    medians = exact_quantiles(df, columns, [0.5]) if method == "median" else None
     for c in columns:
         dtype = df.schema[c].dataType
         if method == "zero":
@@ -75,7 +86,7 @@ def impute(df: DataFrame, columns: list[str], method: str = "mean",
         elif method == "category":
             fill = F.lit(MISSING_CATEGORY if value is None else value).cast(dtype)
         else:
-            fill = fill_value(df, c, method)
+            fill = fill_value(df, c, method, medians=medians)
         new[c] = F.coalesce(_clean(df, c), fill)
         if flag:
             flags[c + FLAG_SUFFIX] = _missing(df, c)

@@ -165,7 +165,8 @@ def _with_exact_quartiles(stats: DataFrame, df: DataFrame, cols: list[str]) -> D
     on both sides of the join)."""
     names = ["p25", "p50", "p75"]
     q = exact_quantile_columns(df, cols, QUARTILES, [f"_{n}" for n in names])
-    out = stats.join(q, "column_name", "left")
+    # both sides hold one row per column: a broadcast of proven size
+    out = stats.join(F.broadcast(q), "column_name", "left")
     return out.select(*[F.col(f"_{c}").alias(c) if c in names else F.col(c) for c in stats.columns])
 
 
@@ -255,7 +256,7 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
         stats = _with_exact_quartiles(stats, df, numeric).withColumns(
             {n: _round(F.col(n), digits) for n in ("p25", "p50", "p75")})
     counts = distinct_counts(df, cols).withColumnRenamed("distinct_count", "_dc")
-    return (stats.join(counts, "column_name", "left")
+    return (stats.join(F.broadcast(counts), "column_name", "left")  # one row per column
             .withColumn("distinct_count", F.coalesce(F.col("_dc"), F.lit(0).cast("long")))
             .select(*names))
 
