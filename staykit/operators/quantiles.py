@@ -9,13 +9,15 @@ numbers (linear interpolation between the values at ranks ``floor`` and
    sketch, a value bracket ``[lo, hi]`` around each target rank (rank error
    of the sketch is at most ``n / accuracy``; the bracket is ``margin``
    times wider);
-2. per column and quantile: how many values fall below the bracket;
-3. the distinct values inside each bracket with their counts (a hash
-   aggregate, so a value held by a third of all rows is one row), ordered
-   per bracket to find the two values around the target rank.
+2. one hash aggregate over all values: a value inside a bracket keeps its
+   own key, values between brackets collapse into one "gap" count per
+   bracket (so a value held by a third of all rows is one row per task);
+3. per column, the aggregated rows in value order with cumulative counts
+   give every row's exact rank span; the rows holding ``floor`` and
+   ``ceil`` of each target rank are picked.
 
 Step 3 holds at most about ``2 * margin * n / accuracy`` distinct values
-per (column, quantile), not the whole column (columns with fewer than
+per quantile of a column, not the whole column (columns with fewer than
 ``2 * accuracy`` values skip the sketch and select among all of them). If the sketch's bracket ever
 missed the target rank, the result raises an error instead of returning a
 wrong value.
@@ -70,45 +72,48 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
             F.when(whole, -inf).otherwise(F.col("b")[i]).alias(f"lo{i}"),
             F.when(whole, inf).otherwise(F.col("b")[k + i]).alias(f"hi{i}"))
     ])
-    # pass 2: each value is tagged per quantile as below its bracket, inside
-    # it (kept with its value), or above (dropped); one aggregate counts both
-    # kinds. Rows below collapse into one partial row per task and quantile.
+    # pass 2: one aggregate, no copy per quantile. A value inside some
+    # bracket keeps its own key; a value outside every bracket is counted in
+    # a "gap" row keyed by the next bracket's lower end (sorted just before
+    # it); values above the top bracket are never needed and are dropped.
     v = F.col("v")
-    tags = F.filter(F.array(*[
-        F.struct(F.lit(p).alias("p"), (v < F.col(f"lo{i}")).alias("below"),
-                 F.when((v >= F.col(f"lo{i}")) & (v <= F.col(f"hi{i}")), v).alias("key"))
-        for i, p in enumerate(probs)
-    ]), lambda t: t["below"] | t["key"].isNotNull())
-    counted = (stacked.join(F.broadcast(bounds), "column_name")
-               .select("column_name", F.inline(tags))
-               .groupBy("column_name", "p", "below", "key")
-               .agg(F.count(F.lit(1)).alias("cnt")))
-    below = (counted.filter(F.col("below"))
-             .select("column_name", "p", F.col("cnt").alias("below")))
-    cand = counted.filter(~F.col("below")).select("column_name", "p", F.col("key").alias("v"), "cnt")
-    # pass 3 (small): order each bracket's candidates, find the two ranks
-    w = (Window.partitionBy("column_name", "p").orderBy("v")
+    inside = F.lit(False)
+    for i in range(k):
+        inside = inside | ((v >= F.col(f"lo{i}")) & (v <= F.col(f"hi{i}")))
+    next_lo = F.least(*[F.when(F.col(f"lo{i}") > v, F.col(f"lo{i}")) for i in range(k)]) \
+        if k > 1 else F.when(F.col("lo0") > v, F.col("lo0"))
+    keyed = (stacked.join(F.broadcast(bounds), "column_name")
+             .select("column_name",
+                     F.when(inside, v).otherwise(next_lo).alias("key"),
+                     (~inside).alias("gap"))
+             .filter(F.col("key").isNotNull())
+             .groupBy("column_name", "key", "gap").agg(F.count(F.lit(1)).alias("cnt")))
+    # pass 3 (small): cumulative counts per column give each row's exact
+    # rank span; pick the rows holding the two target ranks of each quantile
+    w = (Window.partitionBy("column_name").orderBy(F.col("key"), F.col("gap").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    per_target = (stats.select("column_name", "n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-                  .join(below, ["column_name", "p"], "left")
-                  .select("column_name", "p", "n", F.coalesce("below", F.lit(0).cast("long")).alias("below")))
-    ranked = (cand.withColumn("cum_end", F.sum("cnt").over(w))
-              .join(F.broadcast(per_target), ["column_name", "p"]))
-    pos = F.col("p") * (F.col("n") - 1)
-    lower, higher = F.floor(pos), F.ceil(pos)
-    # rank of a candidate's last copy, counted from the column's smallest value
-    end = F.col("below") + F.col("cum_end")
-    picked = (ranked.groupBy("column_name", "p")
-              .agg(F.first("n").alias("n"), F.first("below").alias("below"),
-                   F.max(end).alias("covered"),
-                   F.min(F.when(end > lower, F.col("v"))).alias("v_lo"),
-                   F.min(F.when(end > higher, F.col("v"))).alias("v_hi")))
-    ok = (F.col("below") <= lower) & (F.col("covered") > higher)
-    interp = F.when(lower == higher, F.col("v_lo")).otherwise(
-        (higher - pos) * F.col("v_lo") + (pos - lower) * F.col("v_hi"))
-    value = F.when(ok, interp).otherwise(
-        F.raise_error(F.lit("quantile bracket missed the target rank; raise accuracy")).cast("double"))
-    return picked.select("column_name", "p", value.alias("value"))
+    ranked = (keyed.withColumn("end", F.sum("cnt").over(w))
+              .join(F.broadcast(stats.select("column_name", "n")), "column_name"))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("n") - 1)
+        for tag, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            # the first row whose span passes the rank: (end, gap, key)
+            hit = F.when(F.col("end") > rank, F.struct(F.col("end"), F.col("gap"), F.col("key")))
+            aggs.append(F.min(hit).alias(f"{tag}{i}"))
+    picked = ranked.groupBy("column_name").agg(F.first("n").alias("n"), *aggs)
+    rows = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("n") - 1)
+        lower, higher = F.floor(pos), F.ceil(pos)
+        a, b = F.col(f"lo{i}"), F.col(f"hi{i}")
+        ok = a.isNotNull() & b.isNotNull() & ~a["gap"] & ~b["gap"]
+        interp = F.when(lower == higher, a["key"]).otherwise(
+            (higher - pos) * a["key"] + (pos - lower) * b["key"])
+        value = F.when(ok, interp).otherwise(
+            F.raise_error(F.lit("quantile bracket missed the target rank; raise accuracy")).cast("double"))
+        rows.append(F.struct(F.lit(p).alias("p"), value.alias("value")))
+    return picked.select("column_name", F.inline(F.array(*rows)))
 
 
 def exact_quantile_columns(df: DataFrame, columns: list[str], probs: list[float],

@@ -8,6 +8,8 @@ survives executor loss without leaving partial rows behind.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,9 +60,20 @@ def append_by_name(df: DataFrame, name: str) -> None:
 
 def overwrite_table(df: DataFrame, name: str, location: str | None = None,
                     fmt: str = "parquet") -> None:
-    """Replace a table's rows *and* schema. The frame must not read the table
-    it overwrites (Spark refuses; stage through another table first)."""
-    w = df.write.mode("overwrite").format(fmt)
-    if location:
-        w = w.option("path", location)
-    w.saveAsTable(name)
+    """Replace a table's rows *and* schema.
+
+    With a ``location`` the new rows go to a fresh version folder under it,
+    and only after that write has committed is the catalog entry pointed at
+    the new folder (the old entry is external, so dropping it keeps its
+    files). A job that fails midway leaves the previous version readable,
+    and the frame may read the very table it replaces. Without a location
+    this is Spark's managed ``saveAsTable`` overwrite.
+    """
+    spark = df.sparkSession
+    if not location:
+        df.write.mode("overwrite").format(fmt).saveAsTable(name)
+        return
+    version = f"{location.rstrip('/')}/v_{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).save(version)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{version}'")

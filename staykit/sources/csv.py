@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import PANDAS_NA_TOKENS, is_floating, nan_to_null, null_tokens
+from .tables import spread
 
 # The reference's CSV dialect (comma, double quote).
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
@@ -65,7 +66,8 @@ def read_csv_contract(
     raw = (spark.read.schema(text_schema(header)).option("header", True)
            .option("enforceSchema", False)          # each file's header must match
            .option("multiLine", multi_line).options(**opts).csv(path))
-    return raw.select(*contract_columns(header, contract, key, drop_key, tokens))
+    # one large gzip / multi-line file parses in one task; spread what follows
+    return spread(raw).select(*contract_columns(header, contract, key, drop_key, tokens))
 
 
 def text_schema(header: list[str]) -> StructType:

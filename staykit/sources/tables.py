@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least as many tasks as the cluster has cores.
+SPREAD_CAP = 64
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, cap: int = SPREAD_CAP) -> DataFrame:
+    """Give a scan with very few splits more tasks for the steps after it.
 
     Decided at plan time from the file splits (no job runs): a table read
-    from many files or row groups already has enough splits and is returned
-    unchanged, so this never adds a shuffle at scale. A small table stored
-    as one row group would otherwise run every downstream narrow step in a
-    single task; it is round-robin spread instead. Column pruning and
-    filters still reach the scan below the exchange.
+    from many files or row groups already has ``min(cores, cap)`` splits and
+    is returned unchanged, so this adds no shuffle at scale. An input stored
+    as one row group, or one large gzip file, would otherwise run every
+    downstream narrow step in a single task; it is round-robin spread over
+    at most ``cap`` tasks (a tiny table on a big cluster does not become
+    thousands of empty tasks). Pruning and filters still reach the scan.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, cap)
     try:
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - e.g. a session without RDD access
