@@ -381,6 +381,7 @@ ORACLE: dict[str, str] = {
                    + " from listings",
     "scan_csv_contract": _contract_read("listings", key="id"),
     "geojson_features": GEOJSON,
+    "geojson_files": GEOJSON,
     "ingest_listings": _contract_read("listings", stamp=True),
     "ingest_calendar": _contract_read("calendar", stamp=True),
     "ingest_agg_listing": _contract_read("agg_listing", stamp=True),

@@ -21,7 +21,7 @@ from .plans.ingest import ingest_feed, ingest_with_stored_contract
 from .session import shared_path
 from .sources.csv import apply_null_tokens, read_csv_contract, write_csv
 from .sources.fixtures import fixture
-from .sources.geojson import features_from_docs
+from .sources.geojson import features_from_docs, read_geojson
 from .streaming.ingest import stream_ingest_once
 
 # Fixed parameters of the registered queries (the oracle uses the same).
@@ -90,6 +90,13 @@ def q_scan_csv_contract(spark, sf):
     return read_csv_contract(spark, path, contracts.LISTING_CONTRACT, key="id")
 
 
+def q_geojson_files(spark, sf):
+    """Collections staged as JSON Lines files, read back by the file reader."""
+    path = shared_path(spark, "staging", "geojson", unique=True)
+    fixture(spark, sf, "geojson_docs").write.text(path)
+    return read_geojson(spark, path, multi_line=False)
+
+
 def q_sink_append_twice(spark, sf):
     path = _stage(spark, sf, "calendar")
     table = "raw_calendar_twice_" + shared_path(spark, "tmp", unique=True).rsplit("/", 1)[1]
@@ -148,6 +155,7 @@ QUERIES: dict[str, Query] = {
     "null_tokens": lambda s, sf: apply_null_tokens(_listings(s, sf)),
     "scan_csv_contract": q_scan_csv_contract,
     "geojson_features": lambda s, sf: features_from_docs(fixture(s, sf, "geojson_docs")),
+    "geojson_files": q_geojson_files,
     # contracts, metadata, sinks
     "ingest_listings": _ingest("listings", key="id"),
     "ingest_calendar": _ingest("calendar"),

@@ -44,7 +44,12 @@ def features_from_docs(df: DataFrame, doc_col: str = "doc") -> DataFrame:
             .select(*_flatten(F.col("fc.features"))))
 
 
-def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Read GeoJSON files (one FeatureCollection per file) and flatten them."""
-    fc = spark.read.schema(COLLECTION_SCHEMA).option("multiLine", True).json(path)
+def read_geojson(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Read GeoJSON files and flatten them.
+
+    ``multi_line``: one (pretty-printed) FeatureCollection per file, one task
+    per file. Otherwise one collection per line (JSON Lines), which Spark
+    splits inside large files.
+    """
+    fc = spark.read.schema(COLLECTION_SCHEMA).option("multiLine", multi_line).json(path)
     return fc.where(F.size("features") > 0).select(*_flatten(F.col("features")))
