@@ -120,3 +120,29 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
                              "2024-01-01 00:00:00")
     assert got.count() == 3                      # each file once across runs
     assert got.filter(F.col("price").isNull()).count() == 1
+
+
+def test_columns_matched_by_name_not_position(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/o")
+    with open(f"{tmp_dir}/o/a.csv", "w") as fh:
+        fh.write("maximum_nights,date,extra\n9,2024-05-01,x\n")
+    df = read_csv_contract(spark, f"{tmp_dir}/o", C.CALENDAR_CONTRACT)
+    r = df.first()
+    assert df.columns == C.CALENDAR_CONTRACT.fieldNames()
+    assert (r.date, r.maximum_nights, r.available) == ("2024-05-01", 9, None)
+
+
+def test_header_mismatch_between_files_is_an_error(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/m")
+    with open(f"{tmp_dir}/m/a.csv", "w") as fh:
+        fh.write("date,available\n2024-01-01,t\n")
+    with open(f"{tmp_dir}/m/b.csv", "w") as fh:
+        fh.write("available,date\nt,2024-01-02\n")
+    df = read_csv_contract(spark, f"{tmp_dir}/m", C.CALENDAR_CONTRACT)
+    try:
+        df.collect()
+        raise AssertionError("a file with another column order was read positionally")
+    except AssertionError:
+        raise
+    except Exception as e:  # noqa: BLE001
+        assert "header" in str(e).lower() or "schema" in str(e).lower()
