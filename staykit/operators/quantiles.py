@@ -16,9 +16,10 @@ numbers (linear interpolation between the values at ranks ``floor`` and
    give every row's exact rank span; the rows holding ``floor`` and
    ``ceil`` of each target rank are picked.
 
-Step 3 holds at most about ``2 * margin * n / accuracy`` distinct values
-per quantile of a column, not the whole column (columns with fewer than
-``2 * accuracy`` values skip the sketch and select among all of them). If the sketch's bracket ever
+The ordered rows of one column in step 3 number at most about
+``2 * margin * n / accuracy`` per requested quantile (plus one gap row
+each), not the whole column; columns with fewer than ``2 * accuracy``
+values skip the sketch and are ordered whole. If the sketch's bracket ever
 missed the target rank, the result raises an error instead of returning a
 wrong value.
 """
