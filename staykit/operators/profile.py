@@ -28,7 +28,7 @@ from pyspark.sql.types import (
 )
 
 from ..functions.text import is_floating, is_missing, is_present
-from .quantiles import exact_quantile_columns
+from .quantiles import _stack, exact_quantile_columns
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -261,28 +261,38 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
             .select(*names))
 
 
-def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Equal-width histogram of a numeric column over its own [min, max].
+def histograms(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
+    """Equal-width histograms of numeric columns, each over its own [min, max].
 
-    ``column_name, bin, bin_lo, bin_hi, count`` for bins ``0..bins-1`` (empty
-    bins included). The range comes from one scalar-subquery aggregate; the
-    max lands in the last bin; a constant column is one bin. Missing values
-    (null, NaN) are not counted.
+    ``column_name, bin, bin_lo, bin_hi, count`` for bins ``0..bins-1`` of
+    every column (empty bins included); the max lands in the last bin; a
+    constant column is one bin; missing values (null, NaN) are not counted;
+    a column with no values has no rows. All columns share one scan: values
+    are stacked, ranges come from a one-row-per-column aggregate (broadcast:
+    its size is the number of columns), and bins are counted by a hash
+    aggregate with map-side partial counts.
     """
-    v = _value(df, column).cast("double")
-    present = df.filter(is_present(column, df.schema[column].dataType))
-    lo = present.select(F.min(v)).scalar()
-    hi = present.select(F.max(v)).scalar()
-    width = hi - lo
+    stacked = _stack(df, columns)
+    ranges = (stacked.groupBy("column_name")
+              .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+              .withColumn("width", F.col("hi") - F.col("lo")))
+    v, lo, width = F.col("v"), F.col("lo"), F.col("width")
     idx = (F.when(width == 0, F.lit(0))
            .otherwise(F.least(F.floor((v - lo) / width * bins), F.lit(bins - 1)))
            .cast("int"))
-    counts = present.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = (stacked.join(F.broadcast(ranges), "column_name")
+              .groupBy("column_name", idx.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     b = F.col("bin")
-    all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (all_bins.join(counts, "bin", "left")
-            .filter(lo.isNotNull() & ((width > 0) | (b == 0)))
-            .select(F.lit(column).alias("column_name"), b,
+    all_bins = (ranges.select("column_name", "lo", "width",
+                              F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+                .filter((width > 0) | (b == 0)))
+    return (all_bins.join(counts, ["column_name", "bin"], "left")
+            .select("column_name", b,
                     (lo + width * b / bins).alias("bin_lo"),
                     (lo + width * (b + 1) / bins).alias("bin_hi"),
                     F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count")))
+
+
+def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
+    """Equal-width histogram of one numeric column (see :func:`histograms`)."""
+    return histograms(df, [column], bins)

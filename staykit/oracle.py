@@ -12,7 +12,7 @@ from .operators.filters import EXTREME_PRICE, MAX_MINIMUM_NIGHTS
 from .plans.contracts import AGG_LISTING_FIELDS, CALENDAR_FIELDS, LISTING_FIELDS
 from .plans.listings import CONSTANT_FILLS, EXPLORE_COLUMNS, REQUIRED_COLUMNS, VALIDATED_COLUMNS
 from .registry import (
-    ANY_NULL_SUBSET, AREA, AS_OF, CATEGORY_COLUMNS, HISTOGRAM_BINS, HISTOGRAM_COLUMN,
+    ANY_NULL_SUBSET, AREA, AS_OF, CATEGORY_COLUMNS, HISTOGRAM_BINS, HISTOGRAM_COLUMN, HISTOGRAM_COLUMNS,
     MEAN_COLUMNS, MEDIAN_COLUMNS, MODE_COLUMNS, NOW, PIE_COLUMN, STATS_DIGITS, TOP_COLUMNS,
     TOP_K, ZERO_COLUMNS,
 )
@@ -310,22 +310,30 @@ def _profile():
     return f"{L}{FIXED_PRICE}\n" + union(parts)
 
 
-def _histogram():
-    c, n = HISTOGRAM_COLUMN, HISTOGRAM_BINS
-    return f"""{L},
-v as (select {c} as v from listings where {present(c, 'double')}),
-s as (select min(v) as lo, max(v) as hi from v),
-b as (select cast(case when s.hi - s.lo = 0 then 0 else least(floor((v - s.lo) / (s.hi - s.lo) * {n}), {n - 1}) end as integer) as bin from v, s),
-c as (select bin, count(*) as count from b group by bin),
-r as (select cast(range as integer) as bin from range({n}))
-select '{c}' as column_name, r.bin as bin,
+def _histogram_part(c, n):
+    t = FIX_TYPES[c]
+    return f"""select '{c}' as column_name, r.bin as bin,
        s.lo + (s.hi - s.lo) * r.bin / {n} as bin_lo,
        s.lo + (s.hi - s.lo) * (r.bin + 1) / {n} as bin_hi,
        coalesce(c.count, 0) as count
-from r cross join s left join c on r.bin = c.bin
+from (select cast(range as integer) as bin from range({n})) r
+cross join (select min(cast({c} as double)) as lo, max(cast({c} as double)) as hi
+            from listings where {present(c, t)}) s
+left join (select bin, count(*) as count from (
+             select cast(case when s2.hi - s2.lo = 0 then 0
+                         else least(floor((cast({c} as double) - s2.lo) / (s2.hi - s2.lo) * {n}), {n - 1}) end
+                         as integer) as bin
+             from listings,
+                  (select min(cast({c} as double)) as lo, max(cast({c} as double)) as hi
+                   from listings where {present(c, t)}) s2
+             where {present(c, t)}) x group by bin) c on r.bin = c.bin
 where s.lo is not null and (s.hi - s.lo > 0 or r.bin = 0)"""
 
 
+def _histogram(columns):
+    return f"{L}\n" + union(_histogram_part(c, HISTOGRAM_BINS) for c in columns)
+
+
 def _top_values():
     stack = union(f"select '{c}' as column_name, cast({c} as varchar) as value from listings"
                   for c in TOP_COLUMNS)
@@ -439,7 +447,8 @@ ORACLE: dict[str, str] = {
     "describe_min_nights": f"{L}{POS_PRICES}\n" + _describe("pos", ["minimum_nights"], FIXED_TYPES),
     "summary_exact": _summary(),
     "profile_exact": _profile(),
-    "histogram": _histogram(),
+    "histogram": _histogram([HISTOGRAM_COLUMN]),
+    "histograms": _histogram(HISTOGRAM_COLUMNS),
     "amenity_counts": f"{L}, i as (select unnest({AMENITY_JSON}) as item from listings) "
                       "select lower(item) as item, count(*) as count from i group by 1",
     "amenity_counts_compat": f"{L}, i as (select unnest({AMENITY_COMPAT}) as item from listings) "

@@ -29,6 +29,8 @@ AS_OF = "2024-01-01"
 NOW = "2024-01-01 00:00:00"
 AREA = "Athens"
 HISTOGRAM_COLUMN, HISTOGRAM_BINS = "review_scores_rating", 10
+HISTOGRAM_COLUMNS = ["latitude", "longitude", "accommodates", "bedrooms", "beds", "minimum_nights",
+                     "number_of_reviews", "review_scores_rating", "reviews_per_month", "bathrooms"]
 TOP_K = 5
 TOP_COLUMNS = ["room_type", "property_type", "host_response_time", "host_neighbourhood",
                "minimum_nights", "accommodates"]
@@ -227,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "profile_exact": lambda s, sf: profile.profile(_fixed_price(s, sf), exact=True, digits=STATS_DIGITS),
     "profile_approx": lambda s, sf: profile.profile(_fixed_price(s, sf), exact=False, digits=STATS_DIGITS),
     "histogram": lambda s, sf: profile.histogram(_listings(s, sf), HISTOGRAM_COLUMN, HISTOGRAM_BINS),
+    "histograms": lambda s, sf: profile.histograms(_listings(s, sf), HISTOGRAM_COLUMNS, HISTOGRAM_BINS),
     "amenity_counts": lambda s, sf: listings.amenity_counts(_listings(s, sf), "json"),
     "amenity_counts_compat": lambda s, sf: listings.amenity_counts(_listings(s, sf), "compat"),
     # map frames
