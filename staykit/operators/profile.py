@@ -170,16 +170,10 @@ def _with_exact_quartiles(stats: DataFrame, df: DataFrame, cols: list[str]) -> D
     return out.select(*[F.col(f"_{c}").alias(c) if c in names else F.col(c) for c in stats.columns])
 
 
-def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact ``column_name, distinct_count`` (missing values skipped).
-
-    Every value is stacked as ``(column, value)`` with the value in a slot
-    of its own type (text, integral, floating), so no two values collide;
-    one distributed dedupe (partial per task, so a hot value is one row per
-    task) and a count per column follow. This shuffles about the same bytes
-    as Spark's rewrite of many ``count(distinct)``, without dragging every
-    other aggregate through the ``Expand``.
-    """
+def typed_stack(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column_name, s, d, i``: every present value of ``columns`` stacked,
+    in a slot of its own type (text, floating, integral), so values of
+    different columns never collide and keep their own order."""
     def slot(c: str):
         v = _value(df, c)
         dt = df.schema[c].dataType
@@ -196,8 +190,18 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         return F.struct(F.lit(c).alias("column_name"), s.alias("s"), d.alias("d"), i.alias("i"))
 
     stacked = df.select(F.inline(F.array(*[slot(c) for c in columns])))
-    present = F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("i").isNotNull()
-    return (stacked.filter(present).distinct()
+    return stacked.filter(F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("i").isNotNull())
+
+
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Exact ``column_name, distinct_count`` (missing values skipped).
+
+    One distributed dedupe of the typed stack (partial per task, so a hot
+    value is one row per task) and a count per column. This shuffles about
+    the same bytes as Spark's rewrite of many ``count(distinct)``, without
+    dragging every other aggregate through the ``Expand``.
+    """
+    return (typed_stack(df, columns).distinct()
             .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")))
 
 
