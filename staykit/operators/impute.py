@@ -4,8 +4,9 @@ Every fill adds ``<column>_imputed`` (true where the value was missing), as
 the reference's notes require. Fill values that depend on the data are
 computed by uncorrelated scalar subqueries: Spark runs each as a small
 aggregate job and plants the result in the projection as a literal, so
-there is no join, no broadcast of rows and no driver round trip; scalar
-aggregates over the same frame are merged into one job by the optimizer.
+the imputed frame is never joined and nothing goes through the driver;
+scalar aggregates over the same frame are merged into one job by the
+optimizer.
 
 Scale notes: ``mean`` and ``zero`` are constant-size. ``median`` is exact
 (equal to ``percentile(x, 0.5)``) but computed by the bounded multi-pass
