@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_missing
+from .quantiles import empty_report
 
 
 def missing_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -22,6 +23,8 @@ def missing_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     ``missing_count / rows * 100`` and null when there are no rows.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    if not fields:
+        return empty_report(df, "column_name string, missing_count bigint, missing_percent double")
     aggs = [F.count(F.lit(1)).alias("_rows")] + [
         F.count_if(is_missing(f.name, f.dataType)).alias(f"m{i}") for i, f in enumerate(fields)
     ]

@@ -28,7 +28,7 @@ from pyspark.sql.types import (
 )
 
 from ..functions.text import is_floating, is_missing, is_present
-from .quantiles import _stack, exact_quantile_columns
+from .quantiles import _stack, empty_report, exact_quantile_columns
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -95,7 +95,10 @@ def describe_long(df: DataFrame, columns: list[str] | None = None,
     ``nan_as_missing`` is false (then it spreads into mean and max, as in
     Spark's ``describe``).
     """
-    cols = [c for c in (columns or describable(df)) if _numeric(df, c) or _text(df, c)]
+    cols = [c for c in (describable(df) if columns is None else columns) if _numeric(df, c) or _text(df, c)]
+    if not cols:
+        return empty_report(df, "column_name string, count bigint, mean double, stddev double, "
+                                "min double, max double, min_text string, max_text string")
     aggs, structs = [], []
     for i, c in enumerate(cols):
         v = _value(df, c, nan_as_missing)
@@ -130,7 +133,10 @@ def summary_long(df: DataFrame, columns: list[str] | None = None, exact: bool =
     the bounded exact quantiles of :mod:`.quantiles` (equal to
     ``percentile``), joined on the column name.
     """
-    cols = [c for c in (columns or df.columns) if _numeric(df, c)]
+    cols = [c for c in (df.columns if columns is None else columns) if _numeric(df, c)]
+    if not cols:
+        return empty_report(df, "column_name string, count bigint, mean double, stddev double, "
+                                "min double, max double, p25 double, p50 double, p75 double, iqr double")
     aggs, structs = [], []
     for i, c in enumerate(cols):
         v = _value(df, c).cast("double")
@@ -216,7 +222,12 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
     mode is one aggregate pass; ``exact`` adds :func:`distinct_counts`,
     joined on the column name (one row per column on each side).
     """
-    cols = columns or df.columns
+    cols = df.columns if columns is None else columns
+    if not cols:
+        return empty_report(df, "column_name string, data_type string, n_rows bigint, "
+                                "missing_count bigint, missing_percent double, distinct_count bigint, "
+                                "zero_count bigint, mean double, stddev double, min double, max double, "
+                                "p25 double, p50 double, p75 double")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     structs = []
     none_d, none_l = F.lit(None).cast("double"), F.lit(None).cast("long")
@@ -276,6 +287,8 @@ def histograms(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
     its size is the number of columns), and bins are counted by a hash
     aggregate with map-side partial counts.
     """
+    if not columns:
+        return empty_report(df, "column_name string, bin int, bin_lo double, bin_hi double, count bigint")
     stacked = _stack(df, columns)
     ranges = (stacked.groupBy("column_name")
               .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))

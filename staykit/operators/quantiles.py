@@ -35,6 +35,11 @@ DEFAULT_ACCURACY = 100_000
 DEFAULT_MARGIN = 4.0
 
 
+def empty_report(df: DataFrame, ddl: str) -> DataFrame:
+    """A typed, empty report (no eligible columns)."""
+    return df.sparkSession.createDataFrame([], ddl)
+
+
 def _stack(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column_name, v`` for every present (not null, not NaN) value."""
     def value(c):
@@ -53,6 +58,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
 
     Columns with no present value give no rows.
     """
+    if not columns:
+        return empty_report(df, "column_name string, p double, value double")
     stacked = _stack(df, columns)
     eps = margin / accuracy
     lo_ps = [max(p - eps, 0.0) for p in probs]

@@ -90,3 +90,16 @@ def test_top_values(spark):
 def test_top_values_plans_group_limit_before_shuffle(spark):
     plan = profile.top_values(frame(spark), ["s", "x"], 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_reports_on_frames_without_eligible_columns(spark):
+    from staykit.operators.missing import missing_stats
+    from staykit.operators.quantiles import exact_quantiles
+    text_only = spark.createDataFrame([("a",)], "s string")
+    assert profile.summary_long(text_only).count() == 0
+    assert profile.summary_long(text_only).columns[-1] == "iqr"
+    assert profile.histograms(text_only, []).count() == 0
+    assert exact_quantiles(text_only, [], [0.5]).count() == 0
+    assert profile.describe_long(spark.createDataFrame([(True,)], "b boolean")).count() == 0
+    assert missing_stats(text_only, columns=[]).count() == 0
+    assert profile.profile(text_only, columns=[]).count() == 0
