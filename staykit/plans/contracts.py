@@ -9,6 +9,8 @@ matters.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -23,55 +25,116 @@ from pyspark.sql.types import (
 
 from ..functions.text import is_floating
 
-_S, _L, _D = "string", "long", "double"
-
 # Field names and types of the listings contract, in contract order.
 LISTING_FIELDS = [
-    ("listing_url", _S), ("scrape_id", _L), ("last_scraped", _S), ("source", _S),
-    ("name", _S), ("description", _S), ("neighborhood_overview", _S), ("picture_url", _S),
-    ("host_id", _L), ("host_url", _S), ("host_name", _S), ("host_since", _S),
-    ("host_location", _S), ("host_about", _S), ("host_response_time", _S),
-    ("host_response_rate", _S), ("host_acceptance_rate", _S), ("host_is_superhost", _S),
-    ("host_thumbnail_url", _S), ("host_picture_url", _S), ("host_neighbourhood", _S),
-    ("host_listings_count", _D), ("host_total_listings_count", _D),
-    ("host_verifications", _S), ("host_has_profile_pic", _S), ("host_identity_verified", _S),
-    ("neighbourhood", _S), ("neighbourhood_cleansed", _S),
-    ("neighbourhood_group_cleansed", _D), ("latitude", _D), ("longitude", _D),
-    ("property_type", _S), ("room_type", _S), ("accommodates", _L), ("bathrooms", _D),
-    ("bathrooms_text", _S), ("bedrooms", _D), ("beds", _D), ("amenities", _S), ("price", _S),
-    ("minimum_nights", _L), ("maximum_nights", _L), ("minimum_minimum_nights", _L),
-    ("maximum_minimum_nights", _L), ("minimum_maximum_nights", _L),
-    ("maximum_maximum_nights", _L), ("minimum_nights_avg_ntm", _D),
-    ("maximum_nights_avg_ntm", _D), ("calendar_updated", _D), ("has_availability", _S),
-    ("availability_30", _L), ("availability_60", _L), ("availability_90", _L),
-    ("availability_365", _L), ("calendar_last_scraped", _S), ("number_of_reviews", _L),
-    ("number_of_reviews_ltm", _L), ("number_of_reviews_l30d", _L), ("first_review", _S),
-    ("last_review", _S), ("review_scores_rating", _D), ("review_scores_accuracy", _D),
-    ("review_scores_cleanliness", _D), ("review_scores_checkin", _D),
-    ("review_scores_communication", _D), ("review_scores_location", _D),
-    ("review_scores_value", _D), ("license", _S), ("instant_bookable", _S),
-    ("calculated_host_listings_count", _L),
-    ("calculated_host_listings_count_entire_homes", _L),
-    ("calculated_host_listings_count_private_rooms", _L),
-    ("calculated_host_listings_count_shared_rooms", _L), ("reviews_per_month", _D),
+    ("listing_url", "string"),
+    ("scrape_id", "long"),
+    ("last_scraped", "string"),
+    ("source", "string"),
+    ("name", "string"),
+    ("description", "string"),
+    ("neighborhood_overview", "string"),
+    ("picture_url", "string"),
+    ("host_id", "long"),
+    ("host_url", "string"),
+    ("host_name", "string"),
+    ("host_since", "string"),
+    ("host_location", "string"),
+    ("host_about", "string"),
+    ("host_response_time", "string"),
+    ("host_response_rate", "string"),
+    ("host_acceptance_rate", "string"),
+    ("host_is_superhost", "string"),
+    ("host_thumbnail_url", "string"),
+    ("host_picture_url", "string"),
+    ("host_neighbourhood", "string"),
+    ("host_listings_count", "double"),
+    ("host_total_listings_count", "double"),
+    ("host_verifications", "string"),
+    ("host_has_profile_pic", "string"),
+    ("host_identity_verified", "string"),
+    ("neighbourhood", "string"),
+    ("neighbourhood_cleansed", "string"),
+    ("neighbourhood_group_cleansed", "double"),
+    ("latitude", "double"),
+    ("longitude", "double"),
+    ("property_type", "string"),
+    ("room_type", "string"),
+    ("accommodates", "long"),
+    ("bathrooms", "double"),
+    ("bathrooms_text", "string"),
+    ("bedrooms", "double"),
+    ("beds", "double"),
+    ("amenities", "string"),
+    ("price", "string"),
+    ("minimum_nights", "long"),
+    ("maximum_nights", "long"),
+    ("minimum_minimum_nights", "long"),
+    ("maximum_minimum_nights", "long"),
+    ("minimum_maximum_nights", "long"),
+    ("maximum_maximum_nights", "long"),
+    ("minimum_nights_avg_ntm", "double"),
+    ("maximum_nights_avg_ntm", "double"),
+    ("calendar_updated", "double"),
+    ("has_availability", "string"),
+    ("availability_30", "long"),
+    ("availability_60", "long"),
+    ("availability_90", "long"),
+    ("availability_365", "long"),
+    ("calendar_last_scraped", "string"),
+    ("number_of_reviews", "long"),
+    ("number_of_reviews_ltm", "long"),
+    ("number_of_reviews_l30d", "long"),
+    ("first_review", "string"),
+    ("last_review", "string"),
+    ("review_scores_rating", "double"),
+    ("review_scores_accuracy", "double"),
+    ("review_scores_cleanliness", "double"),
+    ("review_scores_checkin", "double"),
+    ("review_scores_communication", "double"),
+    ("review_scores_location", "double"),
+    ("review_scores_value", "double"),
+    ("license", "string"),
+    ("instant_bookable", "string"),
+    ("calculated_host_listings_count", "long"),
+    ("calculated_host_listings_count_entire_homes", "long"),
+    ("calculated_host_listings_count_private_rooms", "long"),
+    ("calculated_host_listings_count_shared_rooms", "long"),
+    ("reviews_per_month", "double"),
 ]
 
 # The calendar contract, in contract order.
 CALENDAR_FIELDS = [
-    ("date", _S), ("available", _S), ("price", _S), ("adjusted_price", _S),
-    ("minimum_nights", _L), ("maximum_nights", _L),
+    ("date", "string"),
+    ("available", "string"),
+    ("price", "string"),
+    ("adjusted_price", "string"),
+    ("minimum_nights", "long"),
+    ("maximum_nights", "long"),
 ]
 
 # The aggregated-listing contract, in contract order.
 AGG_LISTING_FIELDS = [
-    ("name", _S), ("host_id", _L), ("host_name", _S), ("neighbourhood_group", _D),
-    ("neighbourhood", _S), ("latitude", _D), ("longitude", _D), ("room_type", _S),
-    ("price", _L), ("minimum_nights", _L), ("number_of_reviews", _L), ("last_review", _S),
-    ("reviews_per_month", _D), ("calculated_host_listings_count", _L),
-    ("availability_365", _L), ("number_of_reviews_ltm", _L), ("license", _S),
+    ("name", "string"),
+    ("host_id", "long"),
+    ("host_name", "string"),
+    ("neighbourhood_group", "double"),
+    ("neighbourhood", "string"),
+    ("latitude", "double"),
+    ("longitude", "double"),
+    ("room_type", "string"),
+    ("price", "long"),
+    ("minimum_nights", "long"),
+    ("number_of_reviews", "long"),
+    ("last_review", "string"),
+    ("reviews_per_month", "double"),
+    ("calculated_host_listings_count", "long"),
+    ("availability_365", "long"),
+    ("number_of_reviews_ltm", "long"),
+    ("license", "string"),
 ]
 
-_TYPES = {_S: StringType(), _L: LongType(), _D: DoubleType()}
+_TYPES = {"string": StringType(), "long": LongType(), "double": DoubleType()}
 
 
 def contract_from_fields(fields: list[tuple[str, str]]) -> StructType:
@@ -113,7 +176,7 @@ def save_contract(spark: SparkSession, contract: StructType, path: str) -> str:
 def load_contract(spark: SparkSession, path: str) -> StructType:
     """Read a contract written by :func:`save_contract` (one small text row)."""
     row = spark.read.text(path, wholetext=True).first()
-    return StructType.fromJson(__import__("json").loads(row[0]))
+    return StructType.fromJson(json.loads(row[0]))
 
 
 def apply_contract(df: DataFrame, contract: StructType, keep: list[str] | None = None) -> DataFrame:

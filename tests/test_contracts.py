@@ -1,5 +1,7 @@
 """Contracts: definitions, JSON round trip, metadata, diff, report."""
 
+import json
+
 from pyspark.sql.types import StructType
 
 from staykit.plans import contracts as C
@@ -16,7 +18,7 @@ def test_json_round_trip_is_identity(spark, tmp_dir):
     for name, contract in C.CONTRACTS.items():
         path = C.save_contract(spark, contract, f"{tmp_dir}/{name}.json")
         assert C.load_contract(spark, path) == contract
-        assert StructType.fromJson(__import__("json").loads(contract.json())) == contract
+        assert StructType.fromJson(json.loads(contract.json())) == contract
 
 
 def test_save_overwrites(spark, tmp_dir):
