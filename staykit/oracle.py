@@ -215,7 +215,7 @@ AMENITY_JSON = "list_transform(from_json(amenities, '[\"VARCHAR\"]'), lambda x:
 AMENITY_COMPAT = "string_split(translate(amenities, '[]\"' || chr(92), ''), ',')"
 
 
-def _clean_select(validate_rows=False):
+def _clean_select(validate_rows=False, compat=False):
     out = ["id"]
     for c in EXPLORE_COLUMNS:
         if c == "price":
@@ -227,7 +227,7 @@ def _clean_select(validate_rows=False):
         elif c == "bathrooms_text":
             continue
         elif c == "amenities":
-            out.append(f"array_to_string({AMENITY_JSON}, ';') as amenities")
+            out.append(f"array_to_string({AMENITY_COMPAT if compat else AMENITY_JSON}, ';') as amenities")
         else:
             out.append(c)
     if validate_rows:
@@ -248,7 +248,7 @@ def _missing_stats(where=""):
     return union(parts)
 
 
-def _describe(base, columns, types):
+def _describe(base, columns, types, keep_nan=False):
     parts = []
     for c in columns:
         t = types[c]
@@ -258,7 +258,7 @@ def _describe(base, columns, types):
                 f"cast(null as double) as stddev, cast(null as double) as min, cast(null as double) as max, "
                 f"min({c}) as min_text, max({c}) as max_text from {base}")
         else:
-            v = nan_null(c, t)
+            v = c if keep_nan else nan_null(c, t)   # keep_nan: NaN spreads, as in Spark
             parts.append(
                 f"select '{c}' as column_name, count({v}) as count, round(avg({v}), {DIG}) as mean, "
                 f"round(stddev_samp({v}), {DIG}) as stddev, cast(min({v}) as double) as min, "
@@ -443,6 +443,8 @@ ORACLE: dict[str, str] = {
     "value_counts": f"{L}{POS_PRICES} select minimum_nights, count(*) as count from pos group by minimum_nights",
     "top_values": _top_values(),
     "describe_long": f"{L}{FIXED_PRICE}\n" + _describe("fixed", FIXED_COLUMNS, FIXED_TYPES),
+    "describe_keep_nan": f"{L}{FIXED_PRICE}\n" + _describe("fixed", ["latitude", "longitude", "price"],
+                                                           FIXED_TYPES, keep_nan=True),
     "describe_price": f"{L}{FIXED_PRICE}\n" + _describe("fixed", ["price"], FIXED_TYPES),
     "describe_min_nights": f"{L}{POS_PRICES}\n" + _describe("pos", ["minimum_nights"], FIXED_TYPES),
     "summary_exact": _summary(),
@@ -457,6 +459,8 @@ ORACLE: dict[str, str] = {
     "cluster_points": _cluster(),
     "clean_listings": f"{L}, c as (select {_clean_select()} from listings) select * from c "
                       f"where price < {EXTREME_PRICE} and minimum_nights <= {MAX_MINIMUM_NIGHTS}",
+    "clean_listings_compat": f"{L}, c as (select {_clean_select(compat=True)} from listings) select * from c "
+                             f"where price < {EXTREME_PRICE} and minimum_nights <= {MAX_MINIMUM_NIGHTS}",
     "prepare_listings": f"{L}, c as (select {_clean_select(validate_rows=True)} from listings) "
                         "select *, reasons = '' as is_valid from c",
     "validated_listings": _validated(),

@@ -220,6 +220,8 @@ QUERIES: dict[str, Query] = {
     "value_counts": lambda s, sf: profile.value_counts(_pos_prices(s, sf), "minimum_nights"),
     "top_values": lambda s, sf: profile.top_values(_wide(s, sf), TOP_COLUMNS, TOP_K),
     "describe_long": lambda s, sf: profile.describe_long(_fixed_price(s, sf), digits=STATS_DIGITS),
+    "describe_keep_nan": lambda s, sf: profile.describe_long(
+        _fixed_price(s, sf).select("latitude", "longitude", "price"), nan_as_missing=False, digits=STATS_DIGITS),
     "describe_price": lambda s, sf: profile.describe_long(_fixed_price(s, sf).select("price"),
                                                           digits=STATS_DIGITS),
     "describe_min_nights": lambda s, sf: profile.describe_long(
@@ -237,6 +239,8 @@ QUERIES: dict[str, Query] = {
     "cluster_points": lambda s, sf: geo.cluster_points(_listings(s, sf)),
     # pipelines
     "clean_listings": lambda s, sf: _join_amenities(listings.clean_listings(_listings(s, sf))),
+    "clean_listings_compat": lambda s, sf: _join_amenities(
+        listings.clean_listings(_listings(s, sf), amenities="compat")),
     "prepare_listings": lambda s, sf: _join_amenities(listings.prepare_listings(_listings(s, sf))),
     "validated_listings": lambda s, sf: listings.validated_listings(_listings(s, sf), as_of=AS_OF),
     "validated_listings_filled": lambda s, sf: listings.validated_listings(
