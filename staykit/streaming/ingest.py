@@ -50,11 +50,19 @@ def stream_ingest(
 
 
 def stream_ingest_once(spark: SparkSession, landing: str, contract: StructType, sink_path: str,
-                       checkpoint: str, area: str, now=None, **kwargs) -> DataFrame:
-    """Drain the landing folder once and return the sink as a batch frame."""
+                       checkpoint: str, area: str, now=None, timeout_s: int = 3600,
+                       **kwargs) -> DataFrame:
+    """Drain the landing folder once and return the sink as a batch frame.
+
+    The stream stops by itself once what has landed is written; if it has
+    not within ``timeout_s`` it is stopped and an error raised (the
+    checkpoint keeps what was committed, so a rerun resumes from there).
+    """
     q = stream_ingest(spark, landing, contract, sink_path, checkpoint, area, now,
                       available_now=True, **kwargs)
-    q.awaitTermination()
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream over {landing} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
     return spark.read.parquet(sink_path)
