@@ -88,8 +88,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     inside = F.lit(False)
     for i in range(k):
         inside = inside | ((v >= F.col(f"lo{i}")) & (v <= F.col(f"hi{i}")))
-    next_lo = F.least(*[F.when(F.col(f"lo{i}") > v, F.col(f"lo{i}")) for i in range(k)]) \
-        if k > 1 else F.when(F.col("lo0") > v, F.col("lo0"))
+    above = [F.when(F.col(f"lo{i}") > v, F.col(f"lo{i}")) for i in range(k)]
+    next_lo = F.least(*above) if k > 1 else above[0]       # least() needs two arguments
     keyed = (stacked.join(F.broadcast(bounds), "column_name")
              .select("column_name",
                      F.when(inside, v).otherwise(next_lo).alias("key"),
