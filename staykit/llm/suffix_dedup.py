@@ -47,10 +47,27 @@ from pyspark.sql import functions as F
 from .kernel import M64, _BYTE, mix, powers, text_buffer
 
 _INVERSE = np.uint64(pow(int(M64), -1, 1 << 64))
-_STEP = 1 << 19
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+_STEP = 1 << 17
 CELLS = 1 << 16
 
 
+def _suffix_array(keys: np.ndarray) -> np.ndarray:
+    """Order of fixed-width byte keys: by eight bytes, then ties by the whole key."""
+    head = keys.view(np.uint8).reshape(len(keys), -1)[:, :8]
+    head = np.pad(head, ((0, 0), (0, 8 - head.shape[1])))
+    head = np.ascontiguousarray(head).view(">u8").ravel().astype(np.uint64)
+    order = np.argsort(head, kind="stable")
+    head = head[order]
+    tie = np.zeros(len(keys), bool)
+    tie[1:] = head[1:] == head[:-1]
+    tie[:-1] |= tie[1:]
+    if tie.any():
+        part = order[tie]
+        order[tie] = part[np.argsort(keys[part], kind="stable")]
+    return order
+
+
 class SuffixFamily:
     """Levels of sorted, distinct ``length``-byte suffix prefixes."""
 
@@ -82,7 +99,7 @@ class SuffixFamily:
             return np.zeros(0, bool)
         view = np.lib.stride_tricks.sliding_window_view(buf, self.length)
         keys = np.ascontiguousarray(view[starts]).view(f"S{self.length}").ravel()
-        array = np.argsort(keys, kind="stable")
+        array = _suffix_array(keys)
         keys = keys[array]
         first = np.ones(len(keys), bool)
         first[1:] = keys[1:] != keys[:-1]
@@ -94,114 +111,148 @@ class SuffixFamily:
         return out
 
 
-def minimizers(buf: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """The smallest seed hash of every ``length``-byte window of the buffer."""
-    if len(buf) < length:
-        return np.zeros(0, np.uint64)
-    out = []
-    for at in range(0, len(buf) - length + 1, _STEP):
-        part = buf[at:at + _STEP + length - 1]
-        power, have, size = M64, _BYTE[part], 1
-        whole, done = None, 0
-        left = seed
-        with np.errstate(over="ignore"):
-            while True:                                   # binary digits of ``seed``
-                if left & 1:
-                    if whole is None:
-                        whole, done = have, size
-                    else:
-                        n = len(have) - done
-                        whole = have[:n] * powers(done + 1)[done] + whole[size:][:n]
-                        whole, done = whole, done + size
-                left >>= 1
-                if not left:
-                    break
-                have = have[:-size] * power + have[size:]
-                power = power * power
-                size *= 2
-        h = mix(whole[:len(part) - seed + 1])
-        span, width = length - seed + 1, 1
-        while width * 2 <= span:
-            h = np.minimum(h[:-width], h[width:])
-            width *= 2
-        if width < span:
-            h = np.minimum(h[:len(part) - length + 1], h[span - width:][:len(part) - length + 1])
-        out.append(h)
-    return np.concatenate(out)
+def _minimizers(part: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """The smallest seed hash of every ``length``-byte window of a piece."""
+    power, have, size = M64, _BYTE[part], 1
+    whole, done, left = None, 0, seed
+    while True:                                               # binary digits of ``seed``
+        if left & 1:
+            if whole is None:
+                whole, done = have, size
+            else:
+                n = len(have) - done
+                whole = have[:n] * powers(done + 1)[done] + whole[size:][:n]
+                done += size
+        left >>= 1
+        if not left:
+            break
+        have = have[:-size] * power + have[size:]
+        power = powers(2 * size + 1)[2 * size]
+        size *= 2
+    h = whole[:len(part) - seed + 1] * _SPREAD
+    h ^= h >> np.uint64(29)
+    span, width = length - seed + 1, 1
+    while width * 2 <= span:
+        h = np.minimum(h[:-width], h[width:])
+        width *= 2
+    n = len(part) - length + 1
+    return np.minimum(h[:n], h[span - width:][:n]) if width < span else h
+
+
+def _changes(raw: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """First window and minimizer of each run of windows with one minimizer."""
+    starts, values, last = [], [], None
+    for at in range(0, len(raw) - length + 1, _STEP):
+        m = _minimizers(raw[at:at + _STEP + length - 1], length, seed)
+        new = np.empty(len(m), bool)
+        new[0] = last is None or m[0] != last
+        np.not_equal(m[1:], m[:-1], out=new[1:])
+        new = np.flatnonzero(new)
+        starts.append(new + at)
+        values.append(m[new])
+        last = m[-1]
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(starts), np.concatenate(values)
+
+
+_DIGIT = 1 << 16
+
+
+def _scaled(x: np.ndarray, at: np.ndarray, base: np.uint64) -> np.ndarray:
+    """x * base ** at, by two digits of the exponent."""
+    low = np.full(_DIGIT, base, np.uint64)
+    low[0] = 1
+    low = np.multiply.accumulate(low)
+    high = np.full(int(at.max(initial=0)) // _DIGIT + 1, (low[-1:] * base)[0], np.uint64)
+    high[0] = 1
+    high = np.multiply.accumulate(high)
+    return x * low[at % _DIGIT] * high[at // _DIGIT]
 
 
 class Batch:
     """The texts of one batch and the minimizer runs of their windows."""
 
     def __init__(self, docs: pa.Table, copies: dict[int, set[bytes]], length: int, seed: int):
-        ids = docs["doc_id"].fill_null(0).to_numpy()
-        known = docs["doc_id"].is_valid().to_numpy()
-        raw, offsets = text_buffer(docs["text"])
-        sizes = np.diff(offsets)
-        self.length, self.raw, self.offsets, self.sizes, self.ids, self.known = length, raw, offsets, sizes, ids, known
+        self.length = length
+        self.ids = docs["doc_id"].fill_null(0).to_numpy()
+        self.known = docs["doc_id"].is_valid().to_numpy()
+        self.raw, self.offsets = text_buffer(docs["text"])
+        self.sizes = np.diff(self.offsets)
         # a copy of a smaller id is one whole match if it is long enough
-        self.copied = known & (sizes >= length)
+        self.copied = self.known & (self.sizes >= length)
         for i in np.flatnonzero(self.copied):
-            self.copied[i] = int(ids[i]) in copies and hashlib.sha256(
-                raw[offsets[i]:offsets[i + 1]]).digest() in copies[int(ids[i])]
-        m = minimizers(raw, length, seed)
-        self.value, self.start, self.count, self.doc = self._runs(m)
-
-    def _runs(self, m):
-        """Runs of windows with one minimizer: value, first window, windows, document."""
-        empty = np.zeros(0, np.int64)
-        n = len(m)
-        use = np.flatnonzero(self.known & ~self.copied & (self.sizes >= self.length))
-        if not n or not len(use):
-            return np.zeros(0, np.uint64), empty, empty, empty
-        change = np.zeros(n + 1, bool)
-        change[1:n] = m[1:] != m[:-1]
-        first, last = self.offsets[use], self.offsets[use] + self.sizes[use] - self.length + 1
-        inside = np.zeros(n + 1, np.int32)
-        np.add.at(inside, first, 1)
-        np.add.at(inside, last, -1)
-        inside = np.cumsum(inside[:n]) > 0
-        change[first] = True
-        start = np.flatnonzero(change[:n] & inside)
-        doc = use[np.searchsorted(first, start, side="right") - 1]
-        end = np.minimum(np.append(start[1:], n), self.offsets[doc] + self.sizes[doc] - self.length + 1)
-        return m[start], start, end - start, doc
-
-    def distinct(self) -> np.ndarray:
-        return np.unique(self.value)
-
-    def in_two_documents(self, distinct: np.ndarray) -> np.ndarray:
+            own = copies.get(int(self.ids[i]))
+            self.copied[i] = own is not None and hashlib.sha256(
+                self.raw[self.offsets[i]:self.offsets[i + 1]]).digest() in own
+        use = np.flatnonzero(self.known & ~self.copied & (self.sizes >= length))
+        first, stop = self.offsets[use], self.offsets[use + 1] - length + 1
+        starts, values = _changes(self.raw, length, seed)
+        if not len(use) or not len(starts):
+            self.start = self.count = self.doc = np.zeros(0, np.int64)
+            self.which, self.distinct = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return
+        # a document's first window opens a run of its own
+        inside = values[np.searchsorted(starts, first, side="right") - 1]
+        starts, values = np.concatenate([first, starts]), np.concatenate([inside, values])
+        starts, one = np.unique(starts, return_index=True)
+        values = values[one]
+        owner = np.searchsorted(first, starts, side="right") - 1
+        ends = np.append(starts[1:], len(self.raw))
+        mine = (owner >= 0) & (starts < stop[owner])
+        self.start = starts[mine]
+        self.doc = use[owner[mine]]
+        self.count = np.minimum(ends[mine], stop[owner[mine]]) - self.start
+        self.distinct, self.which = np.unique(values[mine], return_inverse=True)
+
+    def in_two_documents(self) -> np.ndarray:
         """Which distinct minimizers occur under two ids of this batch."""
-        at = np.searchsorted(distinct, self.value)
-        order = np.argsort(at, kind="stable")
-        at, ids = at[order], self.ids[self.doc[order]]
-        out = np.zeros(len(distinct), bool)
-        if len(at) > 1:
-            np.logical_or.at(out, at[1:], (at[1:] == at[:-1]) & (ids[1:] != ids[:-1]))
-        return out
-
-    def sums(self):
+        ids = self.ids[self.doc]                              # documents ascend by id
+        low = np.full(len(self.distinct), np.iinfo(np.int64).max)
+        high = np.full(len(self.distinct), np.iinfo(np.int64).min)
+        low[self.which[::-1]] = ids[::-1]
+        high[self.which] = ids
+        return low != high
+
+    def sums(self) -> np.ndarray:
         """Prefix sums for O(1) substring hashes."""
         s = np.zeros(len(self.raw) + 1, np.uint64)
-        np.cumsum(_BYTE[self.raw] * powers(len(self.raw)), out=s[1:])
-        back = np.full(len(self.raw) + 1, _INVERSE, np.uint64)
-        back[0] = 1
-        return s, np.multiply.accumulate(back)
-
-    def fragments(self, shared: np.ndarray, sums):
-        """Distinct fragments under shared minimizers.
-
-        (runs they come from, fragment of each run, one run for each
-        fragment), fragments ordered by content hash.
+        scale, have = np.uint64(1), np.uint64(0)
+        table = powers(_STEP + 1)
+        for at in range(0, len(self.raw), _STEP):
+            part = self.raw[at:at + _STEP]
+            piece = s[at + 1:at + 1 + len(part)]
+            np.cumsum(_BYTE[part] * table[:len(part)], out=piece)
+            piece *= scale
+            piece += have
+            have = piece[-1]
+            scale = (table[_STEP:] * scale)[0]
+        return s
+
+    def fragments(self, shared: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct fragments under shared minimizers, ordered by content hash.
+
+        (the runs they come from, the fragment of each, one run a fragment)
         """
-        s, back = sums
-        runs = np.flatnonzero(shared[np.searchsorted(self.distinct_values, self.value)]) if len(self.value) else np.zeros(0, np.int64)
+        runs = np.flatnonzero(shared[self.which])
         a = self.start[runs]
         size = self.count[runs] + self.length - 1
-        h = mix((s[a + size] - s[a]) * back[a] + size.astype(np.uint64) * M64)
+        h = mix(_scaled(s[a + size] - s[a], a, _INVERSE) + size.astype(np.uint64) * M64)
         _, one, which = np.unique(h, return_index=True, return_inverse=True)
         return runs, which, runs[one]
 
+    def repeated(self, s: np.ndarray) -> np.ndarray:
+        """Windows that a smaller id of this batch has too."""
+        local = np.flatnonzero(self.in_two_documents()[self.which])
+        windows = _gather(self.start[local], self.count[local])
+        h = _scaled(s[windows + self.length] - s[windows], windows, _INVERSE)
+        order = np.argsort(h, kind="stable")                  # documents ascend: first is smallest
+        h = h[order]
+        first = np.ones(len(h), bool)
+        first[1:] = h[1:] != h[:-1]
+        ids = np.repeat(self.ids[self.doc[local]], self.count[local])[order]
+        return windows[order[ids > ids[first][np.cumsum(first) - 1]]]
+
 
 def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
     return ((mix(values) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
@@ -235,6 +286,29 @@ def _notes(notes: pa.Table):
     return copies, bits
 
 
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [x.split() for x in schema.split(", ")]
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    return pa.table([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(fields)],
+                    names=[n for n, _ in fields])
+
+
+def _meet(bucket: int, table: pa.Table) -> list[tuple]:
+    """For each batch in a bucket, bits of the minimizers that another batch has."""
+    sent = [(x, np.frombuffer(d, np.uint64)) for x, d in zip(table["batch"].to_pylist(), table["data"].to_pylist())]
+    values = np.sort(np.concatenate([d for _, d in sent]))
+    twice = np.unique(values[1:][values[1:] == values[:-1]])
+    out = []
+    for x, d in sent:
+        hit = np.zeros(len(d), bool)
+        if len(twice):
+            at = np.minimum(np.searchsorted(twice, d), len(twice) - 1)
+            hit = twice[at] == d
+        if hit.any():
+            out.append((x, "shared", bucket, None, _pack(np.packbits(hit).tobytes())))
+    return out
+
+
 def _by_bucket(bucket: np.ndarray, buckets: int):
     order = np.argsort(bucket, kind="stable")
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -252,7 +326,7 @@ def _answer(bucket: np.ndarray, bits: dict[int, np.ndarray], buckets: int) -> np
 
 def _fragment_bits(batch: Batch, one: np.ndarray, bits: dict[int, np.ndarray], buckets: int) -> np.ndarray:
     """Bits of the windows of each fragment, fragments in their order."""
-    bucket = bucket_of(batch.value[one], buckets)
+    bucket = bucket_of(batch.distinct[batch.which[one]], buckets)
     order, cut = _by_bucket(bucket, buckets)
     counts = batch.count[one]
     at = np.cumsum(counts) - counts
@@ -266,7 +340,7 @@ def _fragment_bits(batch: Batch, one: np.ndarray, bits: dict[int, np.ndarray], b
 
 
 def dedup(
-    docs: DataFrame, length: int = 50, seed: int = 20, batch_bytes: int = 12 << 20, most_buckets: int = 1 << 16,
+    docs: DataFrame, length: int = 50, seed: int = 20, batch_bytes: int = 10 << 20, most_buckets: int = 1 << 16,
     with_text: bool = True,
 ) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept.
@@ -308,54 +382,31 @@ def dedup(
         F.col("batch").alias("batch"), F.lit("copy").alias("kind"), F.lit(0).cast("long").alias("bucket"),
         F.col("doc_id").alias("doc_id"), F.unhex("digest").alias("data")).distinct()
 
-    def table_of(kind_rows: list[tuple], schema: str) -> pa.Table:
-        names = [x.split()[0] for x in schema.split(", ")]
-        types = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[x.split()[1]] for x in schema.split(", ")]
-        return pa.table([pa.array([r[i] for r in kind_rows], t) for i, t in enumerate(types)], names=names)
-
-    def opened(docs_: pa.Table, notes_: pa.Table):
+    def opened(docs_, notes_):
         copies_, bits = _notes(notes_)
-        docs_ = docs_.sort_by("doc_id")
-        batch = Batch(docs_, copies_, length, seed)
-        batch.distinct_values = batch.distinct()
-        return batch, bits
+        return Batch(docs_.sort_by("doc_id"), copies_, length, seed), bits
 
     def send_minimizers(key, docs_, notes_):
         batch, _ = opened(docs_, notes_)
-        values = batch.distinct_values
-        order, cut = _by_bucket(bucket_of(values, buckets), buckets)
-        out = [(b_, key[0].as_py(), values[order[cut[b_]:cut[b_ + 1]]].tobytes(), None)
-               for b_ in np.flatnonzero(np.diff(cut)).tolist()]
-        return table_of(out, _SEND)
+        order, cut = _by_bucket(bucket_of(batch.distinct, buckets), buckets)
+        return _table([(b, key[0].as_py(), batch.distinct[order[cut[b]:cut[b + 1]]].tobytes(), None)
+                       for b in np.flatnonzero(np.diff(cut)).tolist()], _SEND)
 
     def meet_minimizers(key, table_):
-        sent = [(x, np.frombuffer(d, np.uint64)) for x, d in zip(table_["batch"].to_pylist(), table_["data"].to_pylist())]
-        values = np.concatenate([d for _, d in sent])
-        values.sort()
-        twice = np.unique(values[1:][values[1:] == values[:-1]])
-        out = []
-        for x, d in sent:
-            at = np.searchsorted(twice, d)
-            hit = np.zeros(len(d), bool)
-            inside = at < len(twice)
-            hit[inside] = twice[at[inside]] == d[inside]
-            if hit.any():
-                out.append((x, "shared", key[0].as_py(), None, _pack(np.packbits(hit).tobytes())))
-        return table_of(out, _NOTE)
+        return _table(_meet(key[0].as_py(), table_), _NOTE)
 
     def send_fragments(key, docs_, notes_):
         batch, bits = opened(docs_, notes_)
-        values = batch.distinct_values
-        shared = _answer(bucket_of(values, buckets), bits["shared"], buckets)
+        shared = _answer(bucket_of(batch.distinct, buckets), bits["shared"], buckets)
         _, _, one = batch.fragments(shared, batch.sums())
-        order, cut = _by_bucket(bucket_of(batch.value[one], buckets), buckets)
+        order, cut = _by_bucket(bucket_of(batch.distinct[batch.which[one]], buckets), buckets)
         out = []
-        for b_ in np.flatnonzero(np.diff(cut)).tolist():
-            mine = one[order[cut[b_]:cut[b_ + 1]]]
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            mine = one[order[cut[b]:cut[b + 1]]]
             counts = batch.count[mine]
             text = batch.raw[_gather(batch.start[mine], counts + length - 1)]
-            out.append((b_, key[0].as_py(), _pack(text.tobytes()), _pack(counts.astype(np.uint32).tobytes())))
-        return table_of(out, _SEND)
+            out.append((b, key[0].as_py(), _pack(text.tobytes()), _pack(counts.astype(np.uint32).tobytes())))
+        return _table(out, _SEND)
 
     def search(key, table_):
         family, out = SuffixFamily(length), []
@@ -367,52 +418,38 @@ def dedup(
             hit = family.batch(buf, _gather(np.cumsum(size) - size, counts))
             if hit.any():
                 out.append((x.as_py(), "earlier", key[0].as_py(), None, _pack(np.packbits(hit).tobytes())))
-        return table_of(out, _NOTE)
+        return _table(out, _NOTE)
 
     def cut_out(key, docs_, notes_):
         batch, bits = opened(docs_, notes_)
-        values = batch.distinct_values
-        sums_ = batch.sums()
-        s, back = sums_
-        marks = np.zeros(len(batch.raw) + 1, np.int32)
-        # found in an earlier batch
+        s = batch.sums()
+        found = np.zeros(len(batch.raw) + length, bool)       # windows to remove, by their first byte + length
         if bits["earlier"]:
-            shared = _answer(bucket_of(values, buckets), bits["shared"], buckets)
-            runs_, which, one = batch.fragments(shared, sums_)
+            shared = _answer(bucket_of(batch.distinct, buckets), bits["shared"], buckets)
+            runs, which, one = batch.fragments(shared, s)
             hits = _fragment_bits(batch, one, bits["earlier"], buckets)
             counts = batch.count[one]
             at = (np.cumsum(counts) - counts)[which]
-            windows = _gather(batch.start[runs_], batch.count[runs_])[hits[_gather(at, batch.count[runs_])]]
-            np.add.at(marks, windows, 1)
-            np.add.at(marks, windows + length, -1)
-        # repeated inside this batch, smaller ids first
-        local = np.flatnonzero(batch.in_two_documents(values)[np.searchsorted(values, batch.value)]) if len(values) else []
-        if len(local):
-            windows = _gather(batch.start[local], batch.count[local])
-            doc = np.repeat(batch.doc[local], batch.count[local])
-            h = (s[windows + length] - s[windows]) * back[windows]
-            order = np.argsort(h, kind="stable")              # documents ascend, so the first is the smallest id
-            h = h[order]
-            first = np.ones(len(h), bool)
-            first[1:] = h[1:] != h[:-1]
-            least = batch.ids[doc[order[first]]][np.cumsum(first) - 1]
-            windows = windows[order[batch.ids[doc[order]] > least]]
-            np.add.at(marks, windows, 1)
-            np.add.at(marks, windows + length, -1)
-        gone = np.cumsum(marks[:-1]) > 0
+            found[length + _gather(batch.start[runs], batch.count[runs])[hits[_gather(at, batch.count[runs])]]] = True
+        found[length + batch.repeated(s)] = True
+        del s
+        have = np.cumsum(found, dtype=np.int32)
+        gone = have[length:] > have[:-length]
         out = []
         for i in range(len(batch.sizes)):
             a, z = int(batch.offsets[i]), int(batch.offsets[i + 1])
             g = gone[a:z]
             if batch.copied[i]:
                 kept, removed, spans = b"", z - a, 1
-            else:
+            elif g.any():
                 removed = int(g.sum())
-                spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum()) if removed else 0
-                kept = batch.raw[a:z][~g].tobytes() if removed else batch.raw[a:z].tobytes()
+                spans = int(g[0]) + int((g[1:] & ~g[:-1]).sum())
+                kept = batch.raw[a:z][~g].tobytes()
+            else:
+                kept, removed, spans = batch.raw[a:z].tobytes(), 0, 0
             out.append((int(batch.ids[i]) if batch.known[i] else None, z - a, removed, spans,
                         hashlib.sha256(kept).hexdigest(), kept if with_text else None))
-        return table_of(out, _OUT)
+        return _table(out, _OUT)
 
     def notes(*frames: DataFrame) -> DataFrame:
         out = frames[0]
