@@ -105,11 +105,11 @@ def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
 class Words:
     """The words of a batch: byte spans, owning document, 64-bit hashes."""
 
-    def __init__(self, column: pa.Array | pa.ChunkedArray, lower: bool = True):
+    def __init__(self, column: pa.Array | pa.ChunkedArray, lower: bool = True, space: np.ndarray = SPACE):
         self.raw, self.offsets = text_buffer(column)
         self.n_docs = len(self.offsets) - 1
         self.buf = LOWER[self.raw] if lower else self.raw
-        self.starts, self.ends = runs(~SPACE[self.raw], self.offsets)
+        self.starts, self.ends = runs(~space[self.raw], self.offsets)
         self.doc = owner(self.starts, self.offsets)
         self.hash = span_hash(self.buf, self.starts, self.ends)
         #: index of each document's first word, with one entry past the end

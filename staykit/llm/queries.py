@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, sharding, simhash, suffix_dedup
+from . import quality, sharding, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +31,18 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rules(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
     "op8_quality": op8_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested
