@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from . import html_text, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rules(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
+    "op9_html_text": op9_html_text,
     "op10_toxicity": op10_toxicity,
 }
 
