@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from . import decontam, html_text, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shingle=5, threshold=0.8)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
     "op5_pii": op5_pii,
+    "op6_decontam": op6_decontam,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
@@ -69,4 +74,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested
 #: against brute-force versions in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_decontam": decontam.ORACLE}
