@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_text, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from . import decontam, html_text, licenses, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
+    "op4_licenses": op4_licenses,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
     "op7_packing": op7_packing,
@@ -74,4 +79,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested
 #: against brute-force versions in tests/llm.
-ORACLE: dict[str, str] = {"op6_decontam": decontam.ORACLE}
+ORACLE: dict[str, str] = {"op4_licenses": licenses.ORACLE, "op6_decontam": decontam.ORACLE}
