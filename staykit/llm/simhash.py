@@ -63,17 +63,22 @@ def _fingerprint(text: bytes, n: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long) of every row."""
+    """(doc_id, mark, fp) of every row; ``mark`` is a 64-bit hash of id and text."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             raw, off = text_buffer(part.column("text"))
             low = LOWER[raw].tobytes()
             out = [_fingerprint(low[a:z], shingle) for a, z in zip(off[:-1].tolist(), off[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.array(out, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                [part.column("doc_id"), part.column("mark"), pa.array(np.array(out, np.uint64).view(np.int64))],
+                names=["doc_id", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        scan, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _mark(docs).alias("mark"))
+    return rows.mapInArrow(scan, "doc_id long, mark long, fp long")
+
+
+def _mark(docs: DataFrame) -> F.Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def segments(most: int) -> list[tuple[int, int]]:
@@ -174,7 +179,7 @@ def links(distinct: DataFrame, most: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = 4) -> DataFrame:
-    """Per row: doc_id, fp (long), fingerprint (16 hex digits), component_id.
+    """Per row: doc_id, mark, fp (long), fingerprint (16 hex digits), component_id, root.
 
     ``component_id`` is the smallest doc_id reachable over links of ``most``
     or fewer differing bits.
@@ -186,6 +191,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = 4) -> DataFra
     named = owners.join(roots, owners.fp == roots.node, "left").select(
         owners.fp, F.coalesce("root", owners.fp).alias("root"), "least")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(names, "root").select(F.col("fp").alias("of"), "component_id")
+    of = named.join(names, "root").select(F.col("fp").alias("of"), "component_id", "root")
     return fps.join(of, F.col("fp") == F.col("of")).select(
-        "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", "mark", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, most: int = 4) -> DataFrame:
+    """The input rows, one of each component: the smallest doc_id's.
+
+    Rows with equal id and text count as one; a null id stays only where its
+    component has no other.
+    """
+    names = docs.columns
+    groups = near_duplicates(docs, shingle, most)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark"))).alias("first")
+    keep = groups.groupBy("root").agg(first).select(F.col("first.mark").alias("_of"))
+    # one shuffle: the join and the removal of repeated rows share the key
+    return docs.withColumn("_mark", _mark(docs)).join(keep, F.col("_mark") == F.col("_of"), "left_semi").dropDuplicates(
+        ["_mark"]).select(*names)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from staykit.llm.simhash import _links, near_duplicates, segments
+from staykit.llm.simhash import _links, keep_one, near_duplicates, segments
 
 
 def fingerprint(text, n=4):
@@ -79,3 +79,15 @@ def test_every_close_pair_shares_a_chain_and_is_connected():
                     e = _links(np.array(k), np.array([x, y]), 4)
                     found |= len(e) == 1
         assert found
+
+
+def test_one_row_of_each_component_stays(docs_of):
+    rows = made(3) + [(7, "one"), (None, "lonely words here")]
+    docs = docs_of(rows).selectExpr("*", "1 as root", "2 as mark")
+    got = keep_one(docs)
+    assert got.columns == docs.columns
+    got = got.collect()
+    want = brute(rows)
+    named = {c for _, _, c in want if c is not None}
+    assert sorted(g.doc_id for g in got if g.doc_id is not None) == sorted(named)
+    assert [g.text for g in got if g.doc_id is None] == ["lonely words here"]
