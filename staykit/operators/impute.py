@@ -10,11 +10,11 @@ optimizer.
 
 Scale notes: ``mean`` and ``zero`` are constant-size. ``median`` is exact
 (equal to ``percentile(x, 0.5)``) but computed by the bounded multi-pass
-selection of :mod:`.quantiles`, so no task holds the column's distinct
-values; ``median_approx`` is one ``percentile_approx`` pass. ``mode``
-counts values with a hash aggregate (partial counts combined map-side, so
-one hot value is cheap) and keeps the top one by a distributed
-``TakeOrderedAndProject``.
+refinement of :mod:`.quantiles`, so no task holds the column's distinct
+values; ``median_approx`` merges KLL sketches on two levels. ``mode`` counts
+the values of all columns in one stacked hash aggregate (partial counts
+combined map-side, so one hot value is cheap); the best row of each column is
+an aggregate of the counts, and every column's subquery reads that one plan.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import MISSING_CATEGORY, is_floating, is_missing, is_present
-from .quantiles import exact_quantiles
+from ..functions.text import MISSING_CATEGORY, is_floating, is_missing
+from .quantiles import approx_quantiles, exact_quantiles
 
 FLAG_SUFFIX = "_imputed"
 
@@ -47,22 +47,38 @@ def _numeric_value(df: DataFrame, c: str) -> Column:
     return _clean(df, c)
 
 
-def fill_value(df: DataFrame, c: str, method: str, approx_accuracy: int = 10000,
-               medians: DataFrame | None = None) -> Column:
-    """Fill value for one column as a scalar-subquery Column."""
+def modes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: for each column its most frequent present value, lowest on ties.
+
+    One scan: each column's values sit in a slot of their own type, so they
+    keep their order and never collide.
+    """
+    slots = F.array(*[
+        F.struct(F.lit(i).alias("at"), *[
+            (_clean(df, c) if j == i else F.lit(None).cast(df.schema[d].dataType)).alias(f"v{j}")
+            for j, d in enumerate(columns)])
+        for i, c in enumerate(columns)])
+    counts = df.select(F.inline(slots)).groupBy("at", *[f"v{j}" for j in range(len(columns))]).count()
+    # ties: the lowest value among those with the greatest count
+    top = counts.groupBy("at").agg(F.max(F.when(F.coalesce(*[F.col(f"v{j}").cast("string") for j in range(len(columns))]).isNotNull(),
+                                                F.col("count"))).alias("most")).withColumnRenamed("at", "_at")
+    ties = counts.join(F.broadcast(top), (F.col("at") == F.col("_at")) & (F.col("count") == F.col("most")))
+    return ties.agg(*[F.min(F.col(f"v{i}")).alias(c) for i, c in enumerate(columns)])
+
+
+def _fills(df: DataFrame, columns: list[str], method: str) -> dict[str, Column]:
+    """Fill value of each column as a scalar-subquery Column over one shared plan."""
     if method == "mean":
-        return df.select(F.avg(_numeric_value(df, c))).scalar()
+        return {c: df.select(F.avg(_numeric_value(df, c))).scalar() for c in columns}
     if method == "median":
-        q = medians if medians is not None else exact_quantiles(df, [c], [0.5])
-        return q.filter(F.col("column_name") == c).select("value").scalar()
+        q = exact_quantiles(df, columns, [0.5])
+        return {c: q.filter(F.col("column_name") == c).select("value").scalar() for c in columns}
     if method == "median_approx":
-        return df.select(F.percentile_approx(_numeric_value(df, c), 0.5, approx_accuracy)).scalar()
+        q = approx_quantiles(df, columns, [0.5], ["value"])
+        return {c: q.filter(F.col("column_name") == c).select("value").scalar() for c in columns}
     if method == "mode":
-        # most frequent value, lowest value on ties
-        present = df.filter(is_present(c, df.schema[c].dataType))
-        top = (present.groupBy(c).count()
-               .orderBy(F.col("count").desc(), F.col(c).asc()).limit(1))
-        return top.select(c).scalar()
+        row = modes(df, columns)
+        return {c: row.select(c).scalar() for c in columns}
     raise ValueError(f"unknown fill method {method!r}")
 
 
@@ -76,8 +92,7 @@ def impute(df: DataFrame, columns: list[str], method: str = "mean",
     """
     new: dict[str, Column] = {}
     flags: dict[str, Column] = {}
-    # one exact-median plan for all columns; each column's subquery reads it
-    medians = exact_quantiles(df, columns, [0.5]) if method == "median" else None
+    fills = {} if method in ("zero", "constant", "category") else _fills(df, columns, method)
     for c in columns:
         dtype = df.schema[c].dataType
         if method == "zero":
@@ -87,7 +102,7 @@ def impute(df: DataFrame, columns: list[str], method: str = "mean",
         elif method == "category":
             fill = F.lit(MISSING_CATEGORY if value is None else value).cast(dtype)
         else:
-            fill = fill_value(df, c, method, medians=medians)
+            fill = fills[c]
         new[c] = F.coalesce(_clean(df, c), fill)
         if flag:
             flags[c + FLAG_SUFFIX] = _missing(df, c)

@@ -1,27 +1,25 @@
-"""Exact quantiles with bounded memory, for many columns at once.
+"""Exact quantiles by refinement, and mergeable sketches, for many columns at once.
 
 Spark's exact ``percentile`` (and ``median``) merges, in one task, a buffer
 holding every distinct value of the column. This module gets the same
 numbers (linear interpolation between the values at ranks ``floor`` and
 ``ceil`` of ``p * (n - 1)``) from a few distributed passes:
 
-1. per column: the row count and, from the mergeable ``percentile_approx``
-   sketch, a value bracket ``[lo, hi]`` around each target rank (rank error
-   of the sketch is at most ``n / accuracy``; the bracket is ``margin``
-   times wider);
-2. one hash aggregate over all values: a value inside a bracket keeps its
-   own key, values between brackets collapse into one "gap" count per
-   bracket (so a value held by a third of all rows is one row per task);
-3. per column, the aggregated rows in value order with cumulative counts
-   give every row's exact rank span; the rows holding ``floor`` and
-   ``ceil`` of each target rank are picked.
-
-The ordered rows of one column in step 3 number at most about
-``2 * margin * n / accuracy`` per requested quantile (plus one gap row
-each), not the whole column; columns with fewer than ``2 * accuracy``
-values skip the sketch and are ordered whole. If the sketch's bracket ever
-missed the target rank, the result raises an error instead of returning a
-wrong value.
+1. per column: row count, least and greatest value;
+2. ``ROUNDS`` times: values between an interval's ends are counted in
+   ``BINS`` equal-width bins, a hash aggregate of at most ``BINS`` rows an
+   interval and task; the bins holding the target ranks become the next
+   intervals, with the least and greatest value seen in them as ends (so
+   empty stretches cost no resolution);
+3. the distinct values left in an interval are counted and ranked exactly.
+
+There is one path for every size, no sketch error to allow for, and no
+aggregate whose buffer or input grows with the number of map tasks beyond
+``BINS`` rows each. What is ordered in step 3 is one bin of a bin: about
+``n / BINS ** ROUNDS`` distinct values a target rank.
+
+:func:`approx_quantiles` merges KLL sketches on two levels, so no task reads
+more than about ``tasks / FAN_IN`` of them.
 """
 
 from __future__ import annotations
@@ -31,8 +29,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_floating
 
-DEFAULT_ACCURACY = 100_000
-DEFAULT_MARGIN = 4.0
+#: Bins a round and rounds: a resolution of 4096 ** 2 inside the range of the values.
+BINS, ROUNDS = 4096, 2
+#: KLL sketch size (its rank error is well under 1 / 1000) and level-one groups.
+SKETCH_K, FAN_IN = 4096, 512
+#: Rank error the approximate reports promise.
+RANK_ERROR = 0.005
 
 
 def empty_report(df: DataFrame, ddl: str) -> DataFrame:
@@ -52,76 +54,81 @@ def _stack(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter(F.col("v").isNotNull())
 
 
+def _targets(stats: DataFrame, probs: list[float]) -> DataFrame:
+    """``column_name, p, side, rank``: the two ranks each quantile lies between."""
+    rows = []
+    for p in probs:
+        pos = F.lit(p) * (F.col("n") - 1)
+        rows += [F.struct(F.lit(p).alias("p"), F.lit(side).alias("side"), rank.cast("long").alias("rank"))
+                 for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos)))]
+    return stats.select("column_name", F.inline(F.array(*rows)))
+
+
+def _inside(stacked: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Values with the interval they lie in (a few intervals a column: broadcast)."""
+    i = intervals.withColumnRenamed("column_name", "_c")
+    return stacked.join(F.broadcast(i), (F.col("column_name") == F.col("_c"))
+                        & (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).drop("_c")
+
+
+def _spans(counted: DataFrame, by: str) -> DataFrame:
+    """Add ``start``: the number of the column's values before each counted row."""
+    w = Window.partitionBy("column_name", "before").orderBy(by)
+    return counted.withColumn("start", F.col("before") + F.sum("cnt").over(w) - F.col("cnt"))
+
+
+def _hit(spans: DataFrame, targets: DataFrame) -> DataFrame:
+    """Spans joined to the target ranks inside them."""
+    t = targets.withColumnRenamed("column_name", "_c")
+    return spans.join(F.broadcast(t), (F.col("column_name") == F.col("_c")) & (F.col("rank") >= F.col("start"))
+                      & (F.col("rank") < F.col("start") + F.col("cnt"))).drop("_c")
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    accuracy: int = DEFAULT_ACCURACY, margin: float = DEFAULT_MARGIN) -> DataFrame:
+                    bins: int = BINS, rounds: int = ROUNDS) -> DataFrame:
     """``column_name, p, value``: exact quantiles, equal to ``percentile``.
 
-    Columns with no present value give no rows.
+    Columns with no present value give no rows. Infinities count as values.
     """
     if not columns:
         return empty_report(df, "column_name string, p double, value double")
     stacked = _stack(df, columns)
-    eps = margin / accuracy
-    lo_ps = [max(p - eps, 0.0) for p in probs]
-    hi_ps = [min(p + eps, 1.0) for p in probs]
-    # pass 1: one row per column (bounded by the number of columns)
-    stats = (stacked.groupBy("column_name")
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.percentile_approx("v", lo_ps + hi_ps, accuracy).alias("b")))
-    k = len(probs)
-    # Below ``small`` values the sketch's rank slack (about one row from its
-    # p * n versus the p * (n - 1) target) can exceed the margin, so the
-    # bracket is the whole range: still at most ``small`` candidates.
-    small = 2 * accuracy
-    whole = F.col("n") < small
+    stats = stacked.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    targets = _targets(stats, probs)
+    intervals = stats.select("column_name", F.lit(0).cast("long").alias("before"), "lo", "hi")
     inf = F.lit(float("inf"))
-    bounds = stats.select("column_name", "n", *[
-        c for i in range(k) for c in (
-            F.when(whole, -inf).otherwise(F.col("b")[i]).alias(f"lo{i}"),
-            F.when(whole, inf).otherwise(F.col("b")[k + i]).alias(f"hi{i}"))
-    ])
-    # pass 2: one aggregate, no copy per quantile. A value inside some
-    # bracket keeps its own key; a value outside every bracket is counted in
-    # a "gap" row keyed by the next bracket's lower end (sorted just before
-    # it); values above the top bracket are never needed and are dropped.
-    v = F.col("v")
-    inside = F.lit(False)
-    for i in range(k):
-        inside = inside | ((v >= F.col(f"lo{i}")) & (v <= F.col(f"hi{i}")))
-    above = [F.when(F.col(f"lo{i}") > v, F.col(f"lo{i}")) for i in range(k)]
-    next_lo = F.least(*above) if k > 1 else above[0]       # least() needs two arguments
-    keyed = (stacked.join(F.broadcast(bounds), "column_name")
-             .select("column_name",
-                     F.when(inside, v).otherwise(next_lo).alias("key"),
-                     (~inside).alias("gap"))
-             .filter(F.col("key").isNotNull())
-             .groupBy("column_name", "key", "gap").agg(F.count(F.lit(1)).alias("cnt")))
-    # pass 3 (small): cumulative counts per column give each row's exact
-    # rank span; pick the rows holding the two target ranks of each quantile
-    w = (Window.partitionBy("column_name").orderBy(F.col("key"), F.col("gap").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (keyed.withColumn("end", F.sum("cnt").over(w))
-              .join(F.broadcast(stats.select("column_name", "n")), "column_name"))
-    aggs = []
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("n") - 1)
-        for tag, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            # the first row whose span passes the rank: (end, gap, key)
-            hit = F.when(F.col("end") > rank, F.struct(F.col("end"), F.col("gap"), F.col("key")))
-            aggs.append(F.min(hit).alias(f"{tag}{i}"))
-    picked = ranked.groupBy("column_name").agg(F.first("n").alias("n"), *aggs)
-    rows = []
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("n") - 1)
-        lower, higher = F.floor(pos), F.ceil(pos)
-        a, b = F.col(f"lo{i}"), F.col(f"hi{i}")
-        ok = a.isNotNull() & b.isNotNull() & ~a["gap"] & ~b["gap"]
-        interp = F.when(lower == higher, a["key"]).otherwise(
-            (higher - pos) * a["key"] + (pos - lower) * b["key"])
-        value = F.when(ok, interp).otherwise(
-            F.raise_error(F.lit("quantile bracket missed the target rank; raise accuracy")).cast("double"))
-        rows.append(F.struct(F.lit(p).alias("p"), value.alias("value")))
-    return picked.select("column_name", F.inline(F.array(*rows)))
+    for _ in range(rounds):
+        v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+        # halves, so that the width of the whole double range is finite; an
+        # interval with an infinite end only sets its infinities apart
+        place = F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * bins)
+        at = (F.when(v == -inf, -1).when(v == inf, bins).when((lo == hi) | (lo == -inf) | (hi == inf), 0)
+              .otherwise(F.least(place, F.lit(bins - 1))).cast("int"))
+        counted = _inside(stacked, intervals).groupBy("column_name", "before", at.alias("bin")).agg(
+            F.count(F.lit(1)).alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        intervals = _hit(_spans(counted, "bin"), targets).select(
+            "column_name", F.col("start").alias("before"), "lo", "hi").distinct()
+    values = _inside(stacked, intervals).groupBy("column_name", "before", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    picked = _hit(_spans(values, "v"), targets).groupBy("column_name", "p").agg(
+        F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("a"),
+        F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("b"))
+    pos = F.col("p") * (F.col("n") - 1)
+    lower, higher = F.floor(pos), F.ceil(pos)
+    value = F.when(lower == higher, F.col("a")).otherwise((higher - pos) * F.col("a") + (pos - lower) * F.col("b"))
+    counts = stats.select(F.col("column_name").alias("_c"), "n")
+    return (picked.join(F.broadcast(counts), F.col("column_name") == F.col("_c"))       # one row per column
+            .select("column_name", "p", value.alias("value")))
+
+
+def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float], names: list[str],
+                     k: int = SKETCH_K) -> DataFrame:
+    """``column_name, <names...>``: quantiles of KLL sketches merged on two levels."""
+    part = F.pmod(F.spark_partition_id(), F.lit(FAN_IN))
+    first = _stack(df, columns).groupBy("column_name", part.alias("part")).agg(F.kll_sketch_agg_double("v", k).alias("s"))
+    merged = first.groupBy("column_name").agg(F.kll_merge_agg_double("s", k).alias("s"))
+    return merged.select("column_name", *[
+        F.kll_sketch_get_quantile_double("s", F.lit(float(p))).alias(n) for p, n in zip(probs, names)])
 
 
 def exact_quantile_columns(df: DataFrame, columns: list[str], probs: list[float],

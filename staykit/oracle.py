@@ -1,8 +1,9 @@
 """DuckDB SQL that computes what each registered query computes.
 
 Written as SQL over the same portable fixtures, independently of the Spark
-code paths; only column lists and fixed parameters are shared. Keys whose
-result is approximate by design have no entry (compared on rows only).
+code paths; only column lists and fixed parameters are shared. Approximate
+reports are compared on their exact columns and on the error bounds they must
+keep.
 """
 
 from __future__ import annotations
@@ -262,51 +263,74 @@ def _describe(base, columns, types, keep_nan=False):
             parts.append(
                 f"select '{c}' as column_name, count({v}) as count, round(avg({v}), {DIG}) as mean, "
                 f"round(stddev_samp({v}), {DIG}) as stddev, cast(min({v}) as double) as min, "
-                f"cast(max({v}) as double) as max, cast(null as varchar) as min_text, "
-                f"cast(null as varchar) as max_text from {base}")
+                f"cast(max({v}) as double) as max, {_extreme('min', c, t)} as min_text, "
+                f"{_extreme('max', c, t)} as max_text from {base}")
     return union(parts)
 
 
+def _extreme(f, c, t):
+    return f"cast({f}({c}) as varchar)" if t in ("long", "string") else "cast(null as varchar)"
+
+
+LARGE_IDS = f"""{L}, ids as (select id + 983412345678900000 as large_id, -host_id - 983412345678900000 as negative_id from listings)
+""" + union(f"select '{c}' as column_name, count({c}) as count, cast(min({c}) as varchar) as min_text, "
+            f"cast(max({c}) as varchar) as max_text from ids" for c in ("large_id", "negative_id"))
+
+
 FIXED_TYPES = {**FIX_TYPES, "price": "double"}
 FIXED_COLUMNS = ["id"] + EXPLORE_COLUMNS
 
 
-def _summary():
+def _quartiles(v, numeric, checked):
+    """Exact quartiles, or for sketched reports whether they keep their bound."""
+    names = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    if checked:
+        return ", ".join(f"{f'case when count({v}) > 0 then true end' if numeric else 'cast(null as boolean)'} as {n}_ok"
+                         for n, _ in names)
+    return ", ".join(f"{f'round(quantile_cont({v}, {p}), {DIG})' if numeric else 'cast(null as double)'} as {n}"
+                     for n, p in names)
+
+
+def _summary(checked=False):
     parts = []
     for c in FIXED_COLUMNS:
         t = FIXED_TYPES[c]
-        if t == "string":
-            continue
-        v = f"cast({nan_null(c, t)} as double)"
+        num = t != "string"
+        v = f"cast({nan_null(c, t)} as double)" if num else c
         q = lambda p: f"quantile_cont({v}, {p})"
+        stats = (f"round(avg({v}), {DIG}) as mean, round(stddev_samp({v}), {DIG}) as stddev, min({v}) as min, max({v}) as max"
+                 if num else "cast(null as double) as mean, cast(null as double) as stddev, "
+                             "cast(null as double) as min, cast(null as double) as max")
+        iqr = "" if checked else ", " + (f"round({q(0.75)} - {q(0.25)}, {DIG}) as iqr" if num else "cast(null as double) as iqr")
         parts.append(
-            f"select '{c}' as column_name, count({v}) as count, round(avg({v}), {DIG}) as mean, "
-            f"round(stddev_samp({v}), {DIG}) as stddev, min({v}) as min, max({v}) as max, "
-            f"round({q(0.25)}, {DIG}) as p25, round({q(0.5)}, {DIG}) as p50, "
-            f"round({q(0.75)}, {DIG}) as p75, round({q(0.75)} - {q(0.25)}, {DIG}) as iqr from fixed")
+            f"select '{c}' as column_name, count({v}) as count, {stats}, {_extreme('min', c, t)} as min_text, "
+            f"{_extreme('max', c, t)} as max_text, {_quartiles(v, num, checked)}{iqr} from fixed")
     return f"{L}{FIXED_PRICE}\n" + union(parts)
 
 
-def _profile():
+def _profile(checked=False):
     parts = []
     for c in FIXED_COLUMNS:
         t = FIXED_TYPES[c]
         m = f"count(*) filter (where {missing(c, t)})"
         v = nan_null(c, t)
+        distinct = "true as distinct_ok" if checked else f"count(distinct {v}) as distinct_count"
         head = (f"select '{c}' as column_name, '{SPARK_NAME[t]}' as data_type, count(*) as n_rows, "
                 f"{m} as missing_count, cast({m} as double) / cast(nullif(count(*), 0) as double) * 100e0 "
-                f"as missing_percent, count(distinct {v}) as distinct_count")
+                f"as missing_percent, {distinct}, {_extreme('min', c, t)} as min_text, {_extreme('max', c, t)} as max_text")
         if t == "string":
+            top = f"from fixed where {c} is not null group by {c} order by count(*) desc, {c} asc limit 1"
             tail = ("cast(null as bigint) as zero_count, cast(null as double) as mean, "
                     "cast(null as double) as stddev, cast(null as double) as min, cast(null as double) as max, "
-                    "cast(null as double) as p25, cast(null as double) as p50, cast(null as double) as p75")
+                    f"min(length({c})) as min_length, max(length({c})) as max_length, round(avg(length({c})), {DIG}) as mean_length, "
+                    f"(select {c} {top}) as top_value, (select count(*) {top}) as top_count")
         else:
             vd = f"cast({v} as double)"
             tail = (f"count(*) filter (where {vd} = 0) as zero_count, round(avg({vd}), {DIG}) as mean, "
                     f"round(stddev_samp({vd}), {DIG}) as stddev, min({vd}) as min, max({vd}) as max, "
-                    f"round(quantile_cont({vd}, 0.25), {DIG}) as p25, round(quantile_cont({vd}, 0.5), {DIG}) as p50, "
-                    f"round(quantile_cont({vd}, 0.75), {DIG}) as p75")
-        parts.append(f"{head}, {tail} from fixed")
+                    "cast(null as bigint) as min_length, cast(null as bigint) as max_length, cast(null as double) as mean_length, "
+                    "cast(null as varchar) as top_value, cast(null as bigint) as top_count")
+        parts.append(f"{head}, {tail}, {_quartiles(f'cast({v} as double)', t != 'string', checked)} from fixed")
     return f"{L}{FIXED_PRICE}\n" + union(parts)
 
 
@@ -365,19 +389,50 @@ def _impute(method, columns):
 
 
 def _cluster():
-    lat_rad = "latitude * pi() / 180e0"
+    lat_rad = "least(greatest(latitude, -85.0511287798066e0), 85.0511287798066e0) * pi() / 180e0"
     scale = "16384e0"
     where = " and ".join(present(c, "double") for c in ("latitude", "longitude"))
+
+    def inside(tile):
+        return f"cast(least(greatest(floor({tile}), 0), 16383) as bigint)"
+
     return f"""{L},
-t as (select cast(floor((longitude + 180e0) / 360e0 * {scale}) as bigint) as tile_x,
-             cast(floor((1e0 - ln(tan({lat_rad}) + 1e0 / cos({lat_rad})) / pi()) / 2e0 * {scale}) as bigint) as tile_y,
+t as (select {inside(f'(longitude + 180e0) / 360e0 * {scale}')} as tile_x,
+             {inside(f'(1e0 - ln(tan({lat_rad}) + 1e0 / cos({lat_rad})) / pi()) / 2e0 * {scale}')} as tile_y,
              latitude, longitude
-      from listings where {where})
+      from listings where {where} and abs(latitude) <= 90 and abs(longitude) <= 180)
 select tile_x, tile_y, count(*) as n_points, round(avg(latitude), 6) as center_lat,
        round(avg(longitude), 6) as center_lon
 from t group by tile_x, tile_y"""
 
 
+_FITS = "regexp_full_match({c}, '[0-9]+(\\.0+)?')"
+
+
+def _dirty():
+    bad = {c: f"({c} <> 'NA' and not {_FITS.format(c=c)})" for c in ("minimum_nights", "maximum_nights")}
+    whens = ", ".join(f"case when {b} then '{c}_not_bigint' end" for c, b in bad.items())
+    return f"with {fixture_cte('calendar_dirty')}, r as (select *, concat_ws(';', {whens}) as reasons from calendar_dirty)"
+
+
+def _dirty_long(c):
+    return f"cast(cast(nullif({c}, 'NA') as double) as bigint) as {c}"
+
+
+GEOJSON_REJECTS = f"""with {fixture_cte('geojson_dirty')},
+r as (select doc, case when not json_valid(doc) then 'not JSON'
+                       when json_extract_string(doc, '$.type') <> 'FeatureCollection' then 'not a FeatureCollection'
+                       when json_extract(doc, '$.features') is null then 'no feature list' end as reason from geojson_dirty)
+select doc, reason from r where reason is not null"""
+GEOJSON_BOUNDARIES = f"""with {fixture_cte('geojson_docs')},
+feats as (select unnest(from_json(doc->'features', '["JSON"]')) as f from geojson_docs)
+select f->'properties'->>'neighbourhood' as neighbourhood,
+       f->'properties'->>'neighbourhood_group' as neighbourhood_group,
+       f->'geometry'->>'type' as geometry_type,
+       f->>'type' as feature_type,
+       cast(f->'geometry'->'coordinates' as varchar) as coordinates
+from feats"""
+
 _ANY = " and ".join(present(c, FIX_TYPES[c]) for c in ANY_NULL_SUBSET)
 _REQ = " and ".join(present(c, FIX_TYPES[c]) for c in REQUIRED_COLUMNS)
 _LOC = " and ".join(present(c, "double") for c in ("latitude", "longitude"))
@@ -390,6 +445,15 @@ ORACLE: dict[str, str] = {
     "scan_csv_contract": _contract_read("listings", key="id"),
     "geojson_features": GEOJSON,
     "geojson_files": GEOJSON,
+    "geojson_rejects": GEOJSON_REJECTS,
+    "geojson_file_rejects": GEOJSON_REJECTS,
+    "geojson_boundaries": GEOJSON_BOUNDARIES,
+    "ingest_contract_violation": "select 'new_col' as column_name, 'extra' as status union all select 'adjusted_price', 'missing'",
+    "ingest_accepted": f"{_dirty()} select date, available, price, cast(null as varchar) as adjusted_price, "
+                       f"{_dirty_long('minimum_nights')}, {_dirty_long('maximum_nights')}, "
+                       f"timestamp '{NOW}' as processing_datetime, '{AREA}' as area from r where reasons = ''",
+    "ingest_rejects": f"{_dirty()} select reasons, date, new_col, minimum_nights, maximum_nights, '{AREA}' as area "
+                      "from r where reasons <> ''",
     "ingest_listings": _contract_read("listings", stamp=True),
     "ingest_calendar": _contract_read("calendar", stamp=True),
     "ingest_agg_listing": _contract_read("agg_listing", stamp=True),
@@ -447,8 +511,11 @@ ORACLE: dict[str, str] = {
                                                            FIXED_TYPES, keep_nan=True),
     "describe_price": f"{L}{FIXED_PRICE}\n" + _describe("fixed", ["price"], FIXED_TYPES),
     "describe_min_nights": f"{L}{POS_PRICES}\n" + _describe("pos", ["minimum_nights"], FIXED_TYPES),
+    "describe_large_ids": LARGE_IDS,
     "summary_exact": _summary(),
+    "summary_approx": _summary(checked=True),
     "profile_exact": _profile(),
+    "profile_approx": _profile(checked=True),
     "histogram": _histogram([HISTOGRAM_COLUMN]),
     "histograms": _histogram(HISTOGRAM_COLUMNS),
     "amenity_counts": f"{L}, i as (select unnest({AMENITY_JSON}) as item from listings) "
@@ -457,6 +524,7 @@ ORACLE: dict[str, str] = {
                              "select lower(item) as item, count(*) as count from i group by 1",
     "map_points": f"{L} select id, price, latitude, longitude from listings where {_LOC} order by id limit 30",
     "cluster_points": _cluster(),
+    "off_earth": f"{L} select id, latitude, longitude from listings where {_LOC} and (abs(latitude) > 90 or abs(longitude) > 180)",
     "clean_listings": f"{L}, c as (select {_clean_select()} from listings) select * from c "
                       f"where price < {EXTREME_PRICE} and minimum_nights <= {MAX_MINIMUM_NIGHTS}",
     "clean_listings_compat": f"{L}, c as (select {_clean_select(compat=True)} from listings) select * from c "

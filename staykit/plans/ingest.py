@@ -7,13 +7,21 @@ directly, and the append is the only action.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..sources.csv import read_csv_contract
-from .contracts import load_contract, save_contract, with_metadata_fields
+from ..sources.csv import REASONS, check_header, csv_header, header_diff, read_csv_parsed
+from .contracts import METADATA_FIELDS, load_contract, save_contract, with_metadata_fields
 from .sinks import add_metadata_columns, append_by_name, create_table_if_missing
 
+REJECT_SCHEMA = StructType([StructField("reasons", StringType()), StructField("raw", StringType()), *METADATA_FIELDS])
+
+
+def rejects_table(table: str) -> str:
+    return f"{table}_rejects"
+
 
 def ingest_feed(
     spark: SparkSession,
@@ -26,15 +34,44 @@ def ingest_feed(
     location: str | None = None,
     fmt: str = "parquet",
     multi_line: bool = True,
+    extra: str | list[str] = "fail",
+    missing: str | list[str] = "fail",
 ) -> DataFrame:
     """Append one feed's files to ``table`` (created from the contract plus
-    metadata fields if missing) and return the table."""
+    metadata fields if missing) and return the table.
+
+    The feed's header is held against the contract before anything is
+    written: columns on one side only raise
+    :class:`~staykit.sources.csv.ContractViolation` unless ``extra`` /
+    ``missing`` allow them. A row with a value that does not fit its type
+    goes, with its reasons and its whole text, to ``<table>_rejects``
+    instead; both tables together hold every row of the feed.
+    """
+    check_header(csv_header(spark, path, multi_line), contract, key, extra, missing)
     create_table_if_missing(spark, table, with_metadata_fields(contract), location, fmt)
-    rows = read_csv_contract(spark, path, contract, key=key, drop_key=True, multi_line=multi_line)
-    append_by_name(add_metadata_columns(rows, area, now), table)
+    rejects = rejects_table(table)
+    create_table_if_missing(spark, rejects, REJECT_SCHEMA, f"{location}_rejects" if location else None, fmt)
+    # parsed once (a gzip feed parses in one task a file), written twice
+    parsed = read_csv_parsed(spark, path, contract, key=key, multi_line=multi_line, extra=extra, missing=missing)
+    parsed = add_metadata_columns(parsed, area, now).persist(StorageLevel.DISK_ONLY)
+    try:
+        good = parsed.where(F.col(REASONS) == "").drop(REASONS, "_raw", *([key] if key else []))
+        append_by_name(good, table)
+        bad = parsed.where(F.col(REASONS) != "").select(
+            F.col(REASONS).alias("reasons"), F.col("_raw").alias("raw"), *[f.name for f in METADATA_FIELDS])
+        append_by_name(bad, rejects)
+    finally:
+        parsed.unpersist()
     return spark.read.table(table)
 
 
+def violation_report(spark: SparkSession, path: str, contract: StructType, key: str | None = None) -> DataFrame:
+    """``column_name, status`` (``extra`` / ``missing``) of a feed's header against its contract."""
+    more, less = header_diff(csv_header(spark, path), contract, key)
+    return spark.createDataFrame(
+        [(n, "extra") for n in more] + [(n, "missing") for n in less], "column_name string, status string")
+
+
 def ingest_with_stored_contract(spark: SparkSession, contract_path: str, contract: StructType,
                                 **kwargs) -> DataFrame:
     """Store the contract as JSON, read it back, and ingest against the copy

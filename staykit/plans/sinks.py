@@ -58,22 +58,63 @@ def append_by_name(df: DataFrame, name: str) -> None:
     df.select(*cols).write.insertInto(name)
 
 
+def _location(spark: SparkSession, name: str) -> tuple[str, str]:
+    """(table type, location) of a catalog table."""
+    rows = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return rows.get("Type", ""), rows.get("Location", "")
+
+
 def overwrite_table(df: DataFrame, name: str, location: str | None = None,
                     fmt: str = "parquet") -> None:
     """Replace a table's rows *and* schema.
 
-    With a ``location`` the new rows go to a fresh version folder under it,
-    and only after that write has committed is the catalog entry pointed at
-    the new folder (the old entry is external, so dropping it keeps its
-    files). A job that fails midway leaves the previous version readable,
-    and the frame may read the very table it replaces. Without a location
-    this is Spark's managed ``saveAsTable`` overwrite.
+    With a ``location`` the new rows go to a fresh version folder under it.
+    Only after that write has committed is the catalog changed: with the same
+    schema by one ``ALTER TABLE ... SET LOCATION``, otherwise by building the
+    new entry under a spare name and renaming twice, the old entry put back
+    if the second rename fails. A job that fails midway leaves the previous
+    version in place, and the frame may read the very table it replaces. A
+    managed table is refused, since replacing its entry would delete its
+    files. Old versions stay until :func:`vacuum_versions`. Without a
+    location this is Spark's managed ``saveAsTable`` overwrite.
     """
     spark = df.sparkSession
     if not location:
         df.write.mode("overwrite").format(fmt).saveAsTable(name)
         return
+    exists = spark.catalog.tableExists(name)
+    if exists and _location(spark, name)[0].upper() == "MANAGED":
+        raise ValueError(f"{name} is a managed table; overwrite it without a location")
     version = f"{location.rstrip('/')}/v_{uuid.uuid4().hex[:12]}"
     df.write.format(fmt).save(version)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{version}'")
+    if not exists:
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{version}'")
+        return
+    if spark.read.table(name).schema == spark.read.format(fmt).load(version).schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+        return
+    spare = f"{name}_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {spare}_new USING {fmt} LOCATION '{version}'")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {spare}_old")
+    try:
+        spark.sql(f"ALTER TABLE {spare}_new RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {spare}_old RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {spare}_old")            # external: its files stay
+
+
+def vacuum_versions(spark: SparkSession, name: str, keep: int = 1) -> list[str]:
+    """Delete old version folders of a table, all but the current and the newest
+    ``keep`` others; returns the deleted paths. No reader may still use them."""
+    current = _location(spark, name)[1]
+    path = spark._jvm.org.apache.hadoop.fs.Path(current)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    others = sorted((s for s in fs.listStatus(path.getParent())
+                     if s.getPath().getName().startswith("v_") and s.getPath().getName() != path.getName()),
+                    key=lambda s: -s.getModificationTime())
+    gone = [str(s.getPath()) for s in others[keep:]]
+    for s in others[keep:]:
+        fs.delete(s.getPath(), True)
+    return gone

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from .functions import text as X
 from .operators import filters, geo, impute, missing, profile, validate
 from .plans import contracts, listings, sinks
-from .plans.ingest import ingest_feed, ingest_with_stored_contract
+from .plans.ingest import ingest_feed, ingest_with_stored_contract, rejects_table, violation_report
 from .session import shared_path
 from .sources.csv import apply_null_tokens, read_csv_contract, write_csv
 from .sources.fixtures import fixture
-from .sources.geojson import features_from_docs, read_geojson
+from .sources.geojson import features_from_docs, read_geojson, read_geojson_rejects, rejected_docs
 from .streaming.ingest import stream_ingest_once
 
 # Fixed parameters of the registered queries (the oracle uses the same).
@@ -83,13 +83,62 @@ def _ingest(name: str, key: str | None = None) -> Query:
         return ingest_with_stored_contract(
             spark, shared_path(spark, "contracts", f"{name}.json", unique=True),
             contracts.CONTRACTS[name], path=path, table=table, area=AREA, now=NOW,
-            key=key, location=shared_path(spark, "tables", table))
+            key=key, location=shared_path(spark, "tables", table), missing="allow")
     return run
 
 
 def q_scan_csv_contract(spark, sf):
     path = _stage(spark, sf, "listings")
-    return read_csv_contract(spark, path, contracts.LISTING_CONTRACT, key="id")
+    return read_csv_contract(spark, path, contracts.LISTING_CONTRACT, key="id", missing="allow")
+
+
+def q_ingest_contract_violation(spark, sf):
+    return violation_report(spark, _stage(spark, sf, "calendar_dirty"), contracts.CALENDAR_CONTRACT)
+
+
+def _ingest_dirty(spark, sf):
+    table = "raw_dirty_" + shared_path(spark, "tmp", unique=True).rsplit("/", 1)[1]
+    ingest_feed(spark, _stage(spark, sf, "calendar_dirty"), contracts.CALENDAR_CONTRACT, table, AREA, NOW,
+                location=shared_path(spark, "tables", table), extra=["new_col"], missing=["adjusted_price"])
+    return table
+
+
+def q_ingest_accepted(spark, sf):
+    return spark.read.table(_ingest_dirty(spark, sf))
+
+
+def q_ingest_rejects(spark, sf):
+    rejects = spark.read.table(rejects_table(_ingest_dirty(spark, sf)))
+    raw = F.from_json("raw", "date string, new_col string, minimum_nights string, maximum_nights string")
+    return rejects.select("reasons", raw.alias("r"), "area").select("reasons", "r.*", "area")
+
+
+def _large_ids(spark, sf):
+    base = F.lit(983412345678900000)
+    return _listings(spark, sf).select((F.col("id") + base).alias("large_id"), (-F.col("host_id") - base).alias("negative_id"))
+
+
+def _summary_approx(spark, sf):
+    """Exact columns of the sketched summary, and whether its quartiles keep their promise."""
+    df = _fixed_price(spark, sf)
+    report = profile.summary_long(df, exact=False)
+    return _checked(df, report.drop("iqr"))
+
+
+def _profile_approx(spark, sf):
+    df = _fixed_price(spark, sf)
+    report = profile.profile(df, exact=False)
+    true = profile.distinct_counts(df, df.columns).select(F.col("column_name").alias("_d"), F.col("distinct_count").alias("_n"))
+    n = F.coalesce("_n", F.lit(0).cast("long"))
+    close = F.abs(F.col("distinct_count") - n) <= 3 * 0.05 * n      # three times HyperLogLog++'s stated error
+    report = report.join(F.broadcast(true), F.col("column_name") == F.col("_d"), "left")
+    return _checked(df, report.withColumn("distinct_ok", close).drop("_d", "_n", "distinct_count"))
+
+
+def _checked(df, report):
+    ok = profile.rank_checks(df, report).withColumnRenamed("column_name", "_c")
+    report = report.join(F.broadcast(ok), F.col("column_name") == F.col("_c"), "left").drop("_c", "p25", "p50", "p75")
+    return report.withColumns({c: F.round(c, STATS_DIGITS) for c in ("mean", "stddev", "mean_length") if c in report.columns})
 
 
 def q_geojson_files(spark, sf):
@@ -99,6 +148,12 @@ def q_geojson_files(spark, sf):
     return read_geojson(spark, path, multi_line=False)
 
 
+def q_geojson_file_rejects(spark, sf):
+    path = shared_path(spark, "staging", "geojson_dirty", unique=True)
+    fixture(spark, sf, "geojson_dirty").write.text(path)
+    return read_geojson_rejects(spark, path, multi_line=False)
+
+
 def q_sink_append_twice(spark, sf):
     path = _stage(spark, sf, "calendar")
     table = "raw_calendar_twice_" + shared_path(spark, "tmp", unique=True).rsplit("/", 1)[1]
@@ -158,7 +213,13 @@ QUERIES: dict[str, Query] = {
     "scan_csv_contract": q_scan_csv_contract,
     "geojson_features": lambda s, sf: features_from_docs(fixture(s, sf, "geojson_docs")),
     "geojson_files": q_geojson_files,
+    "geojson_rejects": lambda s, sf: rejected_docs(fixture(s, sf, "geojson_dirty")),
+    "geojson_file_rejects": q_geojson_file_rejects,
+    "geojson_boundaries": lambda s, sf: features_from_docs(fixture(s, sf, "geojson_dirty"), geometry=True),
     # contracts, metadata, sinks
+    "ingest_contract_violation": q_ingest_contract_violation,
+    "ingest_accepted": q_ingest_accepted,
+    "ingest_rejects": q_ingest_rejects,
     "ingest_listings": _ingest("listings", key="id"),
     "ingest_calendar": _ingest("calendar"),
     "ingest_agg_listing": _ingest("agg_listing"),
@@ -226,10 +287,12 @@ QUERIES: dict[str, Query] = {
                                                           digits=STATS_DIGITS),
     "describe_min_nights": lambda s, sf: profile.describe_long(
         _pos_prices(s, sf).select("minimum_nights"), digits=STATS_DIGITS),
+    "describe_large_ids": lambda s, sf: profile.describe_long(_large_ids(s, sf)).select(
+        "column_name", "count", "min_text", "max_text"),
     "summary_exact": lambda s, sf: profile.summary_long(_fixed_price(s, sf), exact=True, digits=STATS_DIGITS),
-    "summary_approx": lambda s, sf: profile.summary_long(_fixed_price(s, sf), exact=False, digits=STATS_DIGITS),
+    "summary_approx": _summary_approx,
     "profile_exact": lambda s, sf: profile.profile(_fixed_price(s, sf), exact=True, digits=STATS_DIGITS),
-    "profile_approx": lambda s, sf: profile.profile(_fixed_price(s, sf), exact=False, digits=STATS_DIGITS),
+    "profile_approx": _profile_approx,
     "histogram": lambda s, sf: profile.histogram(_listings(s, sf), HISTOGRAM_COLUMN, HISTOGRAM_BINS),
     "histograms": lambda s, sf: profile.histograms(_listings(s, sf), HISTOGRAM_COLUMNS, HISTOGRAM_BINS),
     "amenity_counts": lambda s, sf: listings.amenity_counts(_listings(s, sf), "json"),
@@ -237,6 +300,7 @@ QUERIES: dict[str, Query] = {
     # map frames
     "map_points": lambda s, sf: geo.map_points(_listings(s, sf)),
     "cluster_points": lambda s, sf: geo.cluster_points(_listings(s, sf)),
+    "off_earth": lambda s, sf: geo.off_earth(_listings(s, sf)).select("id", "latitude", "longitude"),
     # pipelines
     "clean_listings": lambda s, sf: _join_amenities(listings.clean_listings(_listings(s, sf))),
     "clean_listings_compat": lambda s, sf: _join_amenities(
@@ -246,6 +310,3 @@ QUERIES: dict[str, Query] = {
     "validated_listings_filled": lambda s, sf: listings.validated_listings(
         _listings(s, sf), as_of=AS_OF, fill=True),
 }
-
-# Keys whose result is approximate by design: compared on row count only.
-ROWS_ONLY = {"summary_approx", "profile_approx"}

@@ -10,7 +10,6 @@ guess, because a machine-local temp folder is not visible to executors.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,7 +74,4 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     pieces = [checkpoint_root(spark), "staykit", *(p.strip("/") for p in parts)]
     if unique:
         pieces.append(uuid.uuid4().hex[:12])
-    path = "/".join(pieces)
-    if "://" not in path and not path.startswith("file:"):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    return "/".join(pieces)             # Spark's writers make the folder, on any filesystem

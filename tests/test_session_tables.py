@@ -1,7 +1,7 @@
-"""Shared folder resolution and plan-time scan spreading."""
+"""Shared folder resolution and table scans."""
 
 from staykit.session import checkpoint_root, shared_path
-from staykit.sources.tables import spread
+from staykit.sources.tables import read_table
 
 
 def plan_of(df):
@@ -16,16 +16,12 @@ def test_shared_folder_comes_from_session(spark):
     assert p != shared_path(spark, "x", "y", unique=True)
 
 
-def test_spread_leaves_many_split_scans_alone(spark, tmp_dir):
-    spark.range(0, 1000, numPartitions=8).write.parquet(tmp_dir + "/many")
-    df = spark.read.parquet(tmp_dir + "/many")
-    assert spread(df, min_partitions=4) is df
-    assert "RoundRobinPartitioning" not in plan_of(spread(df, min_partitions=4))
+def test_shared_path_makes_no_folder_on_the_driver(spark):
+    import os
 
+    assert not os.path.exists(shared_path(spark, "nothing", "here", unique=True).removeprefix("file:"))
 
-def test_spread_single_split_scan_is_capped(spark, tmp_dir):
-    spark.range(0, 1000, numPartitions=1).write.parquet(tmp_dir + "/one")
-    df = spark.read.parquet(tmp_dir + "/one")
-    out = spread(df, cap=3)
-    assert "RoundRobinPartitioning(3)" in plan_of(out)
-    assert out.count() == 1000
+
+def test_table_scans_are_left_alone(spark, tmp_dir):
+    spark.range(0, 1000, numPartitions=1).write.parquet(tmp_dir + "/one.parquet")
+    assert "Exchange" not in plan_of(read_table(spark, tmp_dir, "one"))

@@ -3,13 +3,14 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from staykit.plans import contracts as C
 from staykit.plans import sinks
-from staykit.plans.ingest import ingest_feed
-from staykit.sources.csv import read_csv_contract, write_csv
-from staykit.sources.geojson import features_from_docs, read_geojson
+from staykit.plans.ingest import ingest_feed, rejects_table
+from staykit.sources.csv import ContractViolation, read_csv_contract, write_csv
+from staykit.sources.geojson import features_from_docs, read_geojson, rejected_docs
 from staykit.streaming.ingest import stream_ingest_once
 
 HAND_CSV = (
@@ -45,7 +46,7 @@ def test_csv_round_trip_keeps_text(spark, tmp_dir):
     src = spark.createDataFrame([(1, '["a", "b, c", "55\\" TV"]', " padded ", 1.5)],
                                 "id long, amenities string, name string, latitude double")
     path = write_csv(src, f"{tmp_dir}/rt")
-    back = read_csv_contract(spark, path, C.LISTING_CONTRACT, key="id").first()
+    back = read_csv_contract(spark, path, C.LISTING_CONTRACT, key="id", missing="allow").first()
     assert back.amenities == '["a", "b, c", "55\\" TV"]'
     assert back.name == " padded " and back.latitude == 1.5 and back.id == 1
 
@@ -69,7 +70,7 @@ def test_append_twice_doubles_overwrite_twice_does_not(spark, tmp_dir):
     path = hand_file(tmp_dir)
     table = "t_append_" + os.path.basename(tmp_dir).replace("-", "_")
     for _ in range(2):
-        t = ingest_feed(spark, path, C.CALENDAR_CONTRACT, table, "Athens", "2024-01-01 00:00:00",
+        t = ingest_feed(spark, path, C.CALENDAR_CONTRACT, table, "Athens", "2024-01-01 00:00:00", key="listing_id",
                         location=f"{tmp_dir}/tables/{table}")
     assert t.count() == 4
     assert t.schema == C.with_metadata_fields(C.CALENDAR_CONTRACT)
@@ -126,7 +127,7 @@ def test_columns_matched_by_name_not_position(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/o")
     with open(f"{tmp_dir}/o/a.csv", "w") as fh:
         fh.write("maximum_nights,date,extra\n9,2024-05-01,x\n")
-    df = read_csv_contract(spark, f"{tmp_dir}/o", C.CALENDAR_CONTRACT)
+    df = read_csv_contract(spark, f"{tmp_dir}/o", C.CALENDAR_CONTRACT, extra=["extra"], missing="allow")
     r = df.first()
     assert df.columns == C.CALENDAR_CONTRACT.fieldNames()
     assert (r.date, r.maximum_nights, r.available) == ("2024-05-01", 9, None)
@@ -138,7 +139,7 @@ def test_header_mismatch_between_files_is_an_error(spark, tmp_dir):
         fh.write("date,available\n2024-01-01,t\n")
     with open(f"{tmp_dir}/m/b.csv", "w") as fh:
         fh.write("available,date\nt,2024-01-02\n")
-    df = read_csv_contract(spark, f"{tmp_dir}/m", C.CALENDAR_CONTRACT)
+    df = read_csv_contract(spark, f"{tmp_dir}/m", C.CALENDAR_CONTRACT, missing="allow")
     try:
         df.collect()
         raise AssertionError("a file with another column order was read positionally")
@@ -146,3 +147,73 @@ def test_header_mismatch_between_files_is_an_error(spark, tmp_dir):
         raise
     except Exception as e:  # noqa: BLE001
         assert "header" in str(e).lower() or "schema" in str(e).lower()
+
+
+def dirty_file(tmp_dir):
+    os.makedirs(f"{tmp_dir}/d")
+    with open(f"{tmp_dir}/d/a.csv", "w") as fh:
+        fh.write("date,available,price,adjusted_price,minimum_nights,maximum_nights,new_col\n"
+                 "2024-01-01,t,$1.00,$1.00,3.0,9,KEEPME\n2024-01-02,f,$2.00,$2.00,2.5,abc,KEEPME\n")
+    return f"{tmp_dir}/d"
+
+
+def test_ingest_refuses_a_feed_that_breaks_its_contract(spark, tmp_dir):
+    table = "t_refused_" + os.path.basename(tmp_dir).replace("-", "_")
+    with pytest.raises(ContractViolation) as e:
+        ingest_feed(spark, dirty_file(tmp_dir), C.CALENDAR_CONTRACT, table, "Athens", location=f"{tmp_dir}/tables/{table}")
+    assert (e.value.extra, e.value.missing) == (["new_col"], [])
+    assert not spark.catalog.tableExists(table)
+
+
+def test_ingest_keeps_rejected_rows_whole_with_reasons(spark, tmp_dir):
+    table = "t_rejects_" + os.path.basename(tmp_dir).replace("-", "_")
+    t = ingest_feed(spark, dirty_file(tmp_dir), C.CALENDAR_CONTRACT, table, "Athens", "2024-01-01 00:00:00",
+                    location=f"{tmp_dir}/tables/{table}", extra=["new_col"])
+    assert [(r.date, r.minimum_nights, r.maximum_nights) for r in t.collect()] == [("2024-01-01", 3, 9)]
+    bad = spark.read.table(rejects_table(table)).collect()
+    assert [r.reasons for r in bad] == ["minimum_nights_not_bigint;maximum_nights_not_bigint"]
+    assert json.loads(bad[0].raw)["new_col"] == "KEEPME" and json.loads(bad[0].raw)["maximum_nights"] == "abc"
+
+
+def test_stream_reads_quoted_newlines_as_the_batch_does(spark, tmp_dir):
+    land = f"{tmp_dir}/nl"
+    os.makedirs(land)
+    with open(f"{land}/a.csv", "w") as fh:
+        fh.write(",".join(C.CALENDAR_CONTRACT.fieldNames()) + '\n2024-01-01,"a\nb",$1.00,$1.00,1,9\n')
+    out = f"{tmp_dir}/nls"
+    got = stream_ingest_once(spark, land, C.CALENDAR_CONTRACT, out + "/t", out + "/ck", "Athens", "2024-01-01 00:00:00")
+    batch = read_csv_contract(spark, land, C.CALENDAR_CONTRACT)
+    assert [tuple(r) for r in got.select(*batch.columns).collect()] == [tuple(r) for r in batch.collect()]
+    assert got.first().available == "a\nb"
+
+
+def test_geojson_rejects_and_fail_fast(spark):
+    docs = spark.createDataFrame([('{"type":"FeatureCollection","features":[]}',), ("{broken",), (None,), ('{"type":"X"}',), ("[1]",)], "doc string")
+    assert features_from_docs(docs).collect() == []
+    assert len(rejected_docs(docs).collect()) == 4
+    with pytest.raises(Exception, match="rejected"):
+        features_from_docs(docs, on_error="fail").collect()
+
+
+def test_overwrite_that_fails_leaves_the_old_table(spark, tmp_dir):
+    name = "t_fail_" + os.path.basename(tmp_dir).replace("-", "_")
+    loc = f"{tmp_dir}/tables/{name}"
+    sinks.overwrite_table(spark.range(3), name, loc)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        sinks.overwrite_table(broken, name, loc)
+    assert spark.read.table(name).count() == 3
+    sinks.overwrite_table(spark.range(5), name, loc)
+    sinks.overwrite_table(spark.range(6).withColumn("more", F.lit(1)), name, loc)
+    assert spark.read.table(name).count() == 6
+    assert len(sinks.vacuum_versions(spark, name, keep=0)) >= 2
+    assert spark.read.table(name).count() == 6
+
+
+def test_overwrite_refuses_a_managed_table(spark, tmp_dir):
+    name = "t_managed_" + os.path.basename(tmp_dir).replace("-", "_")
+    spark.range(2).write.saveAsTable(name)
+    with pytest.raises(ValueError, match="managed"):
+        sinks.overwrite_table(spark.range(3), name, f"{tmp_dir}/tables/{name}")
+    assert spark.read.table(name).count() == 2
+    sinks.drop_table(spark, name)
