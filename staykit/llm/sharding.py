@@ -26,6 +26,8 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 HEADER = 16
 
 
@@ -136,10 +138,11 @@ def numbered(df: DataFrame, key: str, salt, order: list, name: str) -> DataFrame
 
 def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
+    checkpoint_root(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + HEADER).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.sha2(text, 256).alias("digest"))
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.sha2(text, 256).alias("digest")).checkpoint()
     groups = rows.groupBy(F.col("digest").alias("group")).agg(F.sum("size").alias("group_size"))
     sizes = [(r.group_size, r["n"]) for r in groups.groupBy("group_size").agg(F.count("*").alias("n")).toLocalIterator()]
     taken, runs = {}, []
