@@ -49,20 +49,23 @@ HARD_HINTS = (
     "ad ads adv advert advertisement advertising sponsor sponsored promo promotion comment comments reply replies respond disqus "
     "discussion related recommended cookie cookies consent gdpr newsletter subscribe subscription signup popup modal overlay banner "
     "notice alert share sharing social breadcrumb breadcrumbs pagination pager tags outbrain taboola complementary contentinfo "
-    "navigation search dialog")
+    "navigation search dialog adsbygoogle adbox adslot advertorial teaser teasers")
+# Words in class, id, role or itemprop that name the article.
+ARTICLE_HINTS = "article articlebody main maincontent content post entry story"
 # Words that also name page layouts; an article inside overrides them.
 SOFT_HINTS = "sidebar menu nav navbar topbar header footer masthead toolbar widget widgets login skip"
 
 HIDDEN_SET, BLOCK_SET, VOID_SET = set(HIDDEN.split()), set(BLOCK.split()), set(VOID.split())
 BOILERPLATE_SET, ARTICLE_SET = set(BOILERPLATE.split()), set(ARTICLE.split())
-HARD_SET, SOFT_SET = set(HARD_HINTS.split()), set(SOFT_HINTS.split())
+HARD_SET, SOFT_SET, ARTICLE_WORDS = set(HARD_HINTS.split()), set(SOFT_HINTS.split()), set(ARTICLE_HINTS.split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(HIDDEN.split()) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + "|".join(HIDDEN.split()) + r")\b(?:[^>]*[^/>])?>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/)?(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
-_HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HINT = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -80,11 +83,13 @@ def _says(name: str, rest: str) -> str:
     words = {w for m in _HINT.finditer(rest) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())} if rest else set()
     if name in ("html", "body"):
         return ""
-    if name in BOILERPLATE_SET or words & HARD_SET:
+    if name in BOILERPLATE_SET or words & HARD_SET or rest and _UNSEEN.search(rest):
         return "hard"
-    if name in ARTICLE_SET or "main" in words:
+    if name in ARTICLE_SET:
         return "article"
-    return "soft" if words & SOFT_SET else ""
+    if words & SOFT_SET:
+        return "soft"
+    return "article" if words & ARTICLE_WORDS else ""
 
 
 def blocks(page: str) -> list[Block]:

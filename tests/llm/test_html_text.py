@@ -29,6 +29,13 @@ def test_broken_markup_does_not_fail(page):
     assert isinstance(main_text(page, TREE), str)
 
 
+def test_hints_of_class_and_id():
+    page = ('<div class="page-header"><p>Site of many words and more words</p></div><div id="content"><p>Ti.</p><svg width="3"/><p>One two.</p>'
+            '<div class="share-bar">tell</div><div hidden>unseen</div></div><div class="sidebar-content">more to read</div>'
+            '<div class="layout sidebar"><article><p>inner</p></article></div><div class="comment-content">mine</div>')
+    assert main_text(page, TREE) == "Ti.\n\nOne two.\n\ninner"
+
+
 def test_unclosed_article_and_quotes():
     assert main_text("<nav>menu</nav><article><p title=\"a > b\">one <p>two", TREE) == "one\n\ntwo"
 
