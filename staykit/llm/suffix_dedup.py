@@ -49,14 +49,21 @@ from .kernel import M64, _BYTE, mix, powers, text_buffer
 _INVERSE = np.uint64(pow(int(M64), -1, 1 << 64))
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _STEP = 1 << 17
+#: Levels within this ratio of each other in size merge.
+RATIO = 4
 CELLS = 1 << 16
 
 
-def _suffix_array(keys: np.ndarray) -> np.ndarray:
-    """Order of fixed-width byte keys: by eight bytes, then ties by the whole key."""
+def _heads(keys: np.ndarray) -> np.ndarray:
+    """The first eight bytes of fixed-width byte keys, as ordered integers."""
     head = keys.view(np.uint8).reshape(len(keys), -1)[:, :8]
     head = np.pad(head, ((0, 0), (0, 8 - head.shape[1])))
-    head = np.ascontiguousarray(head).view(">u8").ravel().astype(np.uint64)
+    return np.ascontiguousarray(head).view(">u8").ravel().astype(np.uint64)
+
+
+def _suffix_array(keys: np.ndarray) -> np.ndarray:
+    """Order of fixed-width byte keys: by eight bytes, then ties by the whole key."""
+    head = _heads(keys)
     order = np.argsort(head, kind="stable")
     head = head[order]
     tie = np.zeros(len(keys), bool)
@@ -69,29 +76,40 @@ def _suffix_array(keys: np.ndarray) -> np.ndarray:
 
 
 class SuffixFamily:
-    """Levels of sorted, distinct ``length``-byte suffix prefixes."""
+    """Levels of sorted, distinct ``length``-byte suffix prefixes, with their heads."""
 
     def __init__(self, length: int):
         self.length = length
-        self.levels: list[np.ndarray] = []
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
 
     def scan(self, suffixes: np.ndarray) -> np.ndarray:
-        """For a sorted suffix array: which entries some level holds."""
+        """For a sorted suffix array: which entries some level holds.
+
+        Most entries are settled by their first eight bytes; only where
+        several of a level's entries share those is the whole key searched.
+        """
         hit = np.zeros(len(suffixes), bool)
-        for level in self.levels:
-            at = np.searchsorted(level, suffixes)
-            inside = at < len(level)
-            hit[inside] |= level[at[inside]] == suffixes[inside]
+        heads = _heads(suffixes)
+        for level, level_heads in self.levels:
+            low = np.searchsorted(level_heads, heads)
+            some = np.flatnonzero(~hit & (level_heads[np.minimum(low, len(level) - 1)] == heads))
+            low = low[some]
+            hit[some] = level[low] == suffixes[some]
+            many = ~hit[some] & (level_heads[np.minimum(low + 1, len(level) - 1)] == heads[some])
+            some = some[many]
+            at = np.minimum(np.searchsorted(level, suffixes[some]), len(level) - 1)
+            hit[some] = level[at] == suffixes[some]
         return hit
 
     def add(self, suffixes: np.ndarray) -> None:
         """File a sorted array of new suffixes; merge levels of like size."""
         if not len(suffixes):
             return
-        self.levels.append(suffixes)
-        while len(self.levels) > 1 and len(self.levels[-1]) * 2 > len(self.levels[-2]):
-            small, large = sorted((self.levels.pop(), self.levels.pop()), key=len)
-            self.levels.append(np.insert(large, np.searchsorted(large, small), small))
+        self.levels.append((suffixes, _heads(suffixes)))
+        while len(self.levels) > 1 and len(self.levels[-1][0]) * RATIO > len(self.levels[-2][0]):
+            small, large = sorted((self.levels.pop(), self.levels.pop()), key=lambda x: len(x[0]))
+            at = np.searchsorted(large[0], small[0])
+            self.levels.append(tuple(np.insert(x, at, y) for x, y in zip(large, small)))
 
     def batch(self, buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Index one batch; True for each start whose suffix is in an earlier one."""

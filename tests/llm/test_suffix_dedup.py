@@ -72,4 +72,4 @@ def test_family_levels_grow_logarithmically():
         keys = [buf[s:s + 8].tobytes() for s in starts]
         assert hit.tolist() == [k in seen for k in keys]
         seen.update(keys)
-    assert len(family.levels) <= 12 and sum(map(len, family.levels)) == len(seen)
+    assert len(family.levels) <= 12 and sum(len(level) for level, _ in family.levels) == len(seen)
