@@ -191,18 +191,17 @@ def _scaled(x: np.ndarray, at: np.ndarray, base: np.uint64) -> np.ndarray:
 class Batch:
     """The texts of one batch and the minimizer runs of their windows."""
 
-    def __init__(self, docs: pa.Table, copies: dict[int, set[bytes]], length: int, seed: int):
+    def __init__(self, docs: pa.Table, copies: dict[bytes, int], length: int, seed: int):
         self.length = length
         self.ids = docs["doc_id"].fill_null(0).to_numpy()
         self.known = docs["doc_id"].is_valid().to_numpy()
         self.raw, self.offsets = text_buffer(docs["text"])
         self.sizes = np.diff(self.offsets)
         # a copy of a smaller id is one whole match if it is long enough
-        self.copied = self.known & (self.sizes >= length)
+        self.copied = self.known & (self.sizes >= length) & bool(copies)
         for i in np.flatnonzero(self.copied):
-            own = copies.get(int(self.ids[i]))
-            self.copied[i] = own is not None and hashlib.sha256(
-                self.raw[self.offsets[i]:self.offsets[i + 1]]).digest() in own
+            least = copies.get(hashlib.sha256(self.raw[self.offsets[i]:self.offsets[i + 1]]).digest())
+            self.copied[i] = least is not None and self.ids[i] > least
         use = np.flatnonzero(self.known & ~self.copied & (self.sizes >= length))
         first, stop = self.offsets[use], self.offsets[use + 1] - length + 1
         starts, values = _changes(self.raw, length, seed)
@@ -298,7 +297,7 @@ def _notes(notes: pa.Table):
     copies, bits = {}, {"shared": {}, "earlier": {}}
     for kind, bucket, doc, data in zip(*(notes[c].to_pylist() for c in ("kind", "bucket", "doc_id", "data"))):
         if kind == "copy":
-            copies.setdefault(doc, set()).add(data)
+            copies[data] = doc
         else:
             bits[kind][bucket] = np.unpackbits(np.frombuffer(_unpack(data), np.uint8)).view(bool)
     return copies, bits
@@ -394,11 +393,13 @@ def dedup(
         F.coalesce("batch", F.pmod(F.xxhash64("text"), F.lit(parts))).cast("long").alias("batch"), "doc_id", "text")
     held = rows.repartition(parts, "batch")
 
-    digests = rows.select("batch", "doc_id", F.sha2("text", 256).alias("digest")).where("doc_id is not null")
-    least = digests.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    copies = digests.join(least, "digest").where("doc_id > least").select(
+    # whole copies: a row for each text and batch, however many copies a batch holds
+    texts = rows.where("doc_id is not null").groupBy("batch", F.sha2("text", 256).alias("digest")).agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    least = texts.groupBy(F.col("digest").alias("of")).agg(F.min("first").alias("least"), F.max("last").alias("most")).where("most > least")
+    copies = texts.join(least, F.col("digest") == F.col("of")).where("last > least").select(
         F.col("batch").alias("batch"), F.lit("copy").alias("kind"), F.lit(0).cast("long").alias("bucket"),
-        F.col("doc_id").alias("doc_id"), F.unhex("digest").alias("data")).distinct()
+        F.col("least").alias("doc_id"), F.unhex("digest").alias("data"))
 
     def opened(docs_, notes_):
         copies_, bits = _notes(notes_)
@@ -475,11 +476,12 @@ def dedup(
             out = out.unionByName(f)
         return out.repartition(parts, "batch").groupBy("batch")
 
+    # buckets keep their size as the corpus grows; so do tasks, if a partition each isn't coalesced
     by_batch = held.groupBy("batch")
     sent = by_batch.cogroup(notes(copies)).applyInArrow(send_minimizers, _SEND)
-    shared = sent.groupBy("bucket").applyInArrow(meet_minimizers, _NOTE)
+    shared = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet_minimizers, _NOTE)
     fragments = by_batch.cogroup(notes(copies, shared)).applyInArrow(send_fragments, _SEND)
-    earlier = fragments.groupBy("bucket").applyInArrow(search, _NOTE)
+    earlier = fragments.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(search, _NOTE)
     return by_batch.cogroup(notes(copies, shared, earlier)).applyInArrow(cut_out, _OUT)
 
 
