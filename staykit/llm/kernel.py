@@ -89,17 +89,28 @@ def powers(n: int) -> np.ndarray:
     return _POWERS[:n]
 
 
+_CHUNK = 1 << 18
+
+
 def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each non-empty span; spans ascend and do not overlap."""
+    """64-bit hash of each non-empty span, in chunks that stay in the cache."""
+    out = np.empty(len(starts), np.uint64)
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return out
     length = ends - starts
-    total = int(length.sum())
-    at = np.cumsum(length) - length
-    where = np.repeat(starts - at, length) + np.arange(total)
-    place = np.arange(total) - np.repeat(at, length)
-    value = _BYTE[buf[where]] * powers(int(length.max()))[place]
-    return mix(np.add.reduceat(value, at) + length.astype(np.uint64) * M64)
+    until = np.cumsum(length)
+    cuts = np.unique(np.append(np.searchsorted(until, np.arange(0, int(until[-1]), _CHUNK)), len(starts)))
+    place_of = powers(int(length.max()))
+    for a, z in zip(cuts[:-1], cuts[1:]):
+        n = length[a:z]
+        at = until[a:z] - n
+        at -= at[0]
+        back = np.repeat(starts[a:z] - at, n)
+        step = np.arange(len(back))
+        value = _BYTE[buf[back + step]]
+        value *= place_of[step - np.repeat(at, n)]
+        out[a:z] = np.add.reduceat(value, at)
+    return mix(out + length.astype(np.uint64) * M64)
 
 
 class Words:
