@@ -67,19 +67,18 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _fills(df: DataFrame, columns: list[str], method: str) -> dict[str, Column]:
-    """Fill value of each column as a scalar-subquery Column over one shared plan."""
+    """Fill value of each column: fields of one scalar subquery, so one job finds them all."""
     if method == "mean":
-        return {c: df.select(F.avg(_numeric_value(df, c))).scalar() for c in columns}
-    if method == "median":
-        q = exact_quantiles(df, columns, [0.5])
-        return {c: q.filter(F.col("column_name") == c).select("value").scalar() for c in columns}
-    if method == "median_approx":
-        q = approx_quantiles(df, columns, [0.5], ["value"])
-        return {c: q.filter(F.col("column_name") == c).select("value").scalar() for c in columns}
-    if method == "mode":
+        row = df.agg(*[F.avg(_numeric_value(df, c)).alias(c) for c in columns])
+    elif method in ("median", "median_approx"):
+        q = exact_quantiles(df, columns, [0.5]) if method == "median" else approx_quantiles(df, columns, [0.5], ["value"])
+        row = q.agg(*[F.max(F.when(F.col("column_name") == c, F.col("value"))).alias(c) for c in columns])
+    elif method == "mode":
         row = modes(df, columns)
-        return {c: row.select(c).scalar() for c in columns}
-    raise ValueError(f"unknown fill method {method!r}")
+    else:
+        raise ValueError(f"unknown fill method {method!r}")
+    found = row.select(F.struct(*columns)).scalar()
+    return {c: found.getField(c) for c in columns}
 
 
 def impute(df: DataFrame, columns: list[str], method: str = "mean",
