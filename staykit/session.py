@@ -10,6 +10,7 @@ guess, because a machine-local temp folder is not visible to executors.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -51,6 +52,20 @@ def build_session(
     return spark
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For sessions whose workers don't start in the repository. On a cluster the
+    package is shipped as usual (``--py-files`` or installed); then the extra
+    path is harmless.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``; set only if unset."""
     root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(
