@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import reach_workers
 from . import decontam, html_text, licenses, packing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
