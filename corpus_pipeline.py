@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staykit.llm import decontam, pii, simhash, toxicity
 from staykit.llm.queries import packed, table
-from staykit.session import shared_path
+from staykit.session import reach_workers, shared_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
+    reach_workers(spark)
     return simhash.keep_one(docs, shingle=4, most=4)
 
 
@@ -34,11 +35,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and disclosing terms generalised."""
+    reach_workers(spark)
     return pii.sanitise(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens in sequences of at most 1024."""
+    reach_workers(spark)
     return packed(docs)
 
 
