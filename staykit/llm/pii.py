@@ -169,27 +169,25 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
 
     Only rows with a span are shuffled; ``n_chars`` follows the new text.
     """
-    names = docs.columns
-    marked = spans(docs, **options).where("size(all) > 0").select("key", "all").dropDuplicates(["key"])
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    marked = spans(docs, **options).where("size(all) > 0").select(F.col("key").alias("of"), "all").dropDuplicates(["of"])
     # the patterns' own tests are cheap; a row that passes none can't have a span
     may = F.expr(" OR ".join(f"({m.format(t="coalesce(CAST(text AS string), '')")})" for _, m in PATTERNS.values()))
-    hit = docs.where(may).withColumn("_key", F.sha2(text, 256)).join(
-        marked.withColumnsRenamed({"key": "_of", "all": "_all"}), F.col("_key") == F.col("_of"), "left")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    hit = docs.where(may).select(F.sha2(text, 256).alias("key"), F.struct(*docs.columns).alias("row")).join(
+        marked, F.col("key") == F.col("of"), "left")
     # union of overlapping spans, named after the first
     union = (
-        "aggregate(array_sort(transform(_all, x -> struct(x.start AS start, x.end AS end, x.kind AS kind))), "
+        "aggregate(array_sort(transform(all, x -> struct(x.start AS start, x.end AS end, x.kind AS kind))), "
         "CAST(array() AS array<struct<start: int, end: int, kind: string>>), (a, x) -> CASE "
         "WHEN size(a) > 0 AND x.start < element_at(a, -1).end THEN concat(slice(a, 1, size(a) - 1), array(struct("
         "element_at(a, -1).start AS start, greatest(element_at(a, -1).end, x.end) AS end, element_at(a, -1).kind AS kind))) "
         "ELSE concat(a, array(x)) END)")
     clean = (
-        "concat(array_join(transform(_all, (x, i) -> concat(substring(text, "
-        "CASE WHEN i = 0 THEN 1 ELSE element_at(_all, i).end + 1 END, x.start - CASE WHEN i = 0 THEN 0 ELSE element_at(_all, i).end END), "
-        "'[', upper(x.kind), ']')), ''), substring(text, element_at(_all, -1).end + 1))")
-    hit = hit.withColumn("_all", F.expr(union)).withColumn(
-        "text", F.expr(f"CASE WHEN size(_all) > 0 THEN {clean} ELSE text END"))
-    if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        hit = hit.withColumn("n_chars", F.when(F.expr("size(_all) > 0"), F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return hit.select(*names).unionByName(docs.where(~may))
+        "concat(array_join(transform(cut, (x, i) -> concat(substring(row.text, "
+        "CASE WHEN i = 0 THEN 1 ELSE element_at(cut, i).end + 1 END, x.start - CASE WHEN i = 0 THEN 0 ELSE element_at(cut, i).end END), "
+        "'[', upper(x.kind), ']')), ''), substring(row.text, element_at(cut, -1).end + 1))")
+    hit = hit.withColumn("cut", F.expr(union)).withColumn("clean", F.expr(f"CASE WHEN size(cut) > 0 THEN {clean} END"))
+    new = {"text": F.coalesce("clean", "row.text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.char_length("clean").cast(docs.schema["n_chars"].dataType), F.col("row.n_chars"))
+    return hit.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]).unionByName(docs.where(~may))

@@ -202,10 +202,9 @@ def keep_one(docs: DataFrame, shingle: int = 4, most: int = 4) -> DataFrame:
     Rows with equal id and text count as one; a null id stays only where its
     component has no other.
     """
-    names = docs.columns
     groups = near_duplicates(docs, shingle, most)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark"))).alias("first")
-    keep = groups.groupBy("root").agg(first).select(F.col("first.mark").alias("_of"))
+    keep = groups.groupBy("root").agg(first).select(F.col("first.mark").alias("of"))
+    rows = docs.select(_mark(docs).alias("mark"), F.struct(*docs.columns).alias("row"))
     # one shuffle: the join and the removal of repeated rows share the key
-    return docs.withColumn("_mark", _mark(docs)).join(keep, F.col("_mark") == F.col("_of"), "left_semi").dropDuplicates(
-        ["_mark"]).select(*names)
+    return rows.join(keep, F.col("mark") == F.col("of"), "left_semi").dropDuplicates(["mark"]).select("row.*")

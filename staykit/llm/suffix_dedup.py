@@ -370,7 +370,8 @@ def dedup(
     # batches of like size: equal doc_id cells, gathered until they fill one
     batch_bytes = max(batch_bytes, total >> 19)
     cells = min(CELLS, high - low + 1)
-    cell = F.floor((F.col("doc_id").cast("decimal(38,0)") - F.lit(low)) * F.lit(cells) / F.lit(high - low + 1)).cast("long")
+    wide = [F.lit(str(n)).cast("decimal(38,0)") for n in (low, cells, high - low + 1)]   # ids may span all 64 bits
+    cell = F.floor((F.col("doc_id").cast("decimal(38,0)") - wide[0]) * wide[1] / wide[2]).cast("long")
     n_batches = max(1, math.ceil(total / batch_bytes))
     sizes = rows.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("text")).alias("bytes")).where("cell is not null")
     sums = sorted((r.cell, r.bytes) for r in sizes.collect())       # CELLS rows at most

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from staykit.llm.queries import ORACLE, QUERIES
@@ -42,3 +43,30 @@ def test_matches_duckdb(spark, key):
     names = [d[0] for d in cur.description]
     want = sorted(map(str, cur.fetchall()))
     assert sorted(map(str, (tuple(r) for r in QUERIES[key](spark, SF_SMALL).select(*names).collect()))) == want
+
+
+CLASHES = ("batch cell digest key size shard slot fp mark root of row cut clean all base score toxic kept label_id n_docs "
+           "sequence_id piece group law kind data bucket").split()
+
+
+@pytest.mark.parametrize("key", [k for k in sorted(QUERIES) if k != "op9_html_text"])
+def test_extra_columns_with_clashing_names_change_nothing(spark, tmp_dir, key):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 60")
+    for home, frame in (("plain", docs), ("more", docs.withColumns({c: F.lit(f"x{c}") for c in CLASHES}))):
+        frame.write.parquet(f"{tmp_dir}/{home}/documents.parquet")
+        for t in ("labels", "benchmark"):
+            spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{tmp_dir}/{home}/{t}.parquet")
+    plain, more = (QUERIES[key](spark, f"{tmp_dir}/{home}") for home in ("plain", "more"))
+    assert plain.columns == more.columns
+    keep = [c for c in plain.columns if c not in ("sequence_id", "offset")]
+    assert sorted(map(str, plain.select(*keep).collect())) == sorted(map(str, more.select(*keep).collect()))
+
+
+@pytest.mark.parametrize("stage", ["simhash", "decontamination", "pii", "toxicity"])
+def test_stages_keep_clashing_columns(spark, tmp_dir, stage):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    names = [c for c in CLASHES if c != "score"]
+    got = dict(corpus_pipeline.STAGES)[stage](spark, docs.withColumns({c: F.lit(f"x{c}") for c in names}), SF_SMALL)
+    assert got.select(*names).distinct().collect() == [tuple(f"x{c}" for c in names)]

@@ -58,6 +58,13 @@ def test_against_brute_force(docs_of, seed, batch):
     assert sorted(got, key=str) == brute(rows)
 
 
+def test_ids_of_all_64_bits(docs_of):
+    text = "a passage that is long enough to be cut where it comes again, you see"
+    rows = [(-2**63, text), (-5, "x" + text), (0, "short"), (2**63 - 1, text + "y"), (2**62, "alone " * 20)]
+    for batch in (40, 1 << 20):
+        assert sorted((tuple(r)[:5] for r in dedup(docs_of(rows), batch_bytes=batch).collect()), key=str) == brute(rows)
+
+
 def test_empty_table(docs_of, spark):
     assert dedup(docs_of([])).collect() == []
 
