@@ -70,7 +70,9 @@ def nan_to_null(c: ColumnOrName) -> Column:
 
 
 def money_to_double(c: ColumnOrName) -> Column:
-    """``$1,234.50`` -> 1234.5 with ``regexp_replace``; unparseable -> null."""
+    """``$1,234.50`` -> 1234.5 with ``regexp_replace``; unparseable -> null.
+
+    What is left is cast as Spark does (``5d`` is 5.0); ``listing_rules`` marks such text."""
     return F.regexp_replace(_c(c), MONEY_PATTERN, "").try_cast("double")
 
 
@@ -104,7 +106,9 @@ def first_token_number(c: ColumnOrName, half_bath: float | None = None) -> Colum
 
 
 def safe_to_date(c: ColumnOrName) -> Column:
-    """Text to DATE; bad text -> null instead of failing the job."""
+    """Text to DATE as Spark's cast reads it; text it can't read -> null instead
+    of failing the job. The cast is lenient (``2020`` is 2020-01-01, and what
+    follows a date and a blank is ignored); ``listing_rules`` marks such text."""
     return F.try_to_date(_c(c))
 
 

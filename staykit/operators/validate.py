@@ -22,6 +22,16 @@ from ..functions.text import (
 from .filters import EXTREME_PRICE, MAX_MINIMUM_NIGHTS
 
 REASON_SEP = ";"
+# The text forms the feeds use; a value that parses from another
+# form (``2020`` as a date, ``5d`` or ``Infinity`` as a price) is marked loose.
+STRICT_FORMS = {
+    "price": "[$]?[0-9][0-9,]*([.][0-9]+)?",
+    "host_response_rate": "[0-9]+([.][0-9]+)?%",
+    "host_acceptance_rate": "[0-9]+([.][0-9]+)?%",
+    "host_since": "[0-9]{4}-[0-9]{2}-[0-9]{2}",
+    "first_review": "[0-9]{4}-[0-9]{2}-[0-9]{2}",
+    "last_review": "[0-9]{4}-[0-9]{2}-[0-9]{2}",
+}
 
 
 def _unparseable(raw: Column, parsed: Column) -> Column:
@@ -33,7 +43,8 @@ def listing_rules(df: DataFrame, price_parsed: str | None = None) -> dict[str, C
 
     Missing: the three fields rows are dropped for (coordinates, property
     type) and the two the exploratory filters drop on null (price, minimum
-    nights). Unparseable: text that a cleaning step turns into null. Range:
+    nights). Unparseable: text that a cleaning step turns into null. Loose:
+    text that parses but not from the feed's form. Range:
     the two thresholds the reference filters on. ``price_parsed`` names an
     already-cleaned price column; otherwise the raw text is parsed here.
     """
@@ -55,6 +66,8 @@ def listing_rules(df: DataFrame, price_parsed: str | None = None) -> dict[str, C
     for c, parse in parsers.items():
         if c in have and str(types[c].simpleString()) == "string":
             rules[f"{c}_unparseable"] = _unparseable(F.col(c), parse(c))
+            if c in STRICT_FORMS:
+                rules[f"{c}_loose"] = parse(c).isNotNull() & ~F.col(c).rlike(f"^(?:{STRICT_FORMS[c]})$")
     price = F.col(price_parsed) if price_parsed else (
         money_to_double("price") if "price" in have and types["price"].simpleString() == "string"
         else (F.col("price") if "price" in have else None))

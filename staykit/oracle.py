@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from .functions.text import PANDAS_NA_TOKENS
 from .operators.filters import EXTREME_PRICE, MAX_MINIMUM_NIGHTS
+from .operators.validate import STRICT_FORMS
 from .plans.contracts import AGG_LISTING_FIELDS, CALENDAR_FIELDS, LISTING_FIELDS
 from .plans.listings import CONSTANT_FILLS, EXPLORE_COLUMNS, REQUIRED_COLUMNS, VALIDATED_COLUMNS
 from .registry import (
@@ -202,6 +203,8 @@ def _rules(columns):
     for c, p in parsers.items():
         if c in have:
             marks.append((f"{c}_unparseable", f"({c} is not null and {p(c)} is null)"))
+            if c in STRICT_FORMS:
+                marks.append((f"{c}_loose", f"({p(c)} is not null and not regexp_full_match({c}, '{STRICT_FORMS[c]}'))"))
     if "price" in have:
         marks.append(("price_extreme", f"({money('price')} >= {EXTREME_PRICE})"))
     if "minimum_nights" in have:

@@ -90,3 +90,27 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         pieces.append(uuid.uuid4().hex[:12])
     return "/".join(pieces)             # Spark's writers make the folder, on any filesystem
+
+
+def clear_workspace(spark: SparkSession) -> None:
+    """Remove what the registered queries and the pipeline left behind.
+
+    They keep everything under one root, ``<spark.checkpoint.dir>/staykit``:
+    staged feeds, tables, streams, pipeline stages. Catalog tables with a
+    location there are dropped, then the root is deleted. Call it when no job
+    uses any of it.
+    """
+    root = f"{checkpoint_root(spark)}/staykit"
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    inside = fs.makeQualified(path).toString() + "/"
+    for db in spark.catalog.listDatabases():
+        for t in spark.catalog.listTables(db.name):
+            if t.isTemporary:
+                continue
+            name = f"`{db.name}`.`{t.name}`"
+            rows = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+            if str(rows.get("Location", "")).startswith(inside):
+                spark.sql(f"DROP TABLE {name}")
+    fs.delete(path, True)

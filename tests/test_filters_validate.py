@@ -67,3 +67,10 @@ def test_isnotnull_pushed_to_parquet(spark, tmp_dir):
     kept = filters.drop_missing(spark.read.parquet(path), REQUIRED_COLUMNS)
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(latitude), IsNotNull(longitude), IsNotNull(property_type)" in plan
+
+
+def test_text_that_parses_from_another_form_is_marked_loose(spark):
+    rows = [("5d", "2020", "40%"), ("$1,234.50", "2020-01-02", "12.5%"), ("Infinity", "2020-01-02 junk", "40"), (None, None, None)]
+    df = spark.createDataFrame(rows, "price string, host_since string, host_response_rate string")
+    got = [sorted(x for x in r.reasons.split(";") if x.endswith("_loose")) for r in validate.validate(df).select("reasons").collect()]
+    assert got == [["host_since_loose", "price_loose"], [], ["host_response_rate_loose", "host_since_loose", "price_loose"], []]

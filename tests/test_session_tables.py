@@ -25,3 +25,16 @@ def test_shared_path_makes_no_folder_on_the_driver(spark):
 def test_table_scans_are_left_alone(spark, tmp_dir):
     spark.range(0, 1000, numPartitions=1).write.parquet(tmp_dir + "/one.parquet")
     assert "Exchange" not in plan_of(read_table(spark, tmp_dir, "one"))
+
+
+def test_clear_workspace_drops_tables_and_files(spark, tmp_dir):
+    from staykit.session import clear_workspace
+
+    path = shared_path(spark, "tables", "left_over", unique=True)
+    spark.range(3).write.parquet(path)
+    spark.sql(f"CREATE TABLE left_over USING parquet LOCATION '{path}'")
+    spark.range(2).write.parquet(tmp_dir + "/other")
+    spark.sql(f"CREATE TABLE not_ours USING parquet LOCATION '{tmp_dir}/other'")
+    clear_workspace(spark)
+    assert not spark.catalog.tableExists("left_over") and spark.read.table("not_ours").count() == 2
+    spark.sql("DROP TABLE not_ours")
