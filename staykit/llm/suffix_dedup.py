@@ -357,7 +357,7 @@ def _fragment_bits(batch: Batch, one: np.ndarray, bits: dict[int, np.ndarray], b
 
 
 def dedup(
-    docs: DataFrame, length: int = 50, seed: int = 20, batch_bytes: int = 10 << 20, most_buckets: int = 1 << 16,
+    docs: DataFrame, length: int = 50, seed: int = 20, batch_bytes: int = 8 << 20, most_buckets: int = 1 << 16,
     with_text: bool = True,
 ) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept.
@@ -381,7 +381,7 @@ def dedup(
         if have >= batch_bytes:
             ends.append(c)
             have = 0
-    buckets = min(most_buckets, max(1, n_batches))
+    buckets = min(most_buckets, 2 * n_batches)
     parts = len(ends) + 1
     spark = docs.sparkSession
     table, b = [], 0
