@@ -108,10 +108,11 @@ def read_csv_parsed(
     header = csv_header(spark, path, multi_line, options)
     check_header(header, contract, key, extra, missing)
     raw = spark.read.schema(text_schema(header)).options(**reader_options(multi_line, options)).csv(path)
-    reasons = cast_reasons(header, contract, key, tokens)
-    return raw.select(
-        *contract_columns(header, contract, key, False, tokens), reasons.alias(REASONS),
-        F.when(reasons != "", F.to_json(F.struct(*[F.col(n) for n in header]))).alias("_raw"))
+    # two steps, so that the reasons are found once a row
+    marked = raw.select("*", cast_reasons(header, contract, key, tokens).alias(REASONS))
+    return marked.select(
+        *contract_columns(header, contract, key, False, tokens), REASONS,
+        F.when(F.col(REASONS) != "", F.to_json(F.struct(*[F.col(n) for n in header]))).alias("_raw"))
 
 
 def read_csv_contract(spark: SparkSession, path: str, contract: StructType, key: str | None = None,
