@@ -8,14 +8,14 @@ that can't reach past their delimiter are possessive, and a match can only
 start where a run starts or the last match ended.
 
 Sanitisation is information-theoretic. A protected entity is a base value.
-Terms are words within ``reach`` characters of it. With N documents, n_e
-texts holding entity e, n_t documents holding term t and n_et texts holding t
+Terms are words within ``reach`` characters of it. With N texts, n_e
+texts holding entity e, n_t texts holding term t and n_et texts holding t
 within reach of e, the information that t gives about e is
 
     PMI(e; t) = log(N * n_et / (n_e * n_t))        at most  IC(e) = log(N / n_e)
 
 and t discloses e if PMI / IC >= ``threshold`` with n_et >= ``support``.
-Copies of one text are one piece of evidence (n_e, n_et count distinct
+Copies of one text are one piece of evidence (every count is of distinct
 texts). Document frequencies cover the whole corpus. Disclosing terms become
 spans of kind ``term``; :func:`sanitise` generalises every span to its kind.
 
@@ -127,11 +127,13 @@ def _near(rows: DataFrame, reach: int) -> DataFrame:
 
 def disclosing(docs: DataFrame, near: DataFrame, threshold: float, support: int) -> DataFrame:
     """(entity, term) pairs whose PMI reaches the threshold's share of the entity's information."""
-    total = docs.agg(F.count("*").alias("n_docs"))
+    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn(
+        "key", F.sha2("text", 256)).dropDuplicates(["key"])
+    total = docs.agg(F.count_distinct(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("n_texts"))
     pairs = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
     pairs = pairs.where(F.col("n_et") >= support)
     entities = near.select("entity", "key").distinct().groupBy(F.col("entity").alias("e")).agg(F.count("*").alias("n_e"))
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"))).alias("t"))
+    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("t"))
     often = words.groupBy("t").agg(F.count("*").alias("n_t"))
     known = pairs.join(entities, F.col("entity") == F.col("e")).join(often, F.col("term") == F.col("t"))
     n = F.lit(total.first()[0])

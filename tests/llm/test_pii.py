@@ -70,6 +70,14 @@ def test_disclosing_terms_become_spans_and_copies_are_one_text(docs_of):
         assert terms == (["Zorblax", "owner"] if 1000 <= i < 2000 else [])
 
 
+def test_copies_of_a_text_do_not_hide_its_terms(docs_of):
+    rows = corpus()
+    rows += [(3000 + i, rows[300][1]) for i in range(200)]
+    got = {g.doc_id: g for g in spans(docs_of(rows)).collect()}
+    for i in (1000, 1001, 3000):
+        assert [s.value for s in got[i]["all"] if s.kind == "term"] == ["zorblax", "owner"]
+
+
 def test_sanitised_text_and_clean_rows(docs_of):
     rows = corpus() + [(1, "call +1 (705) 555-6638 or 4111 1111 1111 1111"), (2, None), (2, None), (None, "a@b.c at 10.0.0.1")]
     docs = docs_of(rows).selectExpr("*", "'keep' as key", "1 as base")
