@@ -7,21 +7,22 @@ recursion nor repeated scans of a long run, with the same matches: classes
 that can't reach past their delimiter are possessive, and a match can only
 start where a run starts or the last match ended.
 
-Sanitisation is information-theoretic. A protected entity is a base value.
-Terms are words within ``reach`` characters of it. With N texts, n_e
-texts holding entity e, n_t texts holding term t and n_et texts holding t
-within reach of e, the information that t gives about e is
+Sanitisation is information-theoretic. A protected entity is a base value, a
+term any whole word of the text that no base span touches. With N texts, n_e
+texts holding entity e, n_t texts holding term t and n_et texts holding both,
+the information that t gives about e is
 
     PMI(e; t) = log(N * n_et / (n_e * n_t))        at most  IC(e) = log(N / n_e)
 
 and t discloses e if PMI / IC >= ``threshold`` with n_et >= ``support``.
 Copies of one text are one piece of evidence (every count is of distinct
-texts). Document frequencies cover the whole corpus. Disclosing terms become
-spans of kind ``term``; :func:`sanitise` generalises every span to its kind.
+texts). A term that discloses an entity does so wherever it stands: each of
+its occurrences, in any text, with the entity or without, becomes a span of
+kind ``term``; :func:`sanitise` generalises every span to its kind.
 
-Everything is DataFrame functions. Words are counted once a document and
-summed map-side before the shuffle. Rows without a base span can't have a
-term span and never meet the join: their key is their own.
+Everything is DataFrame functions. Distinct texts are reduced to their base
+spans and distinct words once; words are counted map-side before the shuffle.
+Only terms and entities that the two bounds leave possible meet, text by text.
 
 Edge cases: null text is empty; spans depend on the text alone, so repeated
 rows and null ids get the same spans as any row with that text; overlapping
@@ -33,10 +34,10 @@ helper columns are kept by :func:`sanitise` and ignored by :func:`spans`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, shared_path
 
 # The pattern of each kind, in output order, and a cheap test that a text may hold it.
 PATTERNS = {
@@ -57,6 +58,8 @@ CHECKS = {
     "card": f"CASE WHEN length({_DIGITS}) BETWEEN 16 AND 19 THEN {_LUHN.format(d=_DIGITS)} ELSE false END",
     "phone": f"length({_DIGITS}) BETWEEN 8 AND 15",
 }
+_WORD = r"[\p{L}\p{N}]+"
+_MARK = "5d1fc0a7e9b24863"                                   # letters and digits, so that it is part of the word beside it
 _NO_SPANS = "CAST(array() AS array<struct<kind: string, start: int, end: int, value: string>>)"
 
 
@@ -88,69 +91,106 @@ def _with_base(docs: DataFrame, text: str, to: str) -> DataFrame:
         *(f"_m_{k}" for k in PATTERNS), *(f"_p_{k}" for k in PATTERNS))
 
 
-def found(docs: DataFrame, reach: int = 64) -> DataFrame:
-    """(doc_id, key, base, contexts) of every row, without its text.
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
-    ``key`` names the text where there is a base span. A context is the words
-    wholly within ``reach`` code points of a span, with their places.
+
+def _key(text: str) -> Column:
+    """Names the text; rows of empty text have no spans and a key of their own."""
+    return F.expr(f"CASE WHEN {text} = '' THEN concat('#', xxhash64(doc_id)) ELSE sha2({text}, 256) END")
+
+
+def _union(column: str) -> str:
+    """The union of overlapping spans, each named after its first, as SQL."""
+    return (
+        f"aggregate(array_sort(transform({column}, x -> struct(x.start AS start, x.end AS end, x.kind AS kind))), "
+        "CAST(array() AS array<struct<start: int, end: int, kind: string>>), (a, x) -> CASE "
+        "WHEN size(a) > 0 AND x.start < element_at(a, -1).end THEN concat(slice(a, 1, size(a) - 1), array(struct("
+        "element_at(a, -1).start AS start, greatest(element_at(a, -1).end, x.end) AS end, element_at(a, -1).kind AS kind))) "
+        "ELSE concat(a, array(x)) END)")
+
+
+def _cut_out(text: str, cut: str, by: str) -> str:
+    """The text with each span x of a union replaced, as SQL."""
+    return (
+        f"concat(array_join(transform({cut}, (x, i) -> concat(substring({text}, "
+        f"CASE WHEN i = 0 THEN 1 ELSE element_at({cut}, i).end + 1 END, x.start - CASE WHEN i = 0 THEN 0 ELSE element_at({cut}, i).end END), "
+        f"{by})), ''), substring({text}, element_at({cut}, -1).end + 1))")
+
+
+def _few(table: DataFrame, weight: str) -> DataFrame:
+    """Broadcast if the weights sum to little."""
+    return F.broadcast(table) if (table.agg(F.sum(F.expr(weight))).first()[0] or 0) <= 100_000 else table
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """(key, base, words) of every distinct text, written once.
+
+    ``words`` are the distinct whole words that no base span touches, as
+    spelled. Where a span's edge is inside a word, the mark joins what is left
+    of the word and takes it along.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = _with_base(rows, "text", "base")
-    rows = rows.withColumn("key", F.expr(
-        "CASE WHEN size(base) > 0 THEN sha2(text, 256) ELSE concat('#', xxhash64(text, doc_id)) END"))
-    side = (
-        "transform(base, x -> struct(x.kind AS kind, x.value AS value, x.start AS start, x.end AS end, "
-        f"substring(text, greatest(x.start - {reach}, 0) + 1, least(x.start, {reach})) AS left, "
-        f"substring(text, x.end + 1, {reach}) AS right))")
-    return rows.withColumn("contexts", F.expr(side)).withColumn("n_text", F.char_length("text")).drop("text")
-
-
-def _words(window: str, start: str) -> str:
-    """Terms of a window as (term, start, end), as SQL; the window starts at ``start`` of the text."""
-    matches, pieces = f"regexp_extract_all({window}, r'[\\p{{L}}\\p{{N}}]+', 0)", f"split({window}, r'[\\p{{L}}\\p{{N}}]+', -1)"
-    return f"transform({_placed(pieces, matches, 'term', start)}, x -> struct(lower(x.value) AS term, x.start AS start, x.end AS end))"
-
-
-def _near(rows: DataFrame, reach: int) -> DataFrame:
-    """(key, entity, term, start, end): terms within reach of each base span."""
-    hits = rows.where("size(base) > 0").dropDuplicates(["key"]).select("key", "base", "n_text", F.explode("contexts").alias("c"))
-    hits = hits.select(
-        "key", "base", "n_text", F.expr("concat(c.kind, ':', lower(c.value))").alias("entity"),
-        F.expr(f"greatest(c.start - {reach}, 0)").alias("low"), F.expr(f"least(c.end + {reach}, n_text)").alias("high"),
-        F.expr(f"concat({_words('c.left', f'greatest(c.start - {reach}, 0)')}, {_words('c.right', 'c.end')})").alias("terms"))
-    near = hits.select("key", "base", "entity", "low", "high", "n_text", F.explode("terms").alias("t")).select(
-        "key", "entity", "base", "low", "high", "n_text", "t.*")
-    return near.where(  # whole words outside the base spans
-        "(start > low OR low = 0) AND (end < high OR high = n_text) "
-        "AND NOT exists(base, x -> x.start < end AND x.end > start)").select("key", "entity", "term", "start", "end")
-
-
-def disclosing(docs: DataFrame, near: DataFrame, threshold: float, support: int) -> DataFrame:
+    rows = docs.select(_text().alias("text")).withColumn("key", F.sha2("text", 256)).dropDuplicates(["key"])
+    rows = _with_base(rows, "text", "base").withColumn("cut", F.expr(_union("base")))
+    first, last = (f"CASE WHEN rlike(substring(text, {at}, 1), r'{_WORD}') THEN '{_MARK}' ELSE '' END" for at in ("x.start + 1", "x.end"))
+    by = f"{first}, ' ', {last}"
+    rest = f"CASE WHEN size(cut) > 0 THEN {_cut_out('text', 'cut', by)} ELSE text END"
+    rows = rows.withColumn("rest", F.expr(rest)).select("key", "base", F.expr(
+        f"filter(array_distinct(regexp_extract_all(rest, r'{_WORD}', 0)), w -> instr(w, '{_MARK}') = 0)").alias("words"))
+    path = shared_path(docs.sparkSession, "pii", unique=True)
+    rows.write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def disclosing(known: DataFrame, threshold: float, support: int) -> DataFrame:
     """(entity, term) pairs whose PMI reaches the threshold's share of the entity's information."""
-    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn(
-        "key", F.sha2("text", 256)).dropDuplicates(["key"])
-    total = docs.agg(F.count_distinct(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("n_texts"))
-    pairs = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    pairs = pairs.where(F.col("n_et") >= support)
-    entities = near.select("entity", "key").distinct().groupBy(F.col("entity").alias("e")).agg(F.count("*").alias("n_e"))
-    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("t"))
-    often = words.groupBy("t").agg(F.count("*").alias("n_t"))
-    known = pairs.join(entities, F.col("entity") == F.col("e")).join(often, F.col("term") == F.col("t"))
-    n = F.lit(total.first()[0])
+    n = known.count()
+    terms = known.select("key", F.explode(F.array_distinct(F.transform("words", F.lower))).alias("term"))
+    holds = known.where("size(base) > 0").select("key", F.explode(F.expr(
+        "array_distinct(transform(base, x -> concat(x.kind, ':', lower(x.value))))")).alias("entity"))
+    # a pair of n_et texts needs as many of each side, and PMI / IC >= threshold is n_t <= n_et * (N / n_e) ** (1 - threshold)
+    entities = holds.groupBy(F.col("entity").alias("e")).agg(F.count("*").alias("n_e")).where(
+        (F.col("n_e") >= support) & (F.col("n_e") < n)).withColumn("most", F.col("n_e") * F.pow(F.lit(n) / F.col("n_e"), F.lit(1 - threshold)) * 1.000001)
+    holds = holds.join(entities, F.col("entity") == F.col("e")).drop("e").checkpoint()
+    most = holds.agg(F.max("most")).first()[0]
+    if most is None:
+        return holds.select("entity", F.col("key").alias("term")).limit(0)
+    often = terms.groupBy(F.col("term").alias("t")).agg(F.count("*").alias("n_t")).where(F.col("n_t").between(support, most))
+    # only the words of texts with a base span travel to that join
+    near = known.where("size(base) > 0").select("key", F.explode(F.array_distinct(F.transform("words", F.lower))).alias("term")).join(
+        holds.select("key").distinct(), "key", "left_semi").join(often, F.col("term") == F.col("t")).drop("t")
+    pairs = near.join(holds, "key").where("n_t <= most").groupBy("entity", "term", "n_e", "n_t").agg(F.count("*").alias("n_et"))
     gain = F.log(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    return known.where((F.col("n_e") < n) & (gain >= threshold * F.log(n / F.col("n_e")))).select("entity", "term")
+    return pairs.where((F.col("n_et") >= support) & (gain >= threshold * F.log(n / F.col("n_e")))).select("entity", "term")
 
 
-def spans(docs: DataFrame, reach: int = 64, threshold: float = 0.9, support: int = 2) -> DataFrame:
-    """Per row: doc_id, key, base and all (arrays of kind, start, end, value; all has the terms last)."""
+def _marked(docs: DataFrame, threshold: float = 0.9, support: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(key, base) of every distinct text, and (of, terms) of those with a disclosing term."""
     checkpoint_root(docs.sparkSession)
-    rows = found(docs, reach).checkpoint()
-    near = _near(rows, reach)
-    pairs = disclosing(docs, near, threshold, support).select(F.col("entity").alias("e"), F.col("term").alias("t"))
-    terms = near.join(pairs, (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t"))).groupBy(
-        F.col("key").alias("of")).agg(F.array_sort(F.collect_set(F.struct(
-            F.lit("term").alias("kind"), F.col("start"), F.col("end"), F.col("term").alias("value")))).alias("terms"))
-    return rows.join(terms, F.col("key") == F.col("of"), "left").select(
+    known = texts(docs)
+    terms = disclosing(known, threshold, support).select(F.col("term").alias("t")).distinct().checkpoint()
+    hits = known.select("key", F.explode("words").alias("word")).join(_few(terms, "1"), F.lower("word") == F.col("t")).groupBy(
+        F.col("key").alias("k")).agg(F.collect_set("word").alias("hit")).checkpoint()
+    rows = docs.select(_text().alias("text")).withColumn("of", F.sha2("text", 256)).join(
+        _few(hits, "size(hit)"), F.col("of") == F.col("k")).drop("k").dropDuplicates(["of"])
+    rows = rows.join(known.where("size(base) > 0").select("key", "base"), F.col("of") == F.col("key"), "left")
+    # longer spellings can't be cut short: what follows a match is no letter
+    pattern = r"concat(r'(?<![\p{L}\p{N}])(?:', array_join(hit, '|'), r')(?![\p{L}\p{N}])')"
+    rows = rows.withColumn("pattern", F.expr(pattern)).withColumn("_m", F.expr("regexp_extract_all(text, pattern, 0)")).withColumn(
+        "_p", F.expr("split(text, pattern, -1)"))
+    rows = rows.select("of", F.expr(
+        f"transform(filter({_placed('_p', '_m', 'term')}, t -> NOT exists(coalesce(base, {_NO_SPANS}), x -> x.start < t.end AND x.end > t.start)), "
+        "t -> struct(t.kind AS kind, t.start AS start, t.end AS end, lower(t.value) AS value))").alias("terms"))
+    return known.select("key", "base"), rows.checkpoint()
+
+
+def spans(docs: DataFrame, **options) -> DataFrame:
+    """Per row: doc_id, key, base and all (arrays of kind, start, end, value; all has the terms last)."""
+    known, terms = _marked(docs, **options)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text")).select("doc_id", _key("text").alias("key"))
+    based = known.where("size(base) > 0").select(F.col("key").alias("b"), "base")
+    rows = rows.join(based, F.col("key") == F.col("b"), "left").join(_few(terms, "size(terms)"), F.col("key") == F.col("of"), "left")
+    return rows.withColumn("base", F.expr(f"coalesce(base, {_NO_SPANS})")).select(
         "doc_id", "key", "base", F.expr(f"concat(base, coalesce(terms, {_NO_SPANS}))").alias("all"))
 
 
@@ -169,27 +209,21 @@ def report(docs: DataFrame, **options) -> DataFrame:
 def sanitise(docs: DataFrame, **options) -> DataFrame:
     """The input rows with every span generalised to its kind, e.g. ``[EMAIL]``.
 
-    Only rows with a span are shuffled; ``n_chars`` follows the new text.
+    Rows that may hold a base span are shuffled to their spans; the others
+    only if the terms found in such texts are too many to broadcast.
+    ``n_chars`` follows the new text.
     """
-    marked = spans(docs, **options).where("size(all) > 0").select(F.col("key").alias("of"), "all").dropDuplicates(["of"])
-    # the patterns' own tests are cheap; a row that passes none can't have a span
+    known, terms = _marked(docs, **options)
+    marked = known.join(terms, F.col("key") == F.col("of"), "left").select(
+        F.col("key").alias("of"), F.expr(f"concat(base, coalesce(terms, {_NO_SPANS}))").alias("all")).where("size(all) > 0")
+    # the patterns' own tests are cheap; a row that passes none can't have a base span
     may = F.expr(" OR ".join(f"({m.format(t="coalesce(CAST(text AS string), '')")})" for _, m in PATTERNS.values()))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    hit = docs.where(may).select(F.sha2(text, 256).alias("key"), F.struct(*docs.columns).alias("row")).join(
-        marked, F.col("key") == F.col("of"), "left")
-    # union of overlapping spans, named after the first
-    union = (
-        "aggregate(array_sort(transform(all, x -> struct(x.start AS start, x.end AS end, x.kind AS kind))), "
-        "CAST(array() AS array<struct<start: int, end: int, kind: string>>), (a, x) -> CASE "
-        "WHEN size(a) > 0 AND x.start < element_at(a, -1).end THEN concat(slice(a, 1, size(a) - 1), array(struct("
-        "element_at(a, -1).start AS start, greatest(element_at(a, -1).end, x.end) AS end, element_at(a, -1).kind AS kind))) "
-        "ELSE concat(a, array(x)) END)")
-    clean = (
-        "concat(array_join(transform(cut, (x, i) -> concat(substring(row.text, "
-        "CASE WHEN i = 0 THEN 1 ELSE element_at(cut, i).end + 1 END, x.start - CASE WHEN i = 0 THEN 0 ELSE element_at(cut, i).end END), "
-        "'[', upper(x.kind), ']')), ''), substring(row.text, element_at(cut, -1).end + 1))")
-    hit = hit.withColumn("cut", F.expr(union)).withColumn("clean", F.expr(f"CASE WHEN size(cut) > 0 THEN {clean} END"))
+    keyed = [_key("coalesce(CAST(text AS string), '')").alias("key"), F.struct(*docs.columns).alias("row")]
+    hit = docs.where(may).select(*keyed).join(marked, F.col("key") == F.col("of"), "left").unionByName(
+        docs.where(~may).select(*keyed).join(_few(terms, "size(terms)").withColumnRenamed("terms", "all"), F.col("key") == F.col("of"), "left"))
+    clean = _cut_out("row.text", "cut", "'[', upper(x.kind), ']'")
+    hit = hit.withColumn("cut", F.expr(_union("all"))).withColumn("clean", F.expr(f"CASE WHEN size(cut) > 0 THEN {clean} END"))
     new = {"text": F.coalesce("clean", "row.text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.coalesce(F.char_length("clean").cast(docs.schema["n_chars"].dataType), F.col("row.n_chars"))
-    return hit.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]).unionByName(docs.where(~may))
+    return hit.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -1,10 +1,11 @@
 import hashlib
+import math
 import random
 import re
 
 import pytest
 
-from staykit.llm.pii import report, sanitise, spans
+from staykit.llm.pii import disclosing, report, sanitise, spans, texts
 
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -78,6 +79,48 @@ def test_copies_of_a_text_do_not_hide_its_terms(docs_of):
         assert [s.value for s in got[i]["all"] if s.kind == "term"] == ["zorblax", "owner"]
 
 
+def test_disclosing_terms_far_away_and_without_the_entity(docs_of):
+    rows = corpus()
+    far = " the of" * 40
+    for i in range(4):
+        rows.append((4000 + i, f"Vantor{far} and kim@mail.example.com {i}{far} VANTOR, vantor's; Vantors kimvantor@x.org{i}"))
+    rows.append((5000, "rain and vantor in the house"))
+    got = {g.doc_id: g for g in spans(docs_of(rows)).collect()}
+    text = dict(rows)
+    for i in range(4000, 4004):
+        assert [text[i][s.start:s.end] for s in got[i]["all"] if s.kind == "term"][:3] == ["Vantor", "VANTOR", "vantor"]
+    assert [(s.kind, s.start, s.end, s.value) for s in got[5000]["all"]] == [("term", 9, 15, "vantor")]
+    clean = {g.doc_id: g.text for g in sanitise(docs_of(rows)).collect()}
+    assert clean[5000] == "rain and [TERM] in the house"
+    assert not any("vantor " in clean[i].lower() for i in range(4000, 4004))
+
+
+def test_pairs_against_a_plain_count(docs_of):
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(150)]
+    owner = {w: f"{w}@x.org" for w in words[:12]}
+    rows = []
+    for i in range(250):
+        t = [r.choice(words[12:]) for _ in range(r.randrange(0, 12))]
+        if i % 3 == 0:
+            w = r.choice(words[:12])
+            t += [w] * (r.random() < 0.9) + [owner[w]] * (r.random() < 0.9)
+            r.shuffle(t)
+        rows += [(i, " ".join(t))] * (1 + 5 * (i % 7 == 0))
+    known = texts(docs_of(rows))
+    got = {tuple(p) for p in disclosing(known, 0.7, 2).collect()}
+    held = [(set(re.findall(r"(?<!\S)w\d+(?!\S)", t)), {"email:" + m.group() for m in re.finditer(BASE["email"], t)}) for t in {t for _, t in rows}]
+    n = len(held)
+    want = set()
+    for e in {e for _, es in held for e in es}:
+        n_e = sum(e in es for _, es in held)
+        for t in {t for ts, _ in held for t in ts}:
+            n_t, n_et = sum(t in ts for ts, _ in held), sum(t in ts and e in es for ts, es in held)
+            if n_et >= 2 and math.log(n * n_et / (n_e * n_t)) >= 0.7 * math.log(n / n_e):
+                want.add((e, t))
+    assert got == want and len(want) > 5
+
+
 def test_sanitised_text_and_clean_rows(docs_of):
     rows = corpus() + [(1, "call +1 (705) 555-6638 or 4111 1111 1111 1111"), (2, None), (2, None), (None, "a@b.c at 10.0.0.1")]
     docs = docs_of(rows).selectExpr("*", "'keep' as key", "1 as base")
