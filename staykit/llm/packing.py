@@ -2,8 +2,8 @@
 
 A document is its token ids and the end id. One longer than ``size`` is cut
 into pieces of ``size`` ids, the first piece taking the remainder; nothing
-else is cut. Pieces are dealt at random (by id hash) into cells of bounded
-size, and each cell is packed by itself: full pieces stand alone; the others
+else is cut. Full pieces stand alone. The others are dealt at random (by id
+hash) into cells of bounded size, and each cell is packed by itself: pieces
 go best-fit-decreasing; then bins below ``size`` exchange pieces one for one,
 two for one, or move a piece, whenever that raises the sum of squared fills.
 Fuller bins get fuller and the emptiest one is drained until it is gone; the
@@ -113,93 +113,118 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return [b for bins in room for b in bins]
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, size: int, rounds: int = 4) -> list[list[int]]:
-    """Swap-based local search: raise the sum of squared fills until bins empty.
+class _Index:
+    """Which fills hold a piece, or two pieces, of a given sum.
 
-    Each round drains the emptiest underfull bins, one after the other, into
-    fuller ones. A move takes one piece; an exchange gives one or two pieces
-    for one shorter piece of a fuller bin. Taking the gain d > 0 into a bin at
-    least as full always raises the squared fill.
+    ``best[k][m, f]`` is the largest fill up to f of a bin that holds k + 1
+    pieces of m ids in all, -1 if there is none. Row 0 of ``best[0]`` is any bin.
     """
-    total = int(sum(lengths[i] for b in bins for i in b))
-    least = -(-total // size)
-    full = [b for b in bins if sum(int(lengths[i]) for i in b) == size]
-    open_ = [b for b in bins if sum(int(lengths[i]) for i in b) < size]
-    fill = [sum(int(lengths[i]) for i in b) for b in open_]
-    for _ in range(rounds):
-        if len(full) + len(open_) <= least or len(open_) < 2:
-            break
-        order = sorted(range(len(open_)), key=lambda b: fill[b])
-        # pieces of the open bins by length, to find an exchange of the right size
-        where: dict[int, set[tuple[int, int]]] = {}
-        for b, bin_ in enumerate(open_):
-            for i in bin_:
-                where.setdefault(int(lengths[i]), set()).add((b, i))
-        changed = False
 
-        def put(i: int, a: int, b: int) -> None:
-            """Piece i goes from bin a to bin b."""
-            n = int(lengths[i])
-            open_[a].remove(i)
-            open_[b].append(i)
-            fill[a] -= n
-            fill[b] += n
-            where[n].remove((a, i))
-            where[n].add((b, i))
-
-        rooms: dict[int, set[int]] = {}
-        for b in range(len(open_)):
-            rooms.setdefault(size - fill[b], set()).add(b)
-
-        def shift(items: list[int], back: list[int], a: int, b: int) -> None:
-            rooms[size - fill[a]].discard(a)
-            rooms[size - fill[b]].discard(b)
-            for i in items:
-                put(i, a, b)
-            for i in back:
-                put(i, b, a)
-            rooms.setdefault(size - fill[a], set()).add(a)
-            rooms.setdefault(size - fill[b], set()).add(b)
-
-        for a in order:
-            for i in sorted(open_[a], key=lambda i: -lengths[i]):
-                n = int(lengths[i])
-                # move: the tightest other bin with room
-                to = next((b for r in range(n, size + 1) for b in rooms.get(r, ()) if b != a and fill[b] >= fill[a] - n), None)
-                if to is not None:
-                    shift([i], [], a, to)
-                    changed = True
-            again = True
-            while again and open_[a]:
-                again = False
-                own = sorted(open_[a], key=lambda i: -lengths[i])[:8]
-                give = [([i], int(lengths[i])) for i in own]
-                give += [([i, j], int(lengths[i] + lengths[j])) for x, i in enumerate(own) for j in own[x + 1:]]
-                for items, n in give:
-                    found = None
-                    for r in sorted((r for r in rooms if 0 < r < size and rooms[r]), reverse=True)[:32]:
-                        # a bin with room r is filled by n for a piece of n - r
-                        for b, j in where.get(n - r, ()):
-                            if b != a and size - fill[b] == r and fill[b] >= fill[a] - r:
-                                found = (j, b)
-                                break
-                        if found:
-                            break
-                    if found:
-                        shift(items, [found[0]], a, found[1])
-                        changed = again = True
-                        break
-        keep = [b for b in range(len(open_)) if open_[b]]
-        full += [open_[b] for b in keep if fill[b] == size]
-        left = [b for b in keep if fill[b] < size]
-        # what is left over is packed anew; the better of the two stays
-        loose = [i for b in left for i in open_[b]]
-        again_ = [[loose[i] for i in b] for b in best_fit(lengths[loose], size)] if loose else []
-        open_ = again_ if len(again_) < len(left) else [open_[b] for b in left]
-        fill = [sum(int(lengths[i]) for i in b) for b in open_]
-        if not changed:
+    def __init__(self, size: int):
+        self.size = size
+        self.count = np.zeros((2, size + 1, size + 1), np.int32)
+        self.best = np.full((2, size + 1, size + 1), -1, np.int16 if size < 1 << 15 else np.int32)
+        self.fills = np.arange(size + 1)
+        self.at: dict[int, set[int]] = {}
+
+    def change(self, bin_: int, fill: int, sums: list[np.ndarray], by: int) -> None:
+        for k, rows in enumerate((np.append(sums[0], 0), sums[1])):
+            if len(rows):
+                self.count[k, rows, fill] += by
+                self.best[k, rows] = np.maximum.accumulate(np.where(self.count[k, rows] > 0, self.fills, -1), axis=1)
+        (self.at.setdefault(fill, set()).add if by > 0 else self.at[fill].discard)(bin_)
+
+
+def _sums(lengths: np.ndarray) -> list[np.ndarray]:
+    """Distinct lengths of a bin's pieces, and distinct sums of two of them."""
+    one, n = np.unique(lengths, return_counts=True)
+    i, j = np.triu_indices(len(one), 1)
+    return [one, np.unique(np.concatenate([one[i] + one[j], 2 * one[n > 1]]))]
+
+
+def _take(bin_: list[int], lengths: np.ndarray, total: int, two: bool) -> list[int]:
+    """One piece of that length, or two of that sum."""
+    if not two:
+        return [next(i for i in bin_ if lengths[i] == total)] if total else []
+    seen: dict[int, int] = {}
+    for i in bin_:
+        n = int(lengths[i])
+        if total - n in seen:
+            return [seen[total - n], i]
+        seen[n] = i
+    return []
+
+
+def _climb(open_: list[list[int]], lengths: np.ndarray, size: int, spare: int) -> None:
+    """Exchange pieces in place until no exchange helps or ``spare`` bins are empty.
+
+    Bin a gives n ids for m fewer of bin b, d = n - m > 0: squared fill grows
+    if b's fill is above a's less d. Of all such exchanges a's best is made.
+    """
+    fill = [int(lengths[b].sum()) for b in open_]
+    sums = [_sums(lengths[b]) for b in open_]
+    index = _Index(size)
+    for b in range(len(open_)):
+        if fill[b] < size:                                  # a full bin neither gives nor takes
+            index.change(b, fill[b], sums[b], 1)
+    changed = True
+    while changed and spare > 0:
+        changed = False
+        for a in sorted(range(len(open_)), key=lambda b: fill[b]):
+            if not 0 < fill[a] < size or spare <= 0:
+                continue
+            index.change(a, fill[a], sums[a], -1)
+            while fill[a]:
+                found = (0, 0, 0, 0, 0, 0)
+                for give, get in ((0, 0), (1, 0), (0, 1)):
+                    n, m = sums[a][give][:, None], np.arange(size)[None, :]
+                    d = n - m
+                    f = np.where(d > 0, index.best[get][m, np.clip(size - d, 0, size)], -1).astype(np.int64)
+                    gain = np.where((f >= 0) & (f > fill[a] - d), d * (f - fill[a] + d), 0)
+                    if gain.size and gain.max() > found[0]:
+                        x, y = np.unravel_index(gain.argmax(), gain.shape)
+                        found = (int(gain[x, y]), give, get, int(n[x, 0]), int(y), int(f[x, y]))
+                gain, give, get, n, m, f = found
+                if not gain:
+                    break
+                b = next(b for b in index.at[f] if not m or m in sums[b][get])
+                out, back = _take(open_[a], lengths, n, give == 1), _take(open_[b], lengths, m, get == 1)
+                index.change(b, fill[b], sums[b], -1)
+                for bin_, less, more in ((a, out, back), (b, back, out)):
+                    open_[bin_] = [i for i in open_[bin_] if i not in less] + more
+                    fill[bin_] = int(lengths[open_[bin_]].sum()) if open_[bin_] else 0
+                    sums[bin_] = _sums(lengths[open_[bin_]]) if open_[bin_] else [np.zeros(0, np.int64)] * 2
+                if fill[b] < size:
+                    index.change(b, fill[b], sums[b], 1)
+                changed = True
+            if fill[a]:
+                index.change(a, fill[a], sums[a], 1)
+            else:
+                spare -= 1
+
+
+def improve(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
+    """Swap-based local search: raise the sum of squared fills until no exchange does.
+
+    A move takes one piece; an exchange swaps one for one or two for one,
+    either way round. Then what is left below ``size`` is packed anew, and
+    searched again if that saves a bin.
+    """
+    lengths = np.asarray(lengths, np.int64)
+    least = -(-int(lengths.sum()) // size)
+    bins = [b for b in bins if b]
+    while len(bins) > least:
+        full = [b for b in bins if lengths[b].sum() == size]
+        open_ = [list(b) for b in bins if lengths[b].sum() < size]
+        _climb(open_, lengths, size, len(bins) - least)
+        bins = full + [b for b in open_ if b]
+        left = [b for b in bins if lengths[b].sum() < size]
+        loose = [i for b in left for i in b]
+        anew = [[loose[i] for i in b] for b in best_fit(lengths[loose], size)] if loose else []
+        if len(anew) >= len(left):
             break
-    return full + open_
+        bins = [b for b in bins if lengths[b].sum() == size] + anew
+    return bins
 
 
 def pack(docs: DataFrame, path: str, ranks: str | None = None, pattern: str | None = None,
@@ -213,15 +238,15 @@ def pack(docs: DataFrame, path: str, ranks: str | None = None, pattern: str | No
     def cell(key, table):
         table = table.drop_columns(["cell"]).sort_by([("length", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
         lengths = table["length"].to_numpy()
-        whole = np.flatnonzero(lengths == size)
-        part = np.flatnonzero(lengths < size)
-        bins = [[i] for i in whole.tolist()]
-        bins += [part[b].tolist() for b in improve(best_fit(lengths[part], size), lengths[part], size)]
+        bins = improve(best_fit(lengths, size), lengths, size)
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
         for n, b in enumerate(bins):
             sequence[b] = (key[0].as_py() << 32) | n
             offset[b] = np.cumsum(lengths[b]) - lengths[b]
         return table.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    dealt = cut.withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(n_cells)).cast("long"))
-    return dealt.groupBy("cell").applyInArrow(cell, schema)
+    # a full piece is a sequence; its id is above those of the cells
+    full = cut.where(F.col("length") == size).withColumn(
+        "sequence_id", F.lit(n_cells << 32) + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    dealt = cut.where(F.col("length") < size).withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(n_cells)).cast("long"))
+    return dealt.groupBy("cell").applyInArrow(cell, schema).unionByName(full)

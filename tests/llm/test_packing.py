@@ -52,6 +52,31 @@ def test_local_search_beats_best_fit():
     assert len(after) < len(first)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_no_exchange_helps_at_the_end(seed):
+    n = np.random.default_rng(seed).integers(23, 48, 90)
+    bins = improve(best_fit(n, 100), n, 100)
+    if len(bins) == -(-n.sum() // 100):
+        return
+
+    def some(b):
+        return [(0, 0)] + [(1, int(n[i])) for i in b] + [(2, int(n[i] + n[j])) for x, i in enumerate(b) for j in b[x + 1:]]
+
+    for a in bins:
+        for b in bins:
+            if a is not b:
+                for k, x in some(a):
+                    for j, y in some(b):
+                        if (k, j) in ((1, 0), (1, 1), (2, 1), (1, 2)) and x > y and n[b].sum() + x - y <= 100:
+                            assert n[b].sum() - n[a].sum() + x - y <= 0
+
+
+def test_full_pieces_stay_outside_the_cells(docs_of):
+    got = pack(docs_of([(1, " the" * 30_000), (2, "short")]), *FILES, cell_pieces=1)
+    full = [g for g in got.collect() if g.length == 1024]
+    assert len(full) > 5 and len({g.sequence_id for g in full}) == len(full) and min(g.sequence_id for g in full) >= 2 << 32
+
+
 @pytest.mark.parametrize("cell", [20_000, 60])
 def test_round_trip(docs_of, cell):
     slow = whole()
