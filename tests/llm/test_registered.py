@@ -17,11 +17,14 @@ CONTRACT = {
     "op8_quality": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_html_text": "page_id url text n_chars",
     "op10_toxicity": "doc_id held_out score predicted",
+    "op11_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op12_lexical": "item_id rank doc_id score",
+    "op13_periodic": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
 def test_every_operator_is_registered_once():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
@@ -30,7 +33,7 @@ def test_columns_and_row_counts(spark, key):
     out = QUERIES[key](spark, SF_SMALL)
     assert out.columns[:len(CONTRACT[key].split())] == CONTRACT[key].split()
     whole = "pages" if key == "op9_html_text" else "documents"
-    if key != "op7_packing":
+    if key not in ("op7_packing", "op12_lexical"):
         assert out.count() == spark.read.parquet(f"{SF_SMALL}/{whole}.parquet").count()
 
 
@@ -45,8 +48,8 @@ def test_matches_duckdb(spark, key):
     assert sorted(map(str, (tuple(r) for r in QUERIES[key](spark, SF_SMALL).select(*names).collect()))) == want
 
 
-CLASHES = ("batch cell digest key size shard slot fp mark root of row cut clean all base score toxic kept label_id n_docs "
-           "sequence_id piece group law kind data bucket").split()
+CLASHES = ("batch cell key size shard slot fp mark root of row cut clean all base score toxic kept label_id n_docs "
+           "sequence_id piece group law kind data bucket digest file salt rank item start runs collapsed words").split()
 
 
 @pytest.mark.parametrize("key", [k for k in sorted(QUERIES) if k != "op9_html_text"])
