@@ -187,10 +187,13 @@ def runs_of(texts: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
         _, own = np.unique(own, return_inverse=True)
         grammar = Grammar(own.astype(np.int64), np.append(0, base + size - 1))
         shift = (base - starts[docs])[np.searchsorted(docs, np.searchsorted(ends, place))]
-        while len(place):
-            # of each chain of neighbouring candidates, the first one
+        for last in (False, False, True):
+            if not len(place):
+                break
+            # of each chain of neighbouring candidates the first one, twice; then all that are not explained yet
             chain = np.ones(len(place), bool)
-            chain[1:] = (period[1:] != period[:-1]) | (place[1:] - place[:-1] != period[1:])
+            if not last:
+                chain[1:] = (period[1:] != period[:-1]) | (place[1:] - place[:-1] != period[1:])
             x, q, s = place[chain], period[chain], shift[chain]
             forth = grammar.extension(x + s, x + s + q, 1)
             back = grammar.extension(x + s - 1, x + s + q - 1, -1)
@@ -221,9 +224,9 @@ def collapse(words: list[bytes], runs: list[tuple[int, int, int]]) -> list[bytes
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
     for part in slices(batches, "text"):
-        number: dict[bytes, int] = {}
         texts = [(t or b"").split() for t in part.column("text").cast(pa.large_binary()).to_pylist()]
-        numbered = [np.fromiter((number.setdefault(w, len(number)) for w in t), np.int64, len(t)) for t in texts]
+        number = {w: i for i, w in enumerate(set().union(*texts))}
+        numbered = [np.fromiter(map(number.__getitem__, t), np.int64, len(t)) for t in texts]
         runs = runs_of(numbered)
         yield pa.RecordBatch.from_arrays([
             part.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
