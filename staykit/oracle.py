@@ -14,7 +14,7 @@ from .operators.validate import STRICT_FORMS
 from .plans.contracts import AGG_LISTING_FIELDS, CALENDAR_FIELDS, LISTING_FIELDS
 from .plans.listings import CONSTANT_FILLS, EXPLORE_COLUMNS, REQUIRED_COLUMNS, VALIDATED_COLUMNS
 from .registry import (
-    ANY_NULL_SUBSET, AREA, AS_OF, CATEGORY_COLUMNS, HISTOGRAM_BINS, HISTOGRAM_COLUMN, HISTOGRAM_COLUMNS,
+    ANY_NULL_SUBSET, AREA, AS_OF, CATEGORY_COLUMNS, CLUSTER_RADIUS, HISTOGRAM_BINS, HISTOGRAM_COLUMN, HISTOGRAM_COLUMNS,
     MEAN_COLUMNS, MEDIAN_COLUMNS, MODE_COLUMNS, NOW, PIE_COLUMN, STATS_DIGITS, TOP_COLUMNS,
     TOP_K, ZERO_COLUMNS,
 )
@@ -409,6 +409,87 @@ select tile_x, tile_y, count(*) as n_points, round(avg(latitude), 6) as center_l
 from t group by tile_x, tile_y"""
 
 
+_ON_EARTH = "latitude is not null and longitude is not null and not isnan(latitude) and not isnan(longitude) " \
+            "and abs(latitude) <= 90 and abs(longitude) <= 180"
+
+AREAS = f"""{L}, {fixture_cte('areas')},
+feats as (select unnest(from_json(doc->'features', '["JSON"]')) as f from areas),
+bounds as (select f->'properties'->>'neighbourhood' as area, f->'properties'->>'neighbourhood_group' as area_group,
+                  f->'geometry'->>'type' as kind, f->'geometry'->'coordinates' as c from feats),
+rings as (select area, area_group, unnest(cast(c as double[][][])) as ring from bounds where kind = 'Polygon'
+          union all select area, area_group, unnest(flatten(cast(c as double[][][][]))) from bounds where kind = 'MultiPolygon'),
+corners as (select area, area_group, ring, unnest(range(1, len(ring))) as i from rings where len(ring) >= 4),
+edges as (select area, area_group, ring[i][1] as x1, ring[i][2] as y1, ring[i + 1][1] as x2, ring[i + 1][2] as y2 from corners),
+hits as (select id, area, area_group from (select id, longitude as px, latitude as py from listings where {_ON_EARTH}) p
+         join edges on (y1 > py) <> (y2 > py) and px < (x2 - x1) * ((py - y1) / (y2 - y1)) + x1
+         group by id, area, area_group having count(*) % 2 = 1),
+placed as (select l.id, price, area, area_group, case when h.id is not null then 'placed' when {_ON_EARTH} then 'outside' else 'no_point' end as area_status
+           from listings l left join hits h on l.id = h.id)"""
+LISTING_AREAS = f"""{AREAS},
+r as (select *, row_number() over (partition by id order by area_group nulls last, area nulls last) as rn,
+             count(*) over (partition by id) as n from placed)
+select id, area, area_group, case when area_status = 'placed' then n else 0 end as n_areas, area_status from r where rn = 1"""
+AREA_COUNTS = f"""{AREAS},
+v as (select area, area_group, area_status, {money_tr('price')} as price from placed)
+select area, area_group, area_status, count(*) as n_listings, count(price) as n_values, round(avg(price), {DIG}) as mean_value,
+       min(price) as min_value, max(price) as max_value from v group by area, area_group, area_status"""
+BOUNDARY_REJECTS = f"""{AREAS}
+select area as neighbourhood, area_group as neighbourhood_group, kind as geometry_type,
+       case when kind = 'Point' then 'not a polygon' else 'no ring of four positions' end as reason
+from bounds where kind = 'Point' or (kind = 'Polygon' and list_max(list_transform(cast(case when kind = 'Polygon' then c else '[]' end as json[][]), lambda r: len(r))) < 4)"""
+
+
+def _mid(c, n="count(*)"):
+    return f"round(sum({c}) / {n} / 1e7, 6)"
+
+
+def _e7(c):
+    return f"cast(round({c} * 1e7::double) as bigint)"
+
+
+def _pixels(zoom):
+    rad = "least(greatest(latitude, -85.0511287798066e0), 85.0511287798066e0) * pi() / 180e0"
+    world = f"{256.0 * 2 ** zoom!r}::double"
+    return (f"(longitude + 180e0) / 360e0 * {world}", f"(1e0 - ln(tan({rad}) + 1e0 / cos({rad})) / pi()) / 2e0 * {world}")
+
+
+def _distance_clusters(zoom=14, radius=CLUSTER_RADIUS):
+    x, y = _pixels(zoom)
+    return f"""with recursive {fixture_cte('listings')},
+pts as (select {x} as x, {y} as y, {_e7('latitude')} as lat, {_e7('longitude')} as lon from listings where {_ON_EARTH}),
+cells as (select floor(x / {radius / 2})::bigint as cx, floor(y / {radius / 2})::bigint as cy, count(*) as n, min(x) as x0, max(x) as x1,
+                 min(y) as y0, max(y) as y1, sum(lat) as lat, sum(lon) as lon from pts group by 1, 2),
+named as (select cx * 4294967296 + cy as node, * from cells),
+links as (select a.node as a, b.node as b
+          from (select *, cx + dx as ncx, cy + dy as ncy from named, (select unnest(range(-3, 4)) as dx), (select unnest(range(-3, 4)) as dy)) a
+          join named b on b.cx = ncx and b.cy = ncy
+          where a.node <> b.node and greatest(greatest(a.x0, b.x0) - least(a.x1, b.x1), 0) ** 2
+                + greatest(greatest(a.y0, b.y0) - least(a.y1, b.y1), 0) ** 2 <= {radius * radius}),
+lab(node, label) using key (node) as (
+  select node, node from named
+  union select l.a, min(k.label) from lab k join links l on k.node = l.b join recurring.lab cur on cur.node = l.a
+        where k.label < cur.label group by l.a)
+select label // 4294967296 as cluster_x, label % 4294967296 as cluster_y, sum(n)::bigint as n_points, count(*) as n_cells,
+       {_mid('lat', 'sum(n)')} as center_lat, {_mid('lon', 'sum(n)')} as center_lon
+from named join lab using (node) group by label"""
+
+
+def _pyramid(zoom=14):
+    rad = "least(greatest(latitude, -85.0511287798066e0), 85.0511287798066e0) * pi() / 180e0"
+
+    def inside(tile):
+        return f"cast(least(greatest(floor({tile}), 0), {2 ** zoom - 1}) as bigint)"
+
+    digits = " || ".join(f"cast(((tx >> {z}) & 1) + 2 * ((ty >> {z}) & 1) as varchar)" for z in range(zoom - 1, -1, -1))
+    return f"""{L},
+t as (select {inside(f'(longitude + 180e0) / 360e0 * {2.0 ** zoom!r}::double')} as tx,
+             {inside(f'(1e0 - ln(tan({rad}) + 1e0 / cos({rad})) / pi()) / 2e0 * {2.0 ** zoom!r}::double')} as ty, latitude, longitude
+      from listings where {_ON_EARTH}),
+k as (select {digits} as key, {_e7('latitude')} as lat, {_e7('longitude')} as lon from t)
+select cast(z as integer) as zoom, left(key, z) as quad_key, count(*) as n_points, {_mid('lat')} as center_lat,
+       {_mid('lon')} as center_lon from k, (select unnest(range(0, {zoom + 1})) as z) group by z, left(key, z)"""
+
+
 _FITS = "regexp_full_match({c}, '[0-9]+(\\.0+)?')"
 
 
@@ -528,6 +609,11 @@ ORACLE: dict[str, str] = {
     "map_points": f"{L} select id, price, latitude, longitude from listings where {_LOC} order by id limit 30",
     "cluster_points": _cluster(),
     "off_earth": f"{L} select id, latitude, longitude from listings where {_LOC} and (abs(latitude) > 90 or abs(longitude) > 180)",
+    "listing_areas": LISTING_AREAS,
+    "area_counts": AREA_COUNTS,
+    "boundary_rejects": BOUNDARY_REJECTS,
+    "distance_clusters": _distance_clusters(),
+    "tile_pyramid": _pyramid(),
     "clean_listings": f"{L}, c as (select {_clean_select()} from listings) select * from c "
                       f"where price < {EXTREME_PRICE} and minimum_nights <= {MAX_MINIMUM_NIGHTS}",
     "clean_listings_compat": f"{L}, c as (select {_clean_select(compat=True)} from listings) select * from c "

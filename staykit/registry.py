@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as X
-from .operators import filters, geo, impute, missing, profile, validate
+from .operators import areas, clusters, filters, geo, impute, missing, profile, validate
 from .plans import contracts, listings, sinks
 from .plans.ingest import ingest_feed, ingest_with_stored_contract, rejects_table, violation_report
 from .session import shared_path
@@ -41,6 +41,8 @@ MODE_COLUMNS = ["host_response_time", "host_neighbourhood", "property_type"]
 CATEGORY_COLUMNS = ["host_neighbourhood", "license", "host_response_time"]
 PIE_COLUMN = "host_neighbourhood"
 STATS_DIGITS = 4
+AREA_CELL = 0.002
+CLUSTER_RADIUS = 6.0
 # every fixture column but the all-null ``bathrooms``
 ANY_NULL_SUBSET = ["id"] + [c for c in listings.VALIDATED_COLUMNS if c != "bathrooms"]
 
@@ -201,6 +203,15 @@ def _impute_query(method, cols):
     return run
 
 
+def _boundaries(spark, sf):
+    return features_from_docs(fixture(spark, sf, "areas"), geometry=True)
+
+
+def _area_counts(spark, sf):
+    points = _fixed_price(spark, sf).select("id", "latitude", "longitude", "price")
+    return areas.area_summary(areas.place(points, _boundaries(spark, sf), cell=AREA_CELL), "price", STATS_DIGITS)
+
+
 def _validated_wide(spark, sf):
     return validate.validate(_wide(spark, sf))
 
@@ -301,6 +312,11 @@ QUERIES: dict[str, Query] = {
     "map_points": lambda s, sf: geo.map_points(_listings(s, sf)),
     "cluster_points": lambda s, sf: geo.cluster_points(_listings(s, sf)),
     "off_earth": lambda s, sf: geo.off_earth(_listings(s, sf)).select("id", "latitude", "longitude"),
+    "listing_areas": lambda s, sf: areas.areas_of(_listings(s, sf), _boundaries(s, sf), cell=AREA_CELL),
+    "area_counts": _area_counts,
+    "boundary_rejects": lambda s, sf: areas.boundary_rejects(_boundaries(s, sf)),
+    "distance_clusters": lambda s, sf: clusters.distance_clusters(_listings(s, sf), radius=CLUSTER_RADIUS),
+    "tile_pyramid": lambda s, sf: clusters.tile_pyramid(_listings(s, sf)),
     # pipelines
     "clean_listings": lambda s, sf: _join_amenities(listings.clean_listings(_listings(s, sf))),
     "clean_listings_compat": lambda s, sf: _join_amenities(

@@ -114,6 +114,38 @@ union all select '{"type":"Topology","name":"' || n_name || '"}' as doc from nat
 union all select '{"type":"FeatureCollection","name":"' || n_name || '"}' as doc from nation
 """
 
+
+def _position(dx: int, dy: int) -> str:
+    """SQL text of one GeoJSON position: an offset in 1/10000 degree from a nation's corner in a 5 by 5 grid."""
+    return (f"'[23.' || cast(7000 + n_nationkey % 5 * 150 + {dx} as string) || ',37.' "
+            f"|| cast(9000 + cast((n_nationkey - n_nationkey % 5) * 38 as bigint) + {dy} as string) || ']'")
+
+
+def _ring(*offsets: tuple[int, int]) -> str:
+    return "'[' || " + " || ',' || ".join(_position(*o) for o in [*offsets, offsets[0]]) + " || ']'"
+
+
+def _feature(kind: str, name: str, group: str, coordinates: str) -> str:
+    return (f"""'{{"type":"Feature","geometry":{{"type":"{kind}","coordinates":' || {coordinates} || '}},"properties":"""
+            f"""{{"neighbourhood":"' || {name} || '","neighbourhood_group":' || {group} || '}}}}'""")
+
+
+# neighbourhoods over the listings' square: a hexagon with a triangular hole, in a third of the nations with a
+# detached part; a district over each row of five, with a hole; and geometries that can hold no point
+_HEXAGON = _ring((0, 40), (50, 0), (150, 10), (140, 120), (80, 185), (5, 150)) + " || ',' || " + _ring((60, 60), (90, 60), (75, 100))
+_PART = _ring((145, 150), (150, 185), (110, 188))
+_DISTRICT = _ring((0, 5), (700, 0), (745, 90), (705, 180), (3, 185)) + " || ',' || " + _ring((300, 40), (420, 50), (360, 130))
+AREAS_SQL = f"""
+select '{{"type":"FeatureCollection","features":[' ||
+  case when n_nationkey % 3 = 0 then {_feature("MultiPolygon", "n_name", "'\"G' || cast(n_regionkey as string) || '\"'", f"'[[' || {_HEXAGON} || '],[' || {_PART} || ']]'")}
+       else {_feature("Polygon", "n_name", "'null'", f"'[' || {_HEXAGON} || ']'")} end
+  || case when n_nationkey % 5 = 0 then ',' || {_feature("Polygon", "'District ' || n_name", "'null'", f"'[' || {_DISTRICT} || ']'")} else '' end
+  || case when n_nationkey % 7 = 0 then ',' || {_feature("Point", "'Centre of ' || n_name", "'null'", _position(75, 75))} else '' end
+  || case when n_nationkey % 7 = 1 then ',' || {_feature("Polygon", "'Line of ' || n_name", "'null'", "'[' || " + _ring((0, 0), (9, 9)) + " || ']'")} else '' end
+  || ']}}' as doc
+from nation
+"""
+
 FIXTURE_SQL = {
     "listings": (LISTINGS_SQL, ["orders"]),
     "calendar": (CALENDAR_SQL, ["lineitem"]),
@@ -121,6 +153,7 @@ FIXTURE_SQL = {
     "calendar_dirty": (CALENDAR_DIRTY_SQL, ["lineitem"]),
     "geojson_docs": (GEOJSON_DOCS_SQL, ["nation"]),
     "geojson_dirty": (GEOJSON_DIRTY_SQL, ["nation"]),
+    "areas": (AREAS_SQL, ["nation"]),
 }
 
 
