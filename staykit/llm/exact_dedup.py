@@ -16,6 +16,11 @@ the rows that stay are found again by their locators and compared too. Rows
 whose digests are equal but whose bytes are not (none with SHA-256, but the
 digest is a parameter) are grouped by the text itself.
 
+Only rows that may be hits send their texts: the digests of hits are a bitmap
+of 2^26 bits (8 MB, whatever the corpus), broadcast, and a join on the digest
+then decides. The state is about as large as the corpus has texts, so joins
+with it are sort-merge joins at every size.
+
 Digests that hold a thousandth of all rows or more, of which there are 1000 at
 most, are broadcast and dealt over as many salts as thousandths, for joins
 with rows. Everything is DataFrame functions and Spark's own streaming
@@ -40,11 +45,14 @@ from ..session import checkpoint_root, shared_path
 _SPACE = r"[\x20\x09-\x0D]+"
 #: Groups with a thousandth of all rows or more are dealt over salts.
 SHARE = 1000
+#: Bits of the bitmap that keeps most texts without a copy at home.
+FILTER_BITS = 26
 # Settings of the state store while the stream starts.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 _GROUPS = "digest binary, keep_id long, file string, row long, size long"
@@ -117,6 +125,21 @@ def _salted(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dealt, known.withColumn("salt", F.explode(F.sequence(F.lit(0), copies - 1)))
 
 
+def _may_hit(rows: DataFrame, many: DataFrame) -> DataFrame:
+    """The rows whose digest's bit is set: all of ``many`` and few others."""
+    def place(digest: str) -> Column:
+        return F.pmod(F.xxhash64(digest), F.lit(1 << FILTER_BITS))
+
+    bits = many.select(F.bitmap_bucket_number(place("digest")).alias("_bucket"), F.bitmap_bit_position(place("digest")).alias("_at")).groupBy(
+        "_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    at = F.bitmap_bit_position(place("digest"))
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), F.pmod(at, F.lit(8)).cast("int") + 1)
+    # 2^11 rows of 4 KB at most
+    there = rows.join(F.broadcast(bits), F.bitmap_bucket_number(place("digest")) == F.col("_bucket"))
+    return there.where(byte.bitwiseAND(bit) != 0).drop("_bucket", "_bits")
+
+
 def differing(rows: DataFrame, known: DataFrame, content: DataFrame | None = None) -> DataFrame:
     """Digests of the ``rows`` whose texts are not all the same bytes.
 
@@ -127,8 +150,8 @@ def differing(rows: DataFrame, known: DataFrame, content: DataFrame | None = Non
     if content is not None:
         places = many.select("file", "row")
         rows = rows.unionByName(content.join(places, ["file", "row"], "left_semi"))
-    dealt, groups_ = _salted(rows.select("digest", "file", "row", "text"), known)
-    hits = dealt.join(groups_.where("size > 1").select("digest", "salt"), ["digest", "salt"], "left_semi")
+    dealt, groups_ = _salted(_may_hit(rows.select("digest", "file", "row", "text"), many), known)
+    hits = dealt.join(groups_.where("size > 1").select("digest", "salt").hint("merge"), ["digest", "salt"], "left_semi")
     ends = hits.groupBy("digest", "salt").agg(F.min("text").alias("a"), F.max("text").alias("b"))
     return ends.groupBy("digest").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("digest")
 
@@ -144,7 +167,7 @@ def classes(rows: DataFrame, known: DataFrame, unequal: DataFrame | None = None)
         slim = slim.join(unequal, "digest", "left_anti")
     dealt, groups_ = _salted(slim, known)
     g = groups_.select("digest", "salt", "keep_id", F.col("file").alias("_file"), F.col("row").alias("_row"), "size")
-    out = dealt.join(g, ["digest", "salt"]).select(
+    out = dealt.join(g.hint("merge"), ["digest", "salt"]).select(
         "doc_id", "keep_id", F.col("size").alias("group_size"), ((F.col("file") == F.col("_file")) & (F.col("row") == F.col("_row"))).alias("kept"),
         "text_sha256", "file", "row")
     if unequal is None:

@@ -101,3 +101,11 @@ def test_no_python_in_the_plan(spark, tmp_dir):
     out = X.dedup(spark, write(spark, f"{tmp_dir}/d", ROWS))
     plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_the_bitmap_lets_every_hit_through_and_few_others(spark):
+    known = spark.range(20_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    rows = spark.range(60_000).select("id", F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    through = X._may_hit(rows, known)
+    assert through.columns == ["id", "digest"]
+    assert through.where("id < 20000").count() == 20_000 and through.where("id >= 20000").count() < 200
