@@ -8,15 +8,19 @@ keep.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from .functions.text import PANDAS_NA_TOKENS
 from .operators.filters import EXTREME_PRICE, MAX_MINIMUM_NIGHTS
+from .operators.multivariate import usual_limit
 from .operators.validate import STRICT_FORMS
 from .plans.contracts import AGG_LISTING_FIELDS, CALENDAR_FIELDS, LISTING_FIELDS
 from .plans.listings import CONSTANT_FILLS, EXPLORE_COLUMNS, REQUIRED_COLUMNS, VALIDATED_COLUMNS
 from .registry import (
-    ANY_NULL_SUBSET, AREA, AS_OF, CATEGORY_COLUMNS, CLUSTER_RADIUS, HISTOGRAM_BINS, HISTOGRAM_COLUMN, HISTOGRAM_COLUMNS,
-    MEAN_COLUMNS, MEDIAN_COLUMNS, MODE_COLUMNS, NOW, PIE_COLUMN, STATS_DIGITS, TOP_COLUMNS,
-    TOP_K, ZERO_COLUMNS,
+    ANY_NULL_SUBSET, AREA, AS_OF, ASSOCIATED_COLUMNS, ASSOCIATED_LEVELS, ASSOCIATED_TEXT, CATEGORY_COLUMNS, CLUSTER_RADIUS, GROUP_LEVELS,
+    GROUP_MEDIAN_COLUMNS, GROUP_MODE_COLUMNS, GROUP_SUPPORT, HISTOGRAM_BINS, HISTOGRAM_COLUMN, HISTOGRAM_COLUMNS,
+    MEAN_COLUMNS, MEDIAN_COLUMNS, MODE_COLUMNS, NOW, OUTLIER_COLUMNS, PIE_COLUMN,
+    STATS_DIGITS, TOP_COLUMNS, TOP_K, UNUSUAL_COLUMNS, ZERO_COLUMNS,
 )
 from .sources.fixtures import fixture_cte
 
@@ -490,6 +494,139 @@ select cast(z as integer) as zoom, left(key, z) as quad_key, count(*) as n_point
        {_mid('lon')} as center_lon from k, (select unnest(range(0, {zoom + 1})) as z) group by z, left(key, z)"""
 
 
+def _fence_part(c, method):
+    v = f"cast({nan_null(c, FIXED_TYPES[c])} as double)"
+    if method == "mad":
+        return (f"select '{c}' as column_name, m as center, median(abs(v - m)) as spread, m - 3.5e0 * 1.4826e0 * median(abs(v - m)) as low, "
+                f"m + 3.5e0 * 1.4826e0 * median(abs(v - m)) as high from (select {v} as v from fixed where v is not null), "
+                f"(select median({v}) as m from fixed) group by m")
+    q1, q3 = (f"quantile_cont({v}, {p})" for p in (0.25, 0.75))
+    return (f"select '{c}' as column_name, median({v}) as center, {q3} - {q1} as spread, {q1} - 1.5e0 * ({q3} - {q1}) as low, "
+            f"{q3} + 1.5e0 * ({q3} - {q1}) as high from fixed having count({v}) > 0")
+
+
+def _fences(method):
+    return (f"fences as (select column_name, center, spread, case when spread > 0 then low end as low_fence, case when spread > 0 then high end as high_fence "
+            f"from ({union(_fence_part(c, method) for c in OUTLIER_COLUMNS)}))")
+
+
+def _outlier_report(method):
+    stack = union(f"select '{c}' as column_name, cast({nan_null(c, FIXED_TYPES[c])} as double) as v from fixed" for c in OUTLIER_COLUMNS)
+    r = ", ".join(f"round({c}, {DIG}) as {c}" for c in ("center", "spread", "low_fence", "high_fence"))
+    return f"""{L}{FIXED_PRICE}, {_fences(method)}, s as ({stack}),
+c as (select f.column_name, count(v) as n_values, count(*) filter (where v < low_fence) as n_low, count(*) filter (where v > high_fence) as n_high
+      from fences f join s using (column_name) group by f.column_name)
+select column_name, {r}, n_values, n_low, n_high from fences join c using (column_name)"""
+
+
+def _outlier_rows():
+    def rule(c):
+        v = f"cast({nan_null(c, FIXED_TYPES[c])} as double)"
+        return (f"case when {v} < (select low_fence from fences where column_name = '{c}') or {v} > (select high_fence from fences "
+                f"where column_name = '{c}') then '{c}_outlier' end")
+    return f"""{L}{FIXED_PRICE}, {_fences('mad')}, m as (select id, concat_ws(';', {', '.join(rule(c) for c in OUTLIER_COLUMNS)}) as reasons from fixed)
+select id, reasons, reasons = '' as is_valid from m"""
+
+
+def _unusual():
+    x, y, z = UNUSUAL_COLUMNS
+    ok = " and ".join(present(c, FIXED_TYPES[c]) for c in UNUSUAL_COLUMNS)
+    return f"""{L}{FIXED_PRICE},
+ok as (select id, cast({x} as double) as x, cast({y} as double) as y, cast({z} as double) as z from fixed where {ok}),
+m as (select avg(x) as mx, avg(y) as my, avg(z) as mz, var_samp(x) as a, covar_samp(x, y) as b, covar_samp(x, z) as c, var_samp(y) as d,
+             covar_samp(y, z) as e, var_samp(z) as f from ok),
+i as (select *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) as det from m),
+r as (select id, ((d * f - e * e) * (x - mx) ** 2 + (a * f - c * c) * (y - my) ** 2 + (a * d - b * b) * (z - mz) ** 2
+                  + 2 * (c * e - b * f) * (x - mx) * (y - my) + 2 * (b * e - c * d) * (x - mx) * (z - mz)
+                  + 2 * (b * c - a * e) * (y - my) * (z - mz)) / det as d2 from ok, i)
+select fixed.id, round(d2, 3) as distance2, round(d2, 3) > {usual_limit(3, 0.999)!r}::double as is_unusual from fixed left join r using (id)"""
+
+
+def _numeric_association():
+    parts = []
+    for a, b in combinations(ASSOCIATED_COLUMNS, 2):
+        va, vb = (f"cast({nan_null(c, FIXED_TYPES[c])} as double)" for c in (a, b))
+        both = f"from fixed where {va} is not null and {vb} is not null"
+        sd = f"nullif(stddev_samp({va}), 0) * nullif(stddev_samp({vb}), 0)"
+        parts.append(f"select '{a}' as column_a, '{b}' as column_b, count(*) as n, round(covar_samp({va}, {vb}), {DIG}) + 0e0 as covariance, "
+                     f"round(covar_samp({va}, {vb}) / ({sd}), {DIG}) + 0e0 as correlation {both}")
+    return f"{L}{FIXED_PRICE}\n" + union(parts)
+
+
+def _text_association():
+    levels, parts = [], []
+    for c in ASSOCIATED_TEXT:
+        top = f"(select {c} from listings where {c} is not null group by {c} order by count(*) desc, {c} limit {ASSOCIATED_LEVELS})"
+        levels.append(f"case when {c} is null then null when {c} in {top} then {c} else '__other__' end as {c}")
+    for a, b in combinations(ASSOCIATED_TEXT, 2):
+        parts.append(f"""select '{a}' as column_a, '{b}' as column_b, n, la as levels_a, lb as levels_b, round(greatest(n * (s - 1), 0e0), {DIG}) as chi2,
+       case when least(la, lb) > 1 then round(sqrt(greatest(n * (s - 1), 0e0) / (n * (least(la, lb) - 1))), {DIG}) end as cramers_v
+from (select sum(o)::bigint as n, count(distinct a) as la, count(distinct b) as lb, sum(o::double * o / (ra::double * cb)) as s
+      from (select *, sum(o) over (partition by a) as ra, sum(o) over (partition by b) as cb
+            from (select {a} as a, {b} as b, count(*) as o from leveled where {a} is not null and {b} is not null group by 1, 2))) where n > 0""")
+    return f"{L}, leveled as materialized (select {', '.join(levels)} from listings)\n" + union(parts)
+
+
+_WIDE_ONLY = [c for c in FIX_COLUMNS if c != "id"]
+
+
+def _patterns():
+    marks = ", ".join(f"case when {missing(c, FIX_TYPES[c])} then '{c}' end" for c in _WIDE_ONLY)
+    return f"""{L}, p as (select concat_ws(',', {marks}) as pattern from listings)
+select pattern, case when pattern = '' then 0 else cast(len(string_split(pattern, ',')) as integer) end as n_missing, count(*) as n_rows,
+       cast(count(*) as double) / (select count(*) from p) * 100 as percent from p group by pattern"""
+
+
+def _co_missing():
+    parts = []
+    for a, b in combinations(_WIDE_ONLY, 2):
+        x, y = missing(a, FIX_TYPES[a]), missing(b, FIX_TYPES[b])
+        parts.append(f"select '{a}' as column_a, '{b}' as column_b, count(*) filter (where {x} and {y}) as n_both, "
+                     f"count(*) filter (where {x} and not {y}) as n_only_a, count(*) filter (where {y} and not {x}) as n_only_b, "
+                     f"count(*) filter (where not {x} and not {y}) as n_neither from listings")
+    na, nb, n = "(n_both + n_only_a)::double", "(n_both + n_only_b)::double", "(n_both + n_only_a + n_only_b + n_neither)::double"
+    return f"""{L}, p as ({union(parts)})
+select *, round(case when {na} < {n} and {nb} < {n} then ({n} * n_both - {na} * {nb}) / (sqrt({na} * ({n} - {na})) * sqrt({nb} * ({n} - {nb}))) end, {DIG}) as phi
+from p where {na} > 0 and {nb} > 0"""
+
+
+def _missing_effect():
+    parts = []
+    for c in EXPLORE_COLUMNS:
+        if c == "price":
+            continue
+        m = missing(c, FIXED_TYPES[c])
+        parts.append(f"select '{c}' as column_name, count(price) filter (where {m}) as nm, count(price) filter (where not {m}) as np, "
+                     f"avg(price) filter (where {m}) as am, avg(price) filter (where not {m}) as ap, "
+                     f"var_samp(price) filter (where {m}) as vm, var_samp(price) filter (where not {m}) as vp from fixed")
+    return f"""{L}{FIXED_PRICE}, p as ({union(parts)})
+select column_name, nm as n_missing, np as n_present, round(am, {DIG}) as mean_missing, round(ap, {DIG}) as mean_present, round(am - ap, {DIG}) as difference,
+       round(case when nm > 1 and np > 1 and vm / nm + vp / np > 0 then (am - ap) / sqrt(vm / nm + vp / np) end, {DIG}) as t from p"""
+
+
+def _grouped_impute(method, columns):
+    joins, out = [], ["l.id"]
+    for k, by in enumerate(GROUP_LEVELS):
+        for c in columns:
+            pres = f"from listings where {present(c, FIX_TYPES[c])}"
+            keys = ", ".join(by)
+            if method == "median":
+                table = f"select {keys + ', ' if by else ''}median({c}) as v, count(*) as n {pres} {'group by ' + keys if by else ''}"
+            else:
+                table = (f"select {keys + ', ' if by else ''}arg_min(val, (-cnt, val)) as v, sum(cnt) as n from (select {keys + ', ' if by else ''}{c} as val, "
+                         f"count(*) as cnt {pres} group by {keys + ', ' if by else ''}{c}) {'group by ' + keys if by else ''}")
+            on = " and ".join(f"l.{b} is not distinct from t{k}_{c}.{b}" for b in by) or "true"
+            joins.append(f"left join ({table}) t{k}_{c} on {on}")
+    for c in columns:
+        m = missing(f"l.{c}", FIX_TYPES[c])
+        value, level = "null", "null"
+        for k, by in reversed(list(enumerate(GROUP_LEVELS))):
+            value = f"case when t{k}_{c}.n >= {GROUP_SUPPORT} then t{k}_{c}.v else {value} end"
+            level = f"case when t{k}_{c}.n >= {GROUP_SUPPORT} then '{'+'.join(by) or 'all'}' else {level} end"
+        out += [f"case when {m} then {value} else l.{c} end as {c}", f"{m} as {c}_imputed", f"case when {m} then {level} end as {c}_imputed_from"]
+    return f"{L}\nselect {cols(out)} from listings l " + " ".join(joins)
+
+
 _FITS = "regexp_full_match({c}, '[0-9]+(\\.0+)?')"
 
 
@@ -609,6 +746,17 @@ ORACLE: dict[str, str] = {
     "map_points": f"{L} select id, price, latitude, longitude from listings where {_LOC} order by id limit 30",
     "cluster_points": _cluster(),
     "off_earth": f"{L} select id, latitude, longitude from listings where {_LOC} and (abs(latitude) > 90 or abs(longitude) > 180)",
+    "outlier_report": _outlier_report("mad"),
+    "outlier_report_iqr": _outlier_report("iqr"),
+    "validate_outliers": _outlier_rows(),
+    "unusual_rows": _unusual(),
+    "numeric_association": _numeric_association(),
+    "text_association": _text_association(),
+    "missing_patterns": _patterns(),
+    "co_missing": _co_missing(),
+    "missing_effect": _missing_effect(),
+    "impute_grouped_median": _grouped_impute("median", GROUP_MEDIAN_COLUMNS),
+    "impute_grouped_mode": _grouped_impute("mode", GROUP_MODE_COLUMNS),
     "listing_areas": LISTING_AREAS,
     "area_counts": AREA_COUNTS,
     "boundary_rejects": BOUNDARY_REJECTS,

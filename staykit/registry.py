@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as X
-from .operators import areas, clusters, filters, geo, impute, missing, profile, validate
+from .operators import areas, clusters, filters, geo, impute, missing, missing_patterns, multivariate, outliers, profile, validate
 from .plans import contracts, listings, sinks
 from .plans.ingest import ingest_feed, ingest_with_stored_contract, rejects_table, violation_report
 from .session import shared_path
@@ -41,6 +41,14 @@ MODE_COLUMNS = ["host_response_time", "host_neighbourhood", "property_type"]
 CATEGORY_COLUMNS = ["host_neighbourhood", "license", "host_response_time"]
 PIE_COLUMN = "host_neighbourhood"
 STATS_DIGITS = 4
+OUTLIER_COLUMNS = ["price", "minimum_nights", "number_of_reviews", "review_scores_rating", "bedrooms", "accommodates"]
+UNUSUAL_COLUMNS = ["price", "minimum_nights", "review_scores_rating"]
+ASSOCIATED_COLUMNS = ["price", "accommodates", "bedrooms", "minimum_nights", "review_scores_rating", "latitude", "bathrooms"]
+ASSOCIATED_TEXT, ASSOCIATED_LEVELS = ["room_type", "property_type", "host_response_time", "host_neighbourhood", "host_since"], 20
+GROUP_LEVELS = [["accommodates", "room_type"], ["room_type"], []]
+GROUP_MEDIAN_COLUMNS = ["bedrooms", "beds", "review_scores_rating"]
+GROUP_MODE_COLUMNS = ["host_response_time", "property_type", "bedrooms"]
+GROUP_SUPPORT = 3
 AREA_CELL = 0.002
 CLUSTER_RADIUS = 6.0
 # every fixture column but the all-null ``bathrooms``
@@ -203,6 +211,18 @@ def _impute_query(method, cols):
     return run
 
 
+def _outlier_rows(spark, sf):
+    df = _fixed_price(spark, sf)
+    return validate.validate(df, outliers.outlier_rules(df, outliers.fences(df, OUTLIER_COLUMNS)))
+
+
+def _grouped_query(method, cols):
+    def run(spark, sf):
+        df = impute.impute_grouped(_listings(spark, sf), cols, GROUP_LEVELS, method, support=GROUP_SUPPORT)
+        return df.select("id", *[c + x for x in ("", impute.FLAG_SUFFIX, impute.LEVEL_SUFFIX) for c in cols])
+    return run
+
+
 def _boundaries(spark, sf):
     return features_from_docs(fixture(spark, sf, "areas"), geometry=True)
 
@@ -279,7 +299,14 @@ QUERIES: dict[str, Query] = {
     "impute_zero": _impute_query("zero", ZERO_COLUMNS),
     "impute_mode": _impute_query("mode", MODE_COLUMNS),
     "impute_category": _impute_query("category", CATEGORY_COLUMNS),
+    "impute_grouped_median": _grouped_query("median", GROUP_MEDIAN_COLUMNS),
+    "impute_grouped_mode": _grouped_query("mode", GROUP_MODE_COLUMNS),
     # validation
+    "outlier_report": lambda s, sf: outliers.outlier_report(_fixed_price(s, sf), OUTLIER_COLUMNS, digits=STATS_DIGITS),
+    "outlier_report_iqr": lambda s, sf: outliers.outlier_report(_fixed_price(s, sf), OUTLIER_COLUMNS, "iqr", digits=STATS_DIGITS),
+    "validate_outliers": lambda s, sf: _outlier_rows(s, sf).select("id", "reasons", "is_valid"),
+    "unusual_rows": lambda s, sf: multivariate.unusual_rows(_fixed_price(s, sf), UNUSUAL_COLUMNS, digits=3).select(
+        "id", "distance2", "is_unusual"),
     "validate_rows": lambda s, sf: _validated_wide(s, sf).select("id", "reasons", "is_valid"),
     "validate_reason_counts": lambda s, sf: validate.reason_counts(_validated_wide(s, sf)),
     # missing-value reports
@@ -288,7 +315,13 @@ QUERIES: dict[str, Query] = {
         _wide(s, sf).drop("id").filter(F.col("accommodates") > 16)),
     "missing_bar": lambda s, sf: missing.missing_bar(missing.missing_stats(_wide(s, sf).drop("id"))),
     "missing_pie": lambda s, sf: missing.missing_pie(_wide(s, sf), PIE_COLUMN),
+    "missing_patterns": lambda s, sf: missing_patterns.missing_patterns(_wide(s, sf).drop("id")),
+    "co_missing": lambda s, sf: missing_patterns.co_missing(_wide(s, sf).drop("id"), digits=STATS_DIGITS),
+    "missing_effect": lambda s, sf: missing_patterns.missing_effect(_fixed_price(s, sf).drop("id"), "price", digits=STATS_DIGITS),
     # profiles
+    "numeric_association": lambda s, sf: multivariate.numeric_association(_fixed_price(s, sf), ASSOCIATED_COLUMNS, digits=STATS_DIGITS),
+    "text_association": lambda s, sf: multivariate.text_association(
+        _listings(s, sf), ASSOCIATED_TEXT, ASSOCIATED_LEVELS, digits=STATS_DIGITS),
     "value_counts": lambda s, sf: profile.value_counts(_pos_prices(s, sf), "minimum_nights"),
     "top_values": lambda s, sf: profile.top_values(_wide(s, sf), TOP_COLUMNS, TOP_K),
     "describe_long": lambda s, sf: profile.describe_long(_fixed_price(s, sf), digits=STATS_DIGITS),
