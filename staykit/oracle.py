@@ -640,6 +640,10 @@ def _dirty_long(c):
     return f"cast(cast(nullif({c}, 'NA') as double) as bigint) as {c}"
 
 
+INGEST_ACCEPTED = (f"{_dirty()} select date, available, price, cast(null as varchar) as adjusted_price, "
+                   f"{_dirty_long('minimum_nights')}, {_dirty_long('maximum_nights')}, "
+                   f"timestamp '{NOW}' as processing_datetime, '{AREA}' as area from r where reasons = ''")
+INGEST_REJECTS = f"{_dirty()} select reasons, date, new_col, minimum_nights, maximum_nights, '{AREA}' as area from r where reasons <> ''"
 GEOJSON_REJECTS = f"""with {fixture_cte('geojson_dirty')},
 r as (select doc, case when not json_valid(doc) then 'not JSON'
                        when json_extract_string(doc, '$.type') <> 'FeatureCollection' then 'not a FeatureCollection'
@@ -670,11 +674,12 @@ ORACLE: dict[str, str] = {
     "geojson_file_rejects": GEOJSON_REJECTS,
     "geojson_boundaries": GEOJSON_BOUNDARIES,
     "ingest_contract_violation": "select 'new_col' as column_name, 'extra' as status union all select 'adjusted_price', 'missing'",
-    "ingest_accepted": f"{_dirty()} select date, available, price, cast(null as varchar) as adjusted_price, "
-                       f"{_dirty_long('minimum_nights')}, {_dirty_long('maximum_nights')}, "
-                       f"timestamp '{NOW}' as processing_datetime, '{AREA}' as area from r where reasons = ''",
-    "ingest_rejects": f"{_dirty()} select reasons, date, new_col, minimum_nights, maximum_nights, '{AREA}' as area "
-                      "from r where reasons <> ''",
+    "ingest_accepted": INGEST_ACCEPTED,
+    "ingest_rejects": INGEST_REJECTS,
+    "ingest_retry": f"{_dirty()} select l.load_id, case when reasons = '' then 'accepted' else 'rejected' end as kind, count(*) as n_rows "
+                    "from r, (values ('first'), ('second'), ('third')) l(load_id) group by all",
+    "stream_accepted": INGEST_ACCEPTED,
+    "stream_rejects": INGEST_REJECTS,
     "ingest_listings": _contract_read("listings", stamp=True),
     "ingest_calendar": _contract_read("calendar", stamp=True),
     "ingest_agg_listing": _contract_read("agg_listing", stamp=True),

@@ -3,10 +3,18 @@
 The reference downloads a file to the driver, parses it with pandas and
 ships the frame to the JVM. Here executors parse the staged files
 directly, and the append is the only action.
+
+A load has an id, the partition of both tables that its rows go to. Writing
+a load replaces its own partitions and nothing else, so a load that failed
+midway is simply run again under its id: rows are neither lost nor doubled.
+Without an id each run is a load of its own, which appends, as the reference
+does.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +22,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..sources.csv import REASONS, check_header, csv_header, header_diff, read_csv_parsed
 from .contracts import METADATA_FIELDS, load_contract, save_contract, with_metadata_fields
-from .sinks import add_metadata_columns, append_by_name, create_table_if_missing
+from .sinks import add_metadata_columns, create_table_if_missing, replace_partitions
 
+#: Partition column of the tables: which load a row came with.
+LOAD_ID = "load_id"
 REJECT_SCHEMA = StructType([StructField("reasons", StringType()), StructField("raw", StringType()), *METADATA_FIELDS])
 
 
@@ -36,33 +46,38 @@ def ingest_feed(
     multi_line: bool = True,
     extra: str | list[str] = "fail",
     missing: str | list[str] = "fail",
+    load_id: str | None = None,
 ) -> DataFrame:
-    """Append one feed's files to ``table`` (created from the contract plus
-    metadata fields if missing) and return the table.
+    """Load one feed's files into ``table`` (created from the contract plus
+    metadata fields if missing, partitioned by ``load_id``) and return the
+    table's contract and metadata columns.
 
     The feed's header is held against the contract before anything is
     written: columns on one side only raise
     :class:`~staykit.sources.csv.ContractViolation` unless ``extra`` /
     ``missing`` allow them. A row with a value that does not fit its type
     goes, with its reasons and its whole text, to ``<table>_rejects``
-    instead; both tables together hold every row of the feed.
+    instead; both tables together hold every row of the feed. Rows are
+    written under ``load_id`` (default: a new one), rejects first; a second
+    run under the same id replaces the first one's rows in both tables.
     """
     check_header(csv_header(spark, path, multi_line), contract, key, extra, missing)
-    create_table_if_missing(spark, table, with_metadata_fields(contract), location, fmt)
+    load = load_id or uuid.uuid4().hex
     rejects = rejects_table(table)
-    create_table_if_missing(spark, rejects, REJECT_SCHEMA, f"{location}_rejects" if location else None, fmt)
+    for name, schema, place in ((table, with_metadata_fields(contract), location), (rejects, REJECT_SCHEMA, location and f"{location}_rejects")):
+        create_table_if_missing(spark, name, StructType([*schema.fields, StructField(LOAD_ID, StringType())]), place, fmt, [LOAD_ID])
     # parsed once (a gzip feed parses in one task a file), written twice
     parsed = read_csv_parsed(spark, path, contract, key=key, multi_line=multi_line, extra=extra, missing=missing)
     parsed = add_metadata_columns(parsed, area, now).persist(StorageLevel.DISK_ONLY)
     try:
-        good = parsed.where(F.col(REASONS) == "").drop(REASONS, "_raw", *([key] if key else []))
-        append_by_name(good, table)
         bad = parsed.where(F.col(REASONS) != "").select(
             F.col(REASONS).alias("reasons"), F.col("_raw").alias("raw"), *[f.name for f in METADATA_FIELDS])
-        append_by_name(bad, rejects)
+        replace_partitions(bad, rejects, {LOAD_ID: load})
+        good = parsed.where(F.col(REASONS) == "").drop(REASONS, "_raw", *([key] if key else []))
+        replace_partitions(good, table, {LOAD_ID: load})
     finally:
         parsed.unpersist()
-    return spark.read.table(table)
+    return spark.read.table(table).drop(LOAD_ID)
 
 
 def violation_report(spark: SparkSession, path: str, contract: StructType, key: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,25 +37,47 @@ def _ddl(schema: StructType) -> str:
 
 
 def create_table_if_missing(spark: SparkSession, name: str, schema: StructType,
-                            location: str | None = None, fmt: str = "parquet") -> None:
+                            location: str | None = None, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS`` from a contract (format is a parameter)."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING {fmt}{loc}")
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING {fmt}{parts}{loc}")
 
 
-def append_by_name(df: DataFrame, name: str) -> None:
-    """Append matching columns by name; table columns the frame lacks get
-    nulls, frame columns the table lacks are an error (no silent drops).
-    Running it twice appends twice: there is no key to merge on."""
-    spark = df.sparkSession
-    target = spark.read.table(name).schema
+def _by_name(df: DataFrame, target: StructType, name: str) -> list[Column]:
+    """The frame's columns in the table's order and types; nulls for those it lacks."""
     extra = [c for c in df.columns if c not in target.fieldNames()]
     if extra:
         raise ValueError(f"columns not in {name}: {extra}")
     have = set(df.columns)
-    cols = [F.col(f.name).cast(f.dataType) if f.name in have
+    return [F.col(f.name).cast(f.dataType) if f.name in have
             else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
-    df.select(*cols).write.insertInto(name)
+
+
+def replace_partitions(df: DataFrame, name: str, partition: dict[str, str]) -> None:
+    """Make ``df`` (matched by name) the rows of one partition of a partitioned table.
+
+    Rows of the partition from an earlier run go, those of all others stay.
+    An empty frame empties the partition. Several writers may replace
+    different partitions of a table at a time.
+    """
+    spark = df.sparkSession
+    target = StructType([f for f in spark.read.table(name).schema.fields if f.name not in partition])
+    view = f"_replace_{uuid.uuid4().hex}"
+    df.select(*_by_name(df, target, name)).createOrReplaceTempView(view)
+    where = ", ".join("`" + c + "` = '" + v.replace("'", "''") + "'" for c, v in partition.items())
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def append_by_name(df: DataFrame, name: str) -> None:
+    """Append matching columns by name; table columns the frame lacks get
+    nulls, frame columns the table lacks are an error (no silent drops).
+    Running it twice appends twice: there is no key to merge on."""
+    spark = df.sparkSession
+    df.select(*_by_name(df, spark.read.table(name).schema, name)).write.insertInto(name)
 
 
 def _location(spark: SparkSession, name: str) -> tuple[str, str]:

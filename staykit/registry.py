@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from .functions import text as X
 from .operators import areas, clusters, filters, geo, impute, missing, missing_patterns, multivariate, outliers, profile, validate
 from .plans import contracts, listings, sinks
-from .plans.ingest import ingest_feed, ingest_with_stored_contract, rejects_table, violation_report
+from .plans.ingest import LOAD_ID, ingest_feed, ingest_with_stored_contract, rejects_table, violation_report
 from .session import shared_path
 from .sources.csv import apply_null_tokens, read_csv_contract, write_csv
 from .sources.fixtures import fixture
 from .sources.geojson import features_from_docs, read_geojson, read_geojson_rejects, rejected_docs
-from .streaming.ingest import stream_ingest_once
+from .streaming.ingest import rejected, stream_ingest_once
 
 # Fixed parameters of the registered queries (the oracle uses the same).
 AS_OF = "2024-01-01"
@@ -114,15 +114,37 @@ def _ingest_dirty(spark, sf):
 
 
 def q_ingest_accepted(spark, sf):
-    return spark.read.table(_ingest_dirty(spark, sf))
+    return spark.read.table(_ingest_dirty(spark, sf)).drop(LOAD_ID)
 
 
-def q_ingest_rejects(spark, sf):
-    rejects = spark.read.table(rejects_table(_ingest_dirty(spark, sf)))
+def _reject_rows(rejects):
     raw = F.from_json("raw", "date string, new_col string, minimum_nights string, maximum_nights string")
     return rejects.select("reasons", raw.alias("r"), "area").select("reasons", "r.*", "area")
 
 
+def q_ingest_rejects(spark, sf):
+    return _reject_rows(spark.read.table(rejects_table(_ingest_dirty(spark, sf))))
+
+
+def q_ingest_retry(spark, sf):
+    """One load run twice under its id, between two others: rows of both tables by load."""
+    table = "raw_retry_" + shared_path(spark, "tmp", unique=True).rsplit("/", 1)[1]
+    path = _stage(spark, sf, "calendar_dirty")
+    for load in ("first", "second", "third", "second"):
+        ingest_feed(spark, path, contracts.CALENDAR_CONTRACT, table, AREA, NOW, location=shared_path(spark, "tables", table),
+                    extra=["new_col"], missing=["adjusted_price"], load_id=load)
+    both = [spark.read.table(t).select(LOAD_ID, F.lit(kind).alias("kind")) for t, kind in ((table, "accepted"), (rejects_table(table), "rejected"))]
+    return both[0].unionByName(both[1]).groupBy(LOAD_ID, "kind").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _stream_dirty(spark, sf):
+    out = shared_path(spark, "streams", "calendar_dirty", unique=True)
+    names = fixture(spark, sf, "calendar_dirty").columns
+    good = stream_ingest_once(spark, _stage(spark, sf, "calendar_dirty"), contracts.CALENDAR_CONTRACT, out + "/table", out + "/checkpoint",
+                              AREA, NOW, header=names)
+    return good, rejected(spark, out + "/table")
+
+
 def _large_ids(spark, sf):
     base = F.lit(983412345678900000)
     return _listings(spark, sf).select((F.col("id") + base).alias("large_id"), (-F.col("host_id") - base).alias("negative_id"))
@@ -254,6 +276,9 @@ QUERIES: dict[str, Query] = {
     "ingest_listings": _ingest("listings", key="id"),
     "ingest_calendar": _ingest("calendar"),
     "ingest_agg_listing": _ingest("agg_listing"),
+    "ingest_retry": q_ingest_retry,
+    "stream_accepted": lambda s, sf: _stream_dirty(s, sf)[0],
+    "stream_rejects": lambda s, sf: _reject_rows(_stream_dirty(s, sf)[1]),
     "stream_ingest_calendar": q_stream_ingest_calendar,
     "sink_append_twice": q_sink_append_twice,
     "sink_overwrite": q_sink_overwrite,

@@ -108,10 +108,7 @@ def read_csv_parsed(
     header = csv_header(spark, path, multi_line, options)
     check_header(header, contract, key, extra, missing)
     raw = spark.read.schema(text_schema(header)).options(**reader_options(multi_line, options)).csv(path)
-    reasons = cast_reasons(header, contract, key, tokens)
-    return raw.select(
-        *contract_columns(header, contract, key, False, tokens), reasons.alias(REASONS),
-        F.when(reasons != "", F.to_json(F.struct(*[F.col(n) for n in header]))).alias("_raw"))
+    return raw.select(*parsed_columns(header, contract, key, tokens))
 
 
 def read_csv_contract(spark: SparkSession, path: str, contract: StructType, key: str | None = None,
@@ -154,6 +151,13 @@ def cast_reasons(header: list[str], contract: StructType, key: str | None = None
     return F.concat_ws(";", *marks) if marks else F.lit("")
 
 
+def parsed_columns(header: list[str], contract: StructType, key: str | None = None, tokens=PANDAS_NA_TOKENS) -> list[Column]:
+    """From all-text CSV columns: the key, the contract's fields, ``REASONS`` and ``_raw``."""
+    reasons = cast_reasons(header, contract, key, tokens)
+    return [*contract_columns(header, contract, key, False, tokens), reasons.alias(REASONS),
+            F.when(reasons != "", F.to_json(F.struct(*[F.col(n) for n in header]))).alias("_raw")]
+
+
 def contract_columns(header: list[str], contract: StructType, key: str | None = None,
                      drop_key: bool = False, tokens=PANDAS_NA_TOKENS) -> list[Column]:
     """Projection from all-text CSV columns to the contract's typed fields."""

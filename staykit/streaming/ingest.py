@@ -7,15 +7,26 @@ and written to the raw table's folder. The file sink's commit log plus the
 checkpoint make the append exactly-once across restarts and lost
 executors, which the batch ``append`` (no key, no merge) cannot promise.
 ``available_now`` drains what has landed and stops, for scheduled runs.
+
+A row with a value that does not fit its type is kept whole, with its
+reasons, as the batch loader does. Accepted and rejected rows go to one sink,
+partitioned by ``row_status``, so one commit covers both: :func:`accepted`
+and :func:`rejected` read the two parts, and together they hold every row of
+the files the stream has committed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..plans.contracts import METADATA_FIELDS
 from ..plans.sinks import add_metadata_columns
-from ..sources.csv import contract_columns, reader_options, text_schema
+from ..sources.csv import REASONS, parsed_columns, reader_options, text_schema
+
+#: Partition column of the sink, and its two values.
+STATUS, ACCEPTED, REJECTED = "row_status", "accepted", "rejected"
 
 
 def stream_ingest(
@@ -41,9 +52,10 @@ def stream_ingest(
     reader = spark.readStream.schema(text_schema(names)).options(**reader_options(multi_line))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.csv(landing).select(*contract_columns(names, contract, key, drop_key=True))
+    rows = reader.csv(landing).select(*parsed_columns(names, contract, key))
+    rows = (rows.drop(key) if key else rows).withColumn(STATUS, F.when(F.col(REASONS) == "", ACCEPTED).otherwise(REJECTED))
     writer = (add_metadata_columns(rows, area, now).writeStream
-              .format("parquet").option("path", sink_path)
+              .format("parquet").option("path", sink_path).partitionBy(STATUS)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
@@ -52,7 +64,7 @@ def stream_ingest(
 def stream_ingest_once(spark: SparkSession, landing: str, contract: StructType, sink_path: str,
                        checkpoint: str, area: str, now=None, timeout_s: int | None = None,
                        **kwargs) -> DataFrame:
-    """Drain the landing folder once and return the sink as a batch frame.
+    """Drain the landing folder once and return the accepted rows as a batch frame.
 
     The stream stops by itself once what has landed is written, however long
     that takes; with ``timeout_s`` it is stopped after that time and an error
@@ -65,4 +77,15 @@ def stream_ingest_once(spark: SparkSession, landing: str, contract: StructType,
         raise TimeoutError(f"stream over {landing} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(sink_path)
+    return accepted(spark, sink_path)
+
+
+def accepted(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The sink's rows that fit the contract: its fields and the load metadata."""
+    return spark.read.parquet(sink_path).where(F.col(STATUS) == ACCEPTED).drop(STATUS, REASONS, "_raw")
+
+
+def rejected(spark: SparkSession, sink_path: str) -> DataFrame:
+    """``reasons, raw`` (the row's text as JSON) and the load metadata of the sink's other rows."""
+    return spark.read.parquet(sink_path).where(F.col(STATUS) == REJECTED).select(
+        F.col(REASONS).alias("reasons"), F.col("_raw").alias("raw"), *[f.name for f in METADATA_FIELDS])

@@ -217,3 +217,45 @@ def test_overwrite_refuses_a_managed_table(spark, tmp_dir):
         sinks.overwrite_table(spark.range(3), name, f"{tmp_dir}/tables/{name}")
     assert spark.read.table(name).count() == 2
     sinks.drop_table(spark, name)
+
+
+def test_a_load_that_failed_midway_is_run_again_without_loss_or_double(spark, tmp_dir, monkeypatch):
+    from staykit.plans import ingest
+
+    table = "t_retry_" + os.path.basename(tmp_dir).replace("-", "_")
+    path, where = dirty_file(tmp_dir), f"{tmp_dir}/tables/{table}"
+    load = dict(contract=C.CALENDAR_CONTRACT, table=table, area="Athens", now="2024-01-01 00:00:00", location=where, extra=["new_col"])
+    ingest_feed(spark, path, load_id="a", **load)
+    whole = ingest.replace_partitions
+
+    def crash(df, name, partition):
+        if name == table:
+            raise RuntimeError("lost")
+        whole(df, name, partition)
+
+    monkeypatch.setattr(ingest, "replace_partitions", crash)
+    with pytest.raises(RuntimeError):
+        ingest_feed(spark, path, load_id="b", **load)               # its rejects are written, its rows are not
+    assert spark.read.table(rejects_table(table)).count() == 2 and spark.read.table(table).count() == 1
+    monkeypatch.undo()
+    for _ in range(2):
+        t = ingest_feed(spark, path, load_id="b", **load)
+        assert t.count() == 2 and t.columns == C.with_metadata_fields(C.CALENDAR_CONTRACT).fieldNames()
+        assert sorted(r.load_id for r in spark.read.table(rejects_table(table)).collect()) == ["a", "b"]
+    assert ingest_feed(spark, path, **load).count() == 3             # without an id a run is a load of its own
+
+
+def test_stream_keeps_rejected_rows_whole_with_reasons(spark, tmp_dir):
+    from staykit.streaming.ingest import rejected
+
+    land, out = dirty_file(tmp_dir), f"{tmp_dir}/out"
+    names = [*C.CALENDAR_CONTRACT.fieldNames(), "new_col"]
+    args = (spark, land, C.CALENDAR_CONTRACT, out + "/t", out + "/ck", "Athens", "2024-01-01 00:00:00")
+    good = stream_ingest_once(*args, header=names)
+    assert [(r.date, r.minimum_nights, r.area) for r in good.collect()] == [("2024-01-01", 3, "Athens")]
+    assert good.columns == C.with_metadata_fields(C.CALENDAR_CONTRACT).fieldNames()
+    bad = rejected(spark, out + "/t").collect()
+    assert [r.reasons for r in bad] == ["minimum_nights_not_bigint;maximum_nights_not_bigint"] and json.loads(bad[0].raw)["new_col"] == "KEEPME"
+    with open(f"{land}/b.csv", "w") as fh:
+        fh.write(",".join(names) + "\n2024-01-03,t,$1.00,$1.00,abc,9,x\n")
+    assert stream_ingest_once(*args, header=names).count() == 1 and rejected(spark, out + "/t").count() == 2      # each row once, in one of the two
