@@ -20,6 +20,7 @@ table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 import zlib
@@ -42,7 +43,7 @@ class Encoder:
 
     The rank file holds the same vocabulary and encodes five times as fast.
     Texts with other than Latin characters take the ``tokenizers`` library.
-    Strings of special tokens in a text are ordinary text.
+    Strings of special tokens in a text are those tokens, as the file has it.
     """
 
     def __init__(self, path: str, ranks: str | None, pattern: str | None):
@@ -54,17 +55,18 @@ class Encoder:
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self._fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+            with open(path, encoding="utf-8") as file:
+                self._special = [t["content"] for t in json.load(file).get("added_tokens", [])]
 
     def slow(self, text: str) -> list[int]:
         if self._slow is None:
             from tokenizers import Tokenizer
 
             self._slow = Tokenizer.from_file(self.path)
-            self._slow.encode_special_tokens = True
         return self._slow.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> list[int]:
-        if self._fast is not None and _PLAIN.fullmatch(text):
+        if self._fast is not None and _PLAIN.fullmatch(text) and not any(s in text for s in self._special):
             return self._fast.encode_ordinary(text)
         return self.slow(text)
 

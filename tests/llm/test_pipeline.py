@@ -71,7 +71,6 @@ def test_run_equals_brute_force(spark, made):
     want = {i: mask(t or "") for i, t in kept.items() if i not in hit}
     assert hit and 0 < len(want) < len(rows)
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     length = {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in want.items()}
     got, sequences = defaultdict(list), defaultdict(list)
     for p in corpus_pipeline.run(spark, home).collect():
