@@ -2,10 +2,19 @@
 
 A page is cut at block-level tags into flat text blocks. A block's features
 are its word count and link density, those of the blocks before and after it,
-and whether an enclosing element says what it is (article and main; or nav,
-header, footer, aside, form and elements whose class, id or role names an
-advert, notice, comment and the like). A decision tree, trained by Gini
-impurity on the labelled table below, says which blocks are article.
+whether it stands in an article or main element, and a grade for what the
+elements around it are called. A decision tree, trained by Gini impurity on
+the labelled table below, says which blocks are article.
+
+The grade is 1 where an element is boilerplate by its tag (nav, header,
+footer, aside, form) or by a class, id or role made of such words only
+(``comments``, ``ad-slot``, ``related-posts``), and 0.5 where a name merely
+holds such a word (``related-work``, ``no-ads``, ``search-algorithms``): then
+words and link density decide. An element that is around the page says
+nothing of a part of it: a grade of 0.5 is dropped on article and main, and
+on elements that hold an article or half of the page's words; a form's as
+well; any other one on elements that hold four fifths of the words and all the
+page's article elements.
 
 Tags are found by one pattern, linear in the page. Broken markup is usual:
 a closing tag closes the innermost open element of its name or nothing, and
@@ -54,10 +63,18 @@ HARD_HINTS = (
 ARTICLE_HINTS = "article articlebody main maincontent content post entry story"
 # Words that also name page layouts; an article inside overrides them.
 SOFT_HINTS = "sidebar menu nav navbar topbar header footer masthead toolbar widget widgets login skip"
+# Words that name a part or a place; a name of hints and these alone is no more than the hint.
+PART_WORDS = (
+    "list area section container wrapper wrap box block item items link links button buttons post posts story stories article articles bar form "
+    "inner outer content contents body row col column text title heading message thread slot unit top bottom left right main side primary "
+    "secondary desktop mobile sticky fixed site page global banner header footer nav menu widget your our the has")
 
 HIDDEN_SET, BLOCK_SET, VOID_SET = set(HIDDEN.split()), set(BLOCK.split()), set(VOID.split())
 BOILERPLATE_SET, ARTICLE_SET = set(BOILERPLATE.split()), set(ARTICLE.split())
 HARD_SET, SOFT_SET, ARTICLE_WORDS = set(HARD_HINTS.split()), set(SOFT_HINTS.split()), set(ARTICLE_HINTS.split())
+PART_SET = set(PART_WORDS.split())
+# Shares of the page's words from which an element is around the page.
+HALF, MOST = 0.5, 0.8
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -75,40 +92,82 @@ class Block:
     words: int
     linked: int
     article: bool
-    boilerplate: bool
+    hint: float                          # 0, 0.5 or 1
 
 
-def _says(name: str, rest: str) -> str:
-    """What an opening tag says of its content: 'article', 'hard', 'soft' or ''."""
-    words = {w for m in _HINT.finditer(rest) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())} if rest else set()
-    if name in ("html", "body"):
-        return ""
-    if name in BOILERPLATE_SET or words & HARD_SET or rest and _UNSEEN.search(rest):
-        return "hard"
-    if name in ARTICLE_SET:
-        return "article"
-    if words & SOFT_SET:
-        return "soft"
-    return "article" if words & ARTICLE_WORDS else ""
+@dataclass
+class Element:
+    parent: int                          # index in the page's elements; -1 at the top
+    tag: str
+    grade: float = 0.0                   # of what names it anywhere
+    soft: float = 0.0                    # of what also names layouts
+    article: bool = False
+    words: int = 0                       # of its blocks, inner elements included
+    articles: int = 0                    # article elements in it
+
+
+def _grade(tokens: list[list[str]], hints: set[str]) -> float:
+    """1 if a name is made of hints and words for parts only, 0.5 if it holds a hint, else 0."""
+    found = [t for t in tokens if not hints.isdisjoint(t)]
+    if not found:
+        return 0.0
+    return 1.0 if any(all(w in hints or w in PART_SET for w in t) for t in found) else 0.5
+
+
+def _element(parent: int, tag: str, rest: str) -> Element:
+    """What an opening tag says of its content."""
+    out = Element(parent, tag)
+    if tag in ("html", "body"):
+        return out
+    tokens = [_WORD.findall(t) for m in _HINT.finditer(rest) for t in (m[1] or m[2] or m[3] or "").lower().split()] if rest else []
+    out.grade = 1.0 if tag in BOILERPLATE_SET or rest and _UNSEEN.search(rest) else _grade(tokens, HARD_SET)
+    out.soft = _grade(tokens, SOFT_SET)
+    out.article = tag in ARTICLE_SET or not out.grade and not out.soft and any(not ARTICLE_WORDS.isdisjoint(t) for t in tokens)
+    return out
+
+
+def _settle(elements: list[Element], total: int) -> list[tuple[bool, float, float]]:
+    """(in an article, grade, soft grade) inside each element."""
+    for e in reversed(elements):
+        if e.parent >= 0:
+            up = elements[e.parent]
+            up.words += e.words
+            up.articles += e.articles + (e.tag in ARTICLE_SET and e.grade < 1)
+    out: list[tuple[bool, float, float]] = []
+    everywhere = sum(e.tag in ARTICLE_SET and e.grade < 1 for e in elements)
+    for e in elements:
+        article, grade, soft = out[e.parent] if e.parent >= 0 else (False, 0.0, 0.0)
+        share = e.words / max(1, total)
+        around = share >= HALF or e.articles > 0 or e.tag in ARTICLE_SET
+        most = share >= MOST and e.articles == everywhere   # no article stands outside
+        own, own_soft = e.grade, e.soft
+        if most or (own < 1 or e.tag == "form") and around:
+            own = 0.0
+        if most or own_soft < 1 and around:
+            own_soft = 0.0
+        if e.article:                                       # an article inside overrides what names layouts
+            article, soft = True, 0.0
+        out.append((article, max(grade, own), max(soft, own_soft)))
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
-    out: list[Block] = []
+    found: list[tuple[str, int, int, int]] = []             # text, words, words in links, innermost element
+    elements: list[Element] = []
     held: list[str] = []                                    # text of the open block
     linked: list[str] = []                                  # its part inside links
-    stack: list[tuple[str, str]] = []                       # open block elements and what they say
+    stack: list[int] = []                                   # open block elements
     links = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(held)).split())
         if text:
-            says = [s for _, s in stack]
-            last_article = len(says) - 1 - says[::-1].index("article") if "article" in says else -1
-            bad = "hard" in says or "soft" in says[last_article + 1:]
             n = len(text.split())
-            in_links = len(html.unescape(" ".join(linked)).split())
-            out.append(Block(text, n, min(n, in_links), last_article >= 0, bad))
+            inside = stack[-1] if stack else -1
+            found.append((text, n, min(n, len(html.unescape(" ".join(linked)).split())), inside))
+            if inside >= 0:
+                elements[inside].words += n
         held.clear()
         linked.clear()
 
@@ -132,20 +191,26 @@ def blocks(page: str) -> list[Block]:
             links = 0 if name in ("p", "div", "li") and not m["end"] else links
             if m["end"]:
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
+                    if elements[stack[i]].tag == name:
                         del stack[i:]
                         break
             elif name not in VOID_SET and not m["rest"].endswith("/"):
-                if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
+                if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and stack and elements[stack[-1]].tag == name:
                     stack.pop()                             # these close a neighbour of their name
-                stack.append((name, _says(name, m["rest"])))
+                elements.append(_element(stack[-1] if stack else -1, name, m["rest"]))
+                stack.append(len(elements) - 1)
     if at < len(page):
         add(page[at:])
     flush()
+    inside = _settle(elements, sum(n for _, n, _, _ in found))
+    out = []
+    for text, n, in_links, e in found:
+        article, grade, soft = inside[e] if e >= 0 else (False, 0.0, 0.0)
+        out.append(Block(text, n, in_links, article, max(grade, soft)))
     return out
 
 
-FEATURES = "words density words_before density_before words_after density_after article boilerplate".split()
+FEATURES = "words density words_before density_before words_after density_after article hint".split()
 
 # Labelled blocks (the features above, then 1 for article).
 LABELLED = [
@@ -175,6 +240,21 @@ LABELLED = [
     (10, 0.50, 60, 0.00, 8, 0.70, 0, 0, 0), (6, 0.00, 0, 0.00, 5, 1.00, 0, 0, 0), (18, 0.60, 9, 0.40, 12, 0.70, 0, 0, 0),
     (2, 1.00, 60, 0.00, 0, 0.00, 0, 0, 0), (3, 1.00, 45, 0.00, 50, 0.00, 0, 0, 0), (8, 0.90, 38, 0.00, 2, 1.00, 0, 0, 0),
     (12, 0.00, 3, 1.00, 6, 0.00, 0, 0, 0), (5, 0.00, 48, 0.00, 3, 1.00, 0, 0, 0), (22, 0.70, 70, 0.00, 64, 0.00, 0, 0, 0),
+    # pages whose elements say nothing: long lists of links
+    (45, 0.85, 30, 0.90, 40, 0.80, 0, 0, 0), (70, 0.95, 5, 0.00, 20, 0.50, 0, 0, 0), (50, 0.90, 60, 0.00, 58, 0.00, 0, 0, 0),
+    (38, 0.75, 2, 1.00, 3, 1.00, 0, 0, 0), (110, 0.80, 0, 0.00, 44, 0.00, 0, 0, 0),
+    # names that merely hold such a word: running text and its headings
+    (60, 0.00, 2, 0.00, 58, 0.00, 1, 0.5, 1), (45, 0.05, 62, 0.00, 0, 0.00, 1, 0.5, 1), (80, 0.00, 75, 0.00, 6, 1.00, 0, 0.5, 1),
+    (35, 0.10, 4, 0.00, 50, 0.00, 0, 0.5, 1), (2, 0.00, 48, 0.00, 60, 0.00, 1, 0.5, 1), (3, 0.00, 55, 0.00, 44, 0.00, 0, 0.5, 1),
+    (28, 0.00, 33, 0.00, 41, 0.00, 1, 0.5, 1), (52, 0.20, 60, 0.10, 48, 0.00, 0, 0.5, 1),
+    # the same: short notes, labels and links
+    (3, 0.00, 6, 1.00, 2, 1.00, 0, 0.5, 0), (6, 0.00, 4, 0.00, 5, 1.00, 0, 0.5, 0), (9, 1.00, 8, 1.00, 7, 1.00, 1, 0.5, 0),
+    (2, 0.00, 40, 0.00, 4, 1.00, 1, 0.5, 0), (5, 0.80, 52, 0.00, 3, 1.00, 0, 0.5, 0), (8, 0.00, 3, 0.00, 4, 0.00, 0, 0.5, 0),
+    (24, 0.90, 30, 0.80, 26, 0.95, 0, 0.5, 0), (4, 0.00, 2, 0.50, 48, 0.00, 0, 0.5, 0), (3, 0.00, 50, 0.00, 0, 0.00, 0, 0.5, 0),
+    (5, 0.00, 60, 0.00, 0, 0.00, 0, 0.5, 0), (4, 0.00, 0, 0.00, 52, 0.00, 0, 0.5, 0), (6, 0.00, 45, 0.00, 3, 0.00, 0, 0.5, 0),
+    # pages whose elements say nothing: a line between text, and the same between long lists of links
+    (10, 0.00, 34, 0.00, 30, 0.00, 0, 0, 1), (9, 0.00, 31, 0.05, 33, 0.00, 0, 0, 1), (10, 0.00, 34, 0.90, 30, 0.85, 0, 0, 0),
+    (9, 0.00, 31, 0.95, 33, 0.90, 0, 0, 0), (26, 0.00, 35, 0.90, 40, 0.95, 0, 0, 0), (25, 0.00, 36, 0.00, 41, 0.90, 0, 0, 1),
 ]
 
 
@@ -212,7 +292,7 @@ def main_text(page: str | None, tree) -> str:
     for i, b in enumerate(found):
         before = shape[i - 1] if i else (0, 0.0)
         after = shape[i + 1] if i + 1 < len(found) else (0, 0.0)
-        if decide(tree, (*shape[i], *before, *after, int(b.article), int(b.boilerplate))):
+        if decide(tree, (*shape[i], *before, *after, int(b.article), b.hint)):
             out.append(b.text)
     return "\n\n".join(out)
 

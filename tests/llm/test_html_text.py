@@ -1,6 +1,6 @@
 import pytest
 
-from staykit.llm.html_text import LABELLED, blocks, decide, extract, main_text, train
+from staykit.llm.html_text import FEATURES, LABELLED, blocks, decide, extract, main_text, train
 
 TREE = train(LABELLED)
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
@@ -55,3 +55,119 @@ def test_rows(spark):
     assert len(got) == 5 and all(g.n_chars == len(g.text) for g in got)
     assert {g.page_id: g.n_chars for g in got}[3] == 399_999
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def words(n, start=0):
+    return " ".join(f"w{start + i}" for i in range(n))
+
+
+LONG, MORE = f"<p>{words(60)}</p>", f"<p>{words(50, 100)}</p>"
+BOTH = f"{words(60)}\n\n{words(50, 100)}"
+
+
+@pytest.mark.parametrize("page", [
+    f'<article class="post category-notice">{LONG}{MORE}</article>', f'<main class="ads-enabled">{LONG}{MORE}</main>',
+    f'<div id="page" class="no-ads">{LONG}{MORE}</div>', f'<form action="x"><div>{LONG}</div>{MORE}</form>',
+    f'<form action="x"><nav><a href="1">Home</a></nav><article>{LONG}{MORE}</article></form>',
+    f'<article>{LONG}<section id="search-algorithms">{MORE}</section></article>', f'<article>{LONG}<section class="related-work">{MORE}</section></article>',
+    f'<div class="sidebar-layout"><nav><a href="1">Home</a></nav>{LONG}{MORE}</div>'])
+def test_names_that_merely_hold_a_hint_lose_no_article(page):
+    assert main_text(page, TREE) == BOTH
+
+
+@pytest.mark.parametrize("rest", [
+    f'<section class="comments">{LONG * 30}</section>', f'<div class="related-posts">{LONG}</div>', f'<div id="cookie-banner">{LONG}</div>',
+    f'<div class="ad-slot top">{LONG}</div>', f'<aside>{LONG}</aside>', f'<form class="search">{LONG}</form>', '<div class="newsletter-box">Join us now</div>',
+    '<div class="promo-box">Use ten off</div>', f'<div><a href="1">{words(40)}</a></div>'])
+def test_what_is_named_or_linked_is_left_out_however_long(rest):
+    assert main_text(f"<article>{LONG}{MORE}</article>{rest}", TREE) == BOTH
+    assert main_text(f"{rest}<article>{LONG}{MORE}</article>", TREE) == BOTH
+
+
+def plain_features(page):
+    """The features from a parse by the standard library, for well-formed pages of div, p, a, article and section."""
+    from html.parser import HTMLParser
+
+    found, stack, held = [], [], []
+
+    class Parser(HTMLParser):
+        links = 0
+
+        def flush(self):
+            n = sum(len(t.split()) for t, _ in held)
+            if n:
+                found.append((n, sum(len(t.split()) for t, link in held if link) / n, list(stack)))
+            held.clear()
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                self.links += 1
+                return
+            self.flush()
+            stack.append((tag, dict(attrs).get("class", "")))
+
+        def handle_endtag(self, tag):
+            if tag == "a":
+                self.links -= 1
+                return
+            self.flush()
+            stack.pop()
+
+        def handle_data(self, data):
+            held.append((data, self.links > 0))
+
+    p = Parser()
+    p.feed(page)
+    p.flush()
+    grade = {"": 0, "comments": 1, "related-work": 0.5, "no-ads": 0.5}
+    rows = [(n, d, int(any(t == "article" for t, _ in s)), max((grade[c] for _, c in s), default=0)) for n, d, s in found]
+    out = []
+    for i, (n, d, article, hint) in enumerate(rows):
+        before, after = (rows[i - 1][:2] if i else (0, 0.0)), (rows[i + 1][:2] if i + 1 < len(rows) else (0, 0.0))
+        out.append((n, d, *before, *after, article, hint))
+    return out
+
+
+def test_features_equal_a_plain_parse():
+    import random
+
+    rnd = random.Random(2)
+
+    def part(depth):
+        kind = rnd.choice(["p", "p", "div", "section", "article"]) if depth < 3 else "p"
+        name = rnd.choice(["", "", "comments", "related-work", "no-ads"]) if kind in ("div", "section") else ""
+        if kind == "p":
+            return f"<p>{words(rnd.randint(1, 30))} <a>{words(rnd.randint(1, 9))}</a></p>"
+        return f'<{kind} class="{name}">' + "".join(part(depth + 1) for _ in range(rnd.randint(1, 3))) + f"</{kind}>"
+
+    for _ in range(60):
+        # long plain text outside, so that no element is around the page, and an article of its own
+        page = f"<p>{words(4000)}</p><article><p>x</p></article>" + "".join(part(0) for _ in range(4))
+        got, b = [], blocks(page)
+        for i, x in enumerate(b):
+            near = [(y.words, y.linked / y.words) for y in (b[i - 1:i] if i else []) + b[i + 1:i + 2]]
+            before, after = (near[0] if i else (0, 0.0)), (near[-1] if i + 1 < len(b) else (0, 0.0))
+            got.append((x.words, x.linked / x.words, *before, *after, int(x.article), x.hint))
+        want = plain_features(page)
+        # an element that holds an article keeps no grade of 0.5: compare where none does
+        if not any(f'{n}">' in page and "<article" in page.split(f'{n}">', 1)[1] for n in ("related-work", "no-ads")):
+            assert got == want
+
+
+def test_tree_asks_for_words_and_for_the_density_of_neighbours():
+    used = set()
+
+    def walk(t):
+        if not isinstance(t, int):
+            used.add(FEATURES[t[0]])
+            walk(t[2])
+            walk(t[3])
+
+    walk(TREE)
+    assert {"words", "density", "hint", "article"} <= used and used & {"density_before", "density_after"} and used & {"words_before", "words_after"}
+
+
+def test_a_page_of_a_megabyte():
+    body = "".join(f"<p>{words(40, i)}</p>" for i in range(5000))
+    page = f'<form><nav><a href="1">Home</a></nav><article class="post no-ads">{body}</article></form>'
+    assert len(page) > 1_000_000 and len(main_text(page, TREE).split()) == 200_000
