@@ -67,14 +67,33 @@ def _literal(pattern: str) -> str:
     return "r'" + pattern + "'"
 
 
+def _let(value: str, name: str, expr: str) -> str:
+    """``expr`` with ``name`` standing for a value that is computed once, as SQL."""
+    return f"element_at(transform(array({value}), {name} -> {expr}), 1)"
+
+
+#: Spans are put together in parts of so many: appending to an array copies it.
+_PART = 64
+
+
+def _parts(array: str) -> str:
+    """The array (a name) cut into parts, as SQL."""
+    return (f"if(size({array}) > 0, transform(sequence(0, (size({array}) - 1) DIV {_PART}), b -> slice({array}, b * {_PART} + 1, {_PART})), "
+            f"slice(array({array}), 1, 0))")
+
+
 def _placed(pieces: str, matches: str, kind: str, base: str = "0") -> str:
-    """Spans of the matches between the pieces that a split left, as SQL."""
-    return (
-        f"aggregate(if(size({matches}) > 0, sequence(1, size({matches})), CAST(array() AS array<int>)), struct(int({base}) AS at, {_NO_SPANS} AS got), (s, i) -> struct("
-        f"int(s.at + length(element_at({pieces}, i)) + length(element_at({matches}, i))) AS at, "
-        f"concat(s.got, array(struct('{kind}' AS kind, int(s.at + length(element_at({pieces}, i))) AS start, "
-        f"int(s.at + length(element_at({pieces}, i)) + length(element_at({matches}, i))) AS end, "
-        f"element_at({matches}, i) AS value))) AS got), s -> s.got)")
+    """Spans of the matches between the pieces that a split left, as SQL.
+
+    Each part is placed from where the matches of the parts before it end.
+    """
+    sized = f"transform({matches}, (m, i) -> struct(length(element_at({pieces}, i + 1)) AS gap, length(m) AS own, m AS value))"
+    begins = (f"aggregate(ps, struct(int({base}) AS at, CAST(array() AS array<int>) AS got), (s, p) -> struct("
+              "int(s.at + aggregate(p, 0, (n, x) -> int(n + x.gap + x.own))) AS at, concat(s.got, array(s.at)) AS got), s -> s.got)")
+    part = (f"aggregate(z.ps, struct(z.begins AS at, {_NO_SPANS} AS got), (s, x) -> struct(int(s.at + x.gap + x.own) AS at, "
+            f"concat(s.got, array(struct('{kind}' AS kind, int(s.at + x.gap) AS start, int(s.at + x.gap + x.own) AS end, x.value AS value))) AS got), s -> s.got)")
+    placed = f"flatten(transform(arrays_zip(ps, begins), z -> {part}))"
+    return _let(sized, "xs", _let(_parts("xs"), "ps", _let(begins, "begins", placed)))
 
 
 def _with_base(docs: DataFrame, text: str, to: str) -> DataFrame:
@@ -100,27 +119,52 @@ def _key(text: str) -> Column:
     return F.expr(f"CASE WHEN {text} = '' THEN concat('#', xxhash64(doc_id)) ELSE sha2({text}, 256) END")
 
 
+_NO_CUT = "CAST(array() AS array<struct<start: int, end: int, kind: string>>)"
+
+
 def _union(column: str) -> str:
-    """The union of overlapping spans, each named after its first, as SQL."""
-    return (
-        f"aggregate(array_sort(transform({column}, x -> struct(x.start AS start, x.end AS end, x.kind AS kind))), "
-        "CAST(array() AS array<struct<start: int, end: int, kind: string>>), (a, x) -> CASE "
-        "WHEN size(a) > 0 AND x.start < element_at(a, -1).end THEN concat(slice(a, 1, size(a) - 1), array(struct("
-        "element_at(a, -1).start AS start, greatest(element_at(a, -1).end, x.end) AS end, element_at(a, -1).kind AS kind))) "
-        "ELSE concat(a, array(x)) END)")
+    """The union of overlapping spans, each named after its first, as SQL.
+
+    The sorted spans' parts are united each, then joined: of a later part
+    only the spans that begin before the last end can belong to it.
+    """
+    one = (f"aggregate(p, {_NO_CUT}, (a, x) -> CASE "
+           "WHEN size(a) > 0 AND x.start < element_at(a, -1).end THEN concat(slice(a, 1, size(a) - 1), array(struct("
+           "element_at(a, -1).start AS start, greatest(element_at(a, -1).end, x.end) AS end, element_at(a, -1).kind AS kind))) "
+           "ELSE concat(a, array(x)) END)")
+    more = ("CASE WHEN size(a) = 0 OR size(u) = 0 OR element_at(u, 1).start >= element_at(a, -1).end THEN concat(a, u) ELSE concat("
+            "slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).start AS start, greatest(element_at(a, -1).end, "
+            "array_max(transform(filter(u, y -> y.start < element_at(a, -1).end), y -> y.end))) AS end, element_at(a, -1).kind AS kind)), "
+            "filter(u, y -> y.start >= element_at(a, -1).end)) END")
+    whole = f"aggregate(transform({_parts('ss')}, p -> {one}), {_NO_CUT}, (a, u) -> {more})"
+    return _let(f"array_sort(transform({column}, x -> struct(x.start AS start, x.end AS end, x.kind AS kind)))", "ss", whole)
 
 
 def _cut_out(text: str, cut: str, by: str) -> str:
-    """The text with each span x of a union replaced, as SQL."""
-    return (
-        f"concat(array_join(transform({cut}, (x, i) -> concat(substring({text}, "
-        f"CASE WHEN i = 0 THEN 1 ELSE element_at({cut}, i).end + 1 END, x.start - CASE WHEN i = 0 THEN 0 ELSE element_at({cut}, i).end END), "
-        f"{by})), ''), substring({text}, element_at({cut}, -1).end + 1))")
+    """The text with each span x of a union replaced, as SQL.
+
+    ``by`` may use ``piece``, the text from ``z.at`` on: it is cut into
+    pieces of some spans first, since finding a place takes as long as the
+    text before it.
+    """
+    begins = "transform(ps, (p, j) -> CASE WHEN j = 0 THEN 0 ELSE element_at(element_at(ps, j), -1).end END)"
+    before = "CASE WHEN i = 0 THEN z.at ELSE element_at(z.ps, i).end END"
+    part = (f"concat(array_join(transform(z.ps, (x, i) -> concat(substring(piece, {before} - z.at + 1, x.start - {before}), {by})), ''))")
+    part = _let(f"substring({text}, z.at + 1, element_at(z.ps, -1).end - z.at)", "piece", part)
+    parts = _let(cut, "cs", _let(_parts("cs"), "ps", _let(begins, "at", f"array_join(transform(arrays_zip(ps, at), z -> {part}), '')")))
+    return f"concat({parts}, substring({text}, element_at({cut}, -1).end + 1))"
+
+
+#: What a table may take to be broadcast.
+BROADCAST_BYTES = 16 << 20
+
+
+def _few(table: DataFrame, size: str) -> DataFrame:
+    """Broadcast if the table, of rows of so many bytes (SQL), is small; else joined as Spark sees fit, with the same result."""
+    return F.broadcast(table) if (table.agg(F.sum(F.expr(f"32L + {size}"))).first()[0] or 0) <= BROADCAST_BYTES else table
 
 
-def _few(table: DataFrame, weight: str) -> DataFrame:
-    """Broadcast if the weights sum to little."""
-    return F.broadcast(table) if (table.agg(F.sum(F.expr(weight))).first()[0] or 0) <= 100_000 else table
+_TERM_BYTES = "aggregate(terms, 0L, (n, x) -> n + 48 + octet_length(x.value))"
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -132,7 +176,7 @@ def texts(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(_text().alias("text")).withColumn("key", F.sha2("text", 256)).dropDuplicates(["key"])
     rows = _with_base(rows, "text", "base").withColumn("cut", F.expr(_union("base")))
-    first, last = (f"CASE WHEN rlike(substring(text, {at}, 1), r'{_WORD}') THEN '{_MARK}' ELSE '' END" for at in ("x.start + 1", "x.end"))
+    first, last = (f"CASE WHEN rlike(substring(piece, {at} - z.at, 1), r'{_WORD}') THEN '{_MARK}' ELSE '' END" for at in ("x.start + 1", "x.end"))
     by = f"{first}, ' ', {last}"
     rest = f"CASE WHEN size(cut) > 0 THEN {_cut_out('text', 'cut', by)} ELSE text END"
     rows = rows.withColumn("rest", F.expr(rest)).select("key", "base", F.expr(
@@ -169,10 +213,10 @@ def _marked(docs: DataFrame, threshold: float = 0.9, support: int = 2) -> tuple[
     checkpoint_root(docs.sparkSession)
     known = texts(docs)
     terms = disclosing(known, threshold, support).select(F.col("term").alias("t")).distinct().checkpoint()
-    hits = known.select("key", F.explode("words").alias("word")).join(_few(terms, "1"), F.lower("word") == F.col("t")).groupBy(
+    hits = known.select("key", F.explode("words").alias("word")).join(_few(terms, "octet_length(t)"), F.lower("word") == F.col("t")).groupBy(
         F.col("key").alias("k")).agg(F.collect_set("word").alias("hit")).checkpoint()
     rows = docs.select(_text().alias("text")).withColumn("of", F.sha2("text", 256)).join(
-        _few(hits, "size(hit)"), F.col("of") == F.col("k")).drop("k").dropDuplicates(["of"])
+        _few(hits, "aggregate(hit, 0L, (n, x) -> n + 24 + octet_length(x))"), F.col("of") == F.col("k")).drop("k").dropDuplicates(["of"])
     rows = rows.join(known.where("size(base) > 0").select("key", "base"), F.col("of") == F.col("key"), "left")
     # longer spellings can't be cut short: what follows a match is no letter
     pattern = r"concat(r'(?<![\p{L}\p{N}])(?:', array_join(hit, '|'), r')(?![\p{L}\p{N}])')"
@@ -189,7 +233,7 @@ def spans(docs: DataFrame, **options) -> DataFrame:
     known, terms = _marked(docs, **options)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text")).select("doc_id", _key("text").alias("key"))
     based = known.where("size(base) > 0").select(F.col("key").alias("b"), "base")
-    rows = rows.join(based, F.col("key") == F.col("b"), "left").join(_few(terms, "size(terms)"), F.col("key") == F.col("of"), "left")
+    rows = rows.join(based, F.col("key") == F.col("b"), "left").join(_few(terms, _TERM_BYTES), F.col("key") == F.col("of"), "left")
     return rows.withColumn("base", F.expr(f"coalesce(base, {_NO_SPANS})")).select(
         "doc_id", "key", "base", F.expr(f"concat(base, coalesce(terms, {_NO_SPANS}))").alias("all"))
 
@@ -220,7 +264,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     may = F.expr(" OR ".join(f"({m.format(t="coalesce(CAST(text AS string), '')")})" for _, m in PATTERNS.values()))
     keyed = [_key("coalesce(CAST(text AS string), '')").alias("key"), F.struct(*docs.columns).alias("row")]
     hit = docs.where(may).select(*keyed).join(marked, F.col("key") == F.col("of"), "left").unionByName(
-        docs.where(~may).select(*keyed).join(_few(terms, "size(terms)").withColumnRenamed("terms", "all"), F.col("key") == F.col("of"), "left"))
+        docs.where(~may).select(*keyed).join(_few(terms, _TERM_BYTES).withColumnRenamed("terms", "all"), F.col("key") == F.col("of"), "left"))
     clean = _cut_out("row.text", "cut", "'[', upper(x.kind), ']'")
     hit = hit.withColumn("cut", F.expr(_union("all"))).withColumn("clean", F.expr(f"CASE WHEN size(cut) > 0 THEN {clean} END"))
     new = {"text": F.coalesce("clean", "row.text")}

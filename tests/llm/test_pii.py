@@ -4,7 +4,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from staykit.llm import pii
 from staykit.llm.pii import disclosing, report, sanitise, spans, texts
 
 BASE = {
@@ -139,3 +141,47 @@ def test_sanitised_text_and_clean_rows(docs_of):
 
 def test_empty_table(docs_of):
     assert report(docs_of([])).collect() == [] and sanitise(docs_of([])).collect() == []
+
+
+def test_spans_of_one_text_take_linear_time(docs_of):
+    import time
+
+    text = " ".join(f"10.{i // 65536}.{i // 256 % 256}.{i % 256}" for i in range(12_000))
+    docs = docs_of([(1, text), (2, "none")])
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in pii.report(docs).collect()}
+    assert got[1].n_ip == 12_000 and got[2].n_ip == 0
+    ends = [m.span() for m in re.finditer(r"[0-9.]+", text)]
+    assert got[1].spans == ",".join(f"ip:{a}:{z}" for a, z in ends)
+    assert pii.sanitise(docs).where("doc_id = 1").first().text == " ".join(["[IP]"] * 12_000)
+    assert time.perf_counter() - start < 60
+
+
+def test_unions_across_parts(spark):
+    import random
+
+    rnd = random.Random(4)
+    for n in (0, 1, 63, 64, 65, 400):
+        spans = []
+        for _ in range(n):
+            a = rnd.randint(0, 6 * n)
+            spans.append(("ip", a, a + rnd.choice([1, 2, 3, 9, 200]), "x"))
+        df = spark.createDataFrame([(spans,)], "c array<struct<kind:string,start:int,end:int,value:string>>")
+        got = [(r.start, r.end) for r in df.select(F.expr(pii._union("c")).alias("u")).first().u]
+        want = []
+        for _, a, z, _ in sorted(spans, key=lambda s: (s[1], s[2])):
+            if want and a < want[-1][1]:
+                want[-1] = (want[-1][0], max(want[-1][1], z))
+            else:
+                want.append((a, z))
+        assert got == want
+
+
+def test_broadcast_or_not_the_result_is_the_same(docs_of, monkeypatch):
+    rows = [(i, f"Write to jo{i // 2}@x.org about zebra{i // 2} and quagga now, please {i}") for i in range(40)] + [(i, f"plain words {i}") for i in range(100, 160)]
+    docs = docs_of(rows)
+    results = []
+    for most in (16 << 20, -1):
+        monkeypatch.setattr(pii, "BROADCAST_BYTES", most)
+        results.append((sorted(map(str, pii.report(docs).collect())), sorted(map(str, pii.sanitise(docs).collect()))))
+    assert results[0] == results[1] and any("term:" in r for r in results[0][0])
