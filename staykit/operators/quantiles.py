@@ -132,7 +132,7 @@ def quantile_values(df: DataFrame, columns: list[str], probs: list[float], bins:
 
     def value(c: str, p: float) -> float:
         pos, (a, b) = p * (n[c] - 1), _ranks(n[c], p)
-        return found[c, a] if a == b else (b - pos) * found[c, a] + (pos - a) * found[c, b]
+        return found[c, a] if found[c, a] == found[c, b] else (b - pos) * found[c, a] + (pos - a) * found[c, b]
 
     return {c: {p: value(c, p) for p in probs} for c in n}
 
@@ -190,7 +190,7 @@ def group_quantiles(df: DataFrame, by: list[str], columns: list[str], p: float,
     ends = targets.groupBy("g", "column_name", "n").agg(
         F.max(F.when(F.col("side") == "a", F.col("lo"))).alias("a"), F.max(F.when(F.col("side") == "b", F.col("lo"))).alias("b"))
     lower, higher = F.floor(pos), F.ceil(pos)
-    value = F.when(lower == higher, F.col("a")).otherwise((higher - pos) * F.col("a") + (pos - lower) * F.col("b"))
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((higher - pos) * F.col("a") + (pos - lower) * F.col("b"))
     return ends.select("g", "column_name", "n", value.alias("value"))
 
 

@@ -17,8 +17,8 @@ from .operators.validate import STRICT_FORMS
 from .plans.contracts import AGG_LISTING_FIELDS, CALENDAR_FIELDS, LISTING_FIELDS
 from .plans.listings import CONSTANT_FILLS, EXPLORE_COLUMNS, REQUIRED_COLUMNS, VALIDATED_COLUMNS
 from .registry import (
-    ANY_NULL_SUBSET, AREA, AS_OF, ASSOCIATED_COLUMNS, ASSOCIATED_LEVELS, ASSOCIATED_TEXT, CATEGORY_COLUMNS, CLUSTER_RADIUS, GROUP_LEVELS,
-    GROUP_MEDIAN_COLUMNS, GROUP_MODE_COLUMNS, GROUP_SUPPORT, HISTOGRAM_BINS, HISTOGRAM_COLUMN, HISTOGRAM_COLUMNS,
+    ANY_NULL_SUBSET, AREA, AS_OF, ASSOCIATED_COLUMNS, ASSOCIATED_LEVELS, ASSOCIATED_TEXT, CATEGORY_COLUMNS, CLUSTER_RADIUS, DRIFT_COLUMNS, GROUP_LEVELS,
+    GROUP_MEDIAN_COLUMNS, GROUP_MODE_COLUMNS, GROUP_SUPPORT, HEAVY_COLUMNS, HISTOGRAM_BINS, HISTOGRAM_COLUMN, HISTOGRAM_COLUMNS,
     MEAN_COLUMNS, MEDIAN_COLUMNS, MODE_COLUMNS, NOW, OUTLIER_COLUMNS, PIE_COLUMN,
     STATS_DIGITS, TOP_COLUMNS, TOP_K, UNUSUAL_COLUMNS, ZERO_COLUMNS,
 )
@@ -365,9 +365,9 @@ def _histogram(columns):
     return f"{L}\n" + union(_histogram_part(c, HISTOGRAM_BINS) for c in columns)
 
 
-def _top_values():
+def _top_values(columns=TOP_COLUMNS):
     stack = union(f"select '{c}' as column_name, cast({c} as varchar) as value from listings"
-                  for c in TOP_COLUMNS)
+                  for c in columns)
     return f"""{L},
 s as ({stack}),
 c as (select column_name, value, count(*) as count from s group by column_name, value),
@@ -627,6 +627,34 @@ def _grouped_impute(method, columns):
     return f"{L}\nselect {cols(out)} from listings l " + " ".join(joins)
 
 
+def _drift():
+    stack = union(f"select '{c}' as column_name, cast({nan_null(c, FIXED_TYPES[c])} as double) as v, 1 as a, 0 as b from fixed union all "
+                  f"select '{c}', cast({nan_null(c, FIXED_TYPES[c])} as double), 0, 1 from later" for c in DRIFT_COLUMNS)
+    cuts = union(f"select '{c}' as column_name, list_sort(list_distinct(quantile_cont(cast({nan_null(c, FIXED_TYPES[c])} as double), "
+                 f"[{', '.join(str(i / 10) for i in range(1, 10))}]))) as cuts from fixed" for c in DRIFT_COLUMNS)
+    return f"""{L}{FIXED_PRICE},
+later as (select * replace (price * 1.25e0 as price, case when accommodates > 6 then minimum_nights + 7 else minimum_nights end as minimum_nights)
+          from fixed where accommodates <= 12),
+s as (select column_name, v, a, b from ({stack}) where v is not null),
+r as (select column_name, v, sum(sum(a)) over (partition by column_name order by v) as a, sum(sum(b)) over (partition by column_name order by v) as b
+      from s group by column_name, v),
+n as (select column_name, sum(a)::bigint as na, sum(b)::bigint as nb from s group by column_name),
+k as (select column_name, max(abs(a::double / na - b::double / nb)) as ks from r join n using (column_name) group by column_name),
+q as ({cuts}),
+bins as (select column_name, unnest(range(0, len(cuts) + 1)) as bin from q),
+c as (select s.column_name, len(list_filter(cuts, lambda x: v > x)) as bin, sum(a) as a, sum(b) as b from s join q using (column_name) group by all),
+p as (select column_name, sum((greatest(coalesce(b, 0), 0.5e0)::double / nb - greatest(coalesce(a, 0), 0.5e0)::double / na)
+             * ln((greatest(coalesce(b, 0), 0.5e0)::double / nb) / (greatest(coalesce(a, 0), 0.5e0)::double / na))) as psi
+      from bins join c using (column_name, bin) join n using (column_name) group by column_name)
+select column_name, na as n_before, nb as n_after, round(ks, {DIG}) as ks, round(psi, {DIG}) as psi from n join k using (column_name) join p using (column_name)"""
+
+
+def _state():
+    keep = ("column_name, data_type, n_rows, missing_count, missing_percent, distinct_ok, zero_count, mean, stddev, min, max, "
+            "p25_ok, p50_ok, p75_ok")
+    return f"select {keep} from ({_profile(checked=True)})"
+
+
 _FITS = "regexp_full_match({c}, '[0-9]+(\\.0+)?')"
 
 
@@ -757,6 +785,9 @@ ORACLE: dict[str, str] = {
     "unusual_rows": _unusual(),
     "numeric_association": _numeric_association(),
     "text_association": _text_association(),
+    "heavy_hitters": _top_values(HEAVY_COLUMNS),
+    "drift_report": _drift(),
+    "profile_state": _state(),
     "missing_patterns": _patterns(),
     "co_missing": _co_missing(),
     "missing_effect": _missing_effect(),

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as X
-from .operators import areas, clusters, filters, geo, impute, missing, missing_patterns, multivariate, outliers, profile, validate
+from .operators import (
+    areas, clusters, drift, filters, geo, heavy_hitters, impute, missing, missing_patterns, multivariate, outliers, profile, profile_state, validate,
+)
 from .plans import contracts, listings, sinks
 from .plans.ingest import LOAD_ID, ingest_feed, ingest_with_stored_contract, rejects_table, violation_report
 from .session import shared_path
@@ -49,6 +51,8 @@ GROUP_LEVELS = [["accommodates", "room_type"], ["room_type"], []]
 GROUP_MEDIAN_COLUMNS = ["bedrooms", "beds", "review_scores_rating"]
 GROUP_MODE_COLUMNS = ["host_response_time", "property_type", "bedrooms"]
 GROUP_SUPPORT = 3
+HEAVY_COLUMNS = ["minimum_nights", "host_since", "license", "price", "host_neighbourhood", "host_id"]
+DRIFT_COLUMNS = ["price", "minimum_nights", "review_scores_rating", "beds", "latitude", "bathrooms"]
 AREA_CELL = 0.002
 CLUSTER_RADIUS = 6.0
 # every fixture column but the all-null ``bathrooms``
@@ -245,6 +249,24 @@ def _grouped_query(method, cols):
     return run
 
 
+def _after(spark, sf):
+    """A later load of the listings: dearer, some for longer stays, the large ones gone."""
+    return _fixed_price(spark, sf).where("accommodates <= 12").withColumns({
+        "price": F.col("price") * 1.25, "minimum_nights": F.when(F.col("accommodates") > 6, F.col("minimum_nights") + 7).otherwise(F.col("minimum_nights"))})
+
+
+def _merged_state(spark, sf):
+    """A profile from the states of three loads that together are the table."""
+    df, folder = _fixed_price(spark, sf), shared_path(spark, "states", unique=True)
+    for i, kind in enumerate(("Entire home/apt", "Private room", "Shared room")):
+        profile_state.save_state(df.where(F.col("room_type") == kind), folder, f"load{i}")
+    report = profile_state.state_report(profile_state.read_states(spark, folder))
+    true = profile.distinct_counts(df, df.columns).select(F.col("column_name").alias("_d"), F.col("distinct_count").alias("_n"))
+    n = F.coalesce("_n", F.lit(0).cast("long"))
+    report = report.join(F.broadcast(true), F.col("column_name") == F.col("_d"), "left")
+    return _checked(df, report.withColumn("distinct_ok", F.abs(F.col("distinct_count") - n) <= 3 * 0.008 * n + 1).drop("_d", "_n", "distinct_count"))
+
+
 def _boundaries(spark, sf):
     return features_from_docs(fixture(spark, sf, "areas"), geometry=True)
 
@@ -347,6 +369,9 @@ QUERIES: dict[str, Query] = {
     "numeric_association": lambda s, sf: multivariate.numeric_association(_fixed_price(s, sf), ASSOCIATED_COLUMNS, digits=STATS_DIGITS),
     "text_association": lambda s, sf: multivariate.text_association(
         _listings(s, sf), ASSOCIATED_TEXT, ASSOCIATED_LEVELS, digits=STATS_DIGITS),
+    "heavy_hitters": lambda s, sf: heavy_hitters.heavy_hitters(_listings(s, sf), HEAVY_COLUMNS, TOP_K),
+    "drift_report": lambda s, sf: drift.drift_report(_fixed_price(s, sf), _after(s, sf), DRIFT_COLUMNS, digits=STATS_DIGITS),
+    "profile_state": _merged_state,
     "value_counts": lambda s, sf: profile.value_counts(_pos_prices(s, sf), "minimum_nights"),
     "top_values": lambda s, sf: profile.top_values(_wide(s, sf), TOP_COLUMNS, TOP_K),
     "describe_long": lambda s, sf: profile.describe_long(_fixed_price(s, sf), digits=STATS_DIGITS),
