@@ -10,21 +10,25 @@ word repeated a thousand times in one text is one piece of evidence), D grows
 with the count (1, 1.8, 2.5: rare expressions fall back), ``g_c`` is the mass
 so taken, and ``p_shared`` is Kneser-Ney's continuation probability: the
 number of different left neighbours of w over *all* documents, labelled or
-not, estimated by linear counting in 64 bits.
+not. The vocabulary is closed: the tokens of two training documents or more,
+under their full 64-bit hash, and one symbol for all others, as words and as
+neighbours. So each class's probabilities add up to one, the neighbours are
+counted exactly (distinct pairs, grouped by Spark), and no table has a fixed
+size: the vocabulary follows the label sample, the pairs the corpus.
 
 A document's score compares its log-likelihoods under the two models,
 normalised by its number of distinct tokens: the mean log ratio, and the
 normalised sum of squared ratios above ``excess`` (a few strong expressions
 in a long text). A logistic curve over these turns them into a probability;
-it is fitted on training documents scored without their own counts.
+it is fitted on training documents scored without their own counts. (With the
+word before as a history of the class models, too, held-out precision and
+recall were lower: most of its counts are of single documents.)
 
 Labels are a bounded sample: the ``most_labelled`` labelled rows of lowest
-id hash, held-out rows excluded. Tokens are hashed to ``buckets`` cells, so
-the model is one fixed-size table, whatever the corpus: per-task tables are
-summed by Spark, and only the cells whose class counts exceed the discount
-come to the driver (2 ** bits rows at most) and are broadcast.
+id hash, held-out rows excluded. What comes to the driver and is broadcast
+is a row for each word of the vocabulary.
 
-Edge cases: null or empty text has no tokens and gets the curve's base score;
+Edge cases: null or empty text has no tokens and gets the curve's score for a ratio of zero;
 a null ``doc_id`` is not held out and never labelled; a doc_id labelled twice
 takes the larger label; null labels are ignored; without both classes in
 training every score is the share of toxic labels (0 if none); repeated rows
@@ -44,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_root
-from .kernel import Words, mix, slices
+from .kernel import Words, slices
 
 TOKEN_SPACE = np.ones(256, bool)
 TOKEN_SPACE[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = False
@@ -65,114 +69,143 @@ def training_labels(labels: DataFrame, most: int = 200_000) -> DataFrame:
     return rows.where(~held_out(F.col("label_id"))).orderBy(F.xxhash64("label_id"), "label_id").limit(most)
 
 
-def _tokens(column, bits: int) -> tuple[Words, np.ndarray]:
-    w = Words(column, space=TOKEN_SPACE)
-    return w, (w.hash >> np.uint64(64 - bits)).astype(np.int64)
+def _distinct(doc: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (document, token) pairs."""
+    order = np.lexsort((token, doc))
+    doc, token = doc[order], token[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (token[1:] != token[:-1])
+    return doc[new], token[new]
 
 
-def _pairs(w: Words, cell: np.ndarray, bits: int, docs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, cell) pairs, of the marked documents."""
-    doc = w.doc
-    if docs is not None:
-        use = docs[doc]
-        doc, cell = doc[use], cell[use]
-    pair = np.unique((doc << bits) | cell)
-    return pair >> bits, pair & ((1 << bits) - 1)
+def _number(vocabulary: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Each token's place in the sorted vocabulary from 1 on; 0 for any other."""
+    if not len(vocabulary):
+        return np.zeros(len(token), np.int64)
+    at = np.minimum(np.searchsorted(vocabulary, token), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == token, at + 1, 0)
 
 
-_CELLS = "cell int, mask long, toxic int, ordinary int"
+_WORDS = "token long, toxic long, ordinary long"
 
 
-def cells(docs: DataFrame, bits: int) -> DataFrame:
-    """(cell, mask, toxic, ordinary) summed over all rows of (text, toxic)."""
+def _by_class(w: Words, token: np.ndarray, label: np.ndarray) -> list[pa.Array]:
+    """Distinct tokens of a batch, and how many documents of each class hold them."""
+    doc, token = _distinct(w.doc, token)
+    found, at = np.unique(token, return_inverse=True)
+    return [pa.array(found.view(np.int64))] + [
+        pa.array(np.bincount(at, label[doc] == c, minlength=len(found)).astype(np.int64)) for c in (1, 0)]
+
+
+def vocabulary(known: DataFrame) -> DataFrame:
+    """(token, toxic, ordinary) of the tokens that two documents or more of (text, toxic) hold."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 4 << 20):
+            w = Words(part.column("text"), space=TOKEN_SPACE)
+            yield pa.RecordBatch.from_arrays(_by_class(w, w.hash, part.column("toxic").to_numpy()), names=["token", "toxic", "ordinary"])
+
+    return known.select("text", "toxic").mapInArrow(scan, _WORDS).groupBy("token").agg(
+        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).where("toxic + ordinary > 1")
+
+
+def unknown_words(known: DataFrame, words) -> DataFrame:
+    """(toxic, ordinary): documents of each class that hold a token outside the vocabulary (``words``, a broadcast of it)."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(2, np.int64)
+        for part in slices(batches, "text", 4 << 20):
+            w = Words(part.column("text"), space=TOKEN_SPACE)
+            holds = np.unique(w.doc[_number(words.value, w.hash) == 0])
+            label = part.column("toxic").to_numpy()[holds]
+            count += [(label == 1).sum(), (label == 0).sum()]
+        yield pa.RecordBatch.from_arrays([pa.array(count[:1]), pa.array(count[1:])], names=["toxic", "ordinary"])
+
+    return known.select("text", "toxic").mapInArrow(scan, "toxic long, ordinary long").agg(F.sum("toxic"), F.sum("ordinary"))
+
+
+#: Pairs a task keeps before it sends them on.
+_HELD = 4 << 20
+
+
+def continuations(docs: DataFrame, words, size: int) -> DataFrame:
+    """(word, n): different left neighbours of each numbered word over all documents.
+
+    Words and neighbours are numbers of the vocabulary, 0 for all others; a
+    document's first token has its beginning as neighbour. A task sends each
+    pair once (or a few times, if it has very many), and pairs are spread by
+    their hash, so a frequent word is no hot key.
+    """
+    wide = size + 2
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.zeros(1 << bits, np.uint64)
-        count = np.zeros((2, 1 << bits), np.int32)
+        held = np.zeros(0, np.int64)
         for part in slices(batches, "text", 4 << 20):
-            w, cell = _tokens(part.column("text"), bits)
-            if len(cell):
-                left = np.zeros(len(cell), np.uint64)       # a document's first token has no neighbour
-                left[1:] = w.hash[:-1]
-                left[w.first[:-1][w.count > 0]] = 0
-                seen = np.unique((cell << 6) | (mix(left) >> np.uint64(58)).astype(np.int64))
-                at = seen >> 6
-                new = np.flatnonzero(np.diff(at, prepend=-1))
-                mask[at[new]] |= np.bitwise_or.reduceat(np.uint64(1) << (seen & 63).astype(np.uint64), new)
-            label = part.column("toxic").fill_null(-1).to_numpy()
-            for c in (0, 1):
-                if len(cell) and (label == c).any():
-                    count[c] += np.bincount(_pairs(w, cell, bits, label == c)[1], minlength=1 << bits).astype(np.int32)
-        full = np.flatnonzero(mask)
-        for i in range(0, len(full), 1 << 16):
-            f = full[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f.astype(np.int32)), pa.array(mask[f].view(np.int64)), pa.array(count[1][f]), pa.array(count[0][f])],
-                names=["cell", "mask", "toxic", "ordinary"])
-
-    return docs.select("text", "toxic").mapInArrow(scan, _CELLS).groupBy("cell").agg(
-        F.bit_or("mask").alias("mask"), F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+            w = Words(part.column("text"), space=TOKEN_SPACE)
+            number = _number(words.value, w.hash)
+            left = np.empty_like(number)
+            left[1:] = number[:-1]
+            left[w.first[:-1][w.count > 0]] = size + 1
+            held = np.union1d(held, left * wide + number)
+            if len(held) > _HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(held)], names=["pair"])
+                held = np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(held)], names=["pair"])
+
+    pairs = docs.select("text").mapInArrow(scan, "pair long").distinct()
+    return pairs.groupBy(F.pmod("pair", F.lit(wide)).alias("word")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _discounted(n: np.ndarray) -> np.ndarray:
-    return np.maximum(n - DISCOUNTS[np.minimum(n, 3)].astype(np.float32), 0)
+    return np.maximum(n - DISCOUNTS[np.minimum(n, 3)], 0)
 
 
 @dataclass
 class Counts:
-    """Class counts and shared backoff of every cell.
-
-    ``total`` and ``mass`` are the classes' token counts and backoff weights.
-    Cells with counts at or below the first discount may hold zeros: they
-    fall back either way.
-    """
+    """Class counts and shared continuation probabilities of the words 0 (all others), 1, 2, ..."""
 
+    words: np.ndarray                    # sorted hashes of the words from 1 on
     toxic: np.ndarray
     ordinary: np.ndarray
     shared: np.ndarray
-    total: tuple[int, int]
-    mass: tuple[float, float]
-
-    @classmethod
-    def collect(cls, table: DataFrame, bits: int) -> Counts:
-        """From the summed cells; two small results come to the driver."""
-        table = table.checkpoint()
-        left = F.least(F.bit_count("mask").cast("double"), F.lit(63.5))
-        spread = -64 * F.log1p(-left / 64)                    # linear counting of left neighbours
-
-        def taken(c: str):
-            return F.sum(F.element_at(F.array(*[F.lit(float(d)) for d in DISCOUNTS]), F.least(F.col(c), F.lit(3)).cast("int") + 1))
-
-        n = [x or 0 for x in table.agg(F.sum("toxic"), F.sum("ordinary"), taken("toxic"), taken("ordinary"), F.sum(spread)).first()]
-        total = (max(1, n[0]), max(1, n[1]))
-        mass = tuple(max(1 / t, float(d) / t) for t, d in zip(total, n[2:4]))
-        # half a neighbour for every cell, so that the unseen have a share
-        weight = (spread + 0.5) / (float(n[4]) + 0.5 * (1 << bits))
-        got = table.where("toxic > 1 OR ordinary > 1").select(
-            "cell", F.col("toxic").cast("int"), F.col("ordinary").cast("int"), weight.cast("float").alias("shared")).toArrow()
-        at = got["cell"].to_numpy()
-        arrays = [np.zeros(1 << bits, t) for t in (np.int32, np.int32, np.float32)]
-        for array, name in zip(arrays, ("toxic", "ordinary", "shared")):
-            array[at] = got[name].to_numpy()
-        return cls(*arrays, total, mass)
-
-    def ratio(self, cell: np.ndarray, own_toxic=0, own_ordinary=0) -> np.ndarray:
-        """Log-likelihood ratio of each cell, without one's own counts.
-
-        Where both classes fall back to the shared counts they say the same
-        of the token: zero.
+
+    def __post_init__(self):
+        own = (self.toxic, self.ordinary)
+        self.total = tuple(max(1, int(n.sum())) for n in own)
+        self.mass = tuple(1 - float(_discounted(n).sum()) / t for n, t in zip(own, self.total))
+
+    def probability(self, word: np.ndarray, toxic: bool, own=0) -> np.ndarray:
+        """p(w | c), without one's own counts."""
+        n, total, mass = (x[0 if toxic else 1] for x in ((self.toxic, self.ordinary), self.total, self.mass))
+        return _discounted(np.maximum(n[word] - own, 0)) / total + mass * self.shared[word]
+
+    def ratio(self, word: np.ndarray, own_toxic=0, own_ordinary=0) -> np.ndarray:
+        """Log-likelihood ratio of each word, without one's own counts.
+
+        A word that no other training document holds says nothing: there, the
+        ratio would be that of the classes' sizes.
         """
-        d = [_discounted(n[cell] - own) for n, own in ((self.toxic, own_toxic), (self.ordinary, own_ordinary))]
-        out = np.zeros(len(cell))
-        some = (d[0] > 0) | (d[1] > 0)
-        p = [x[some] / t + g * self.shared[cell[some]].astype(float) for x, t, g in zip(d, self.total, self.mass)]
-        out[some] = np.log(p[0]) - np.log(p[1])
-        return out
+        seen = (self.toxic[word] > own_toxic) | (self.ordinary[word] > own_ordinary)
+        return np.where(seen, np.log(self.probability(word, True, own_toxic)) - np.log(self.probability(word, False, own_ordinary)), 0.0)
 
     def ratios(self) -> np.ndarray:
-        """Of all cells, a part at a time."""
-        n = len(self.toxic)
-        step = min(n, 1 << 18)
-        return np.concatenate([self.ratio(np.arange(i, i + step)).astype(np.float32) for i in range(0, n, step)])
+        return self.ratio(np.arange(len(self.toxic)))
+
+
+def count(docs: DataFrame, known: DataFrame) -> Counts:
+    """From all documents (text) and the label sample's (text, toxic)."""
+    context = docs.sparkSession.sparkContext
+    got = vocabulary(known).toArrow()                      # bounded by the label sample
+    token = got["token"].to_numpy().view(np.uint64)
+    order = np.argsort(token)
+    words = token[order]
+    held = context.broadcast(words)
+    rest = [x or 0 for x in unknown_words(known, held).first()]
+    left = np.zeros(len(words) + 1)
+    for r in continuations(docs, held, len(words)).toArrow().to_batches():
+        left[r["word"].to_numpy()] = r["n"].to_numpy()
+    held.destroy()
+    toxic, ordinary = (np.append(x, got[c].to_numpy()[order]).astype(np.int64) for x, c in zip(rest, ("toxic", "ordinary")))
+    # half a neighbour for every word, so that each has a share
+    return Counts(words, toxic, ordinary, (left + 0.5) / (left + 0.5).sum())
 
 
 def features(doc: np.ndarray, ratio: np.ndarray, docs: int, excess: float) -> np.ndarray:
@@ -216,49 +249,49 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Curve:
 
 @dataclass
 class Model:
-    bits: int
     excess: float
-    ratios: np.ndarray | None            # of each cell; None: every score is ``base``
+    words: np.ndarray | None             # the vocabulary; None: every score is ``base``
+    ratios: np.ndarray | None            # of each word
     curve: Curve | None
     base: float
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        if self.ratios is None:
+        if self.words is None:
             return np.full(len(column), self.base)
-        w, cell = _tokens(column, self.bits)
-        doc, cell = _pairs(w, cell, self.bits)
-        return self.curve(features(doc, self.ratios[cell], w.n_docs, self.excess))
+        w = Words(column, space=TOKEN_SPACE)
+        doc, word = _distinct(w.doc, _number(self.words, w.hash))
+        return self.curve(features(doc, self.ratios[word], w.n_docs, self.excess))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = 200_000, bits: int = 22, excess: float = 1.5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = 200_000, excess: float = 1.5) -> Model:
     """Counts over all documents, class counts and curve from the label sample."""
     checkpoint_root(docs.sparkSession)
     sample = F.broadcast(training_labels(labels, most_labelled).checkpoint())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = rows.join(sample, F.col("doc_id") == F.col("label_id"), "left").select("text", "toxic")
-    counts = Counts.collect(cells(marked, bits), bits)
+    known = rows.join(sample, F.col("doc_id") == F.col("label_id")).select("text", "toxic")
     tally = dict(sample.groupBy("toxic").count().collect())
     base = tally.get(1, 0) / max(1, sum(tally.values()))
     if len(tally) < 2:
-        return Model(bits, excess, None, None, base)
-
+        return Model(excess, None, None, None, base)
+    counts = count(rows, known)
     held = docs.sparkSession.sparkContext.broadcast(counts)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 4 << 20):
-            w, cell = _tokens(part.column("text"), bits)
-            doc, cell = _pairs(w, cell, bits)
+            w = Words(part.column("text"), space=TOKEN_SPACE)
+            doc, word = _distinct(w.doc, _number(held.value.words, w.hash))
             label = part.column("toxic").to_numpy()
             own = label[doc] == 1
-            x = features(doc, held.value.ratio(cell, own.astype(np.int32), (~own).astype(np.int32)), w.n_docs, excess)
+            x = features(doc, held.value.ratio(word, own.astype(np.int64), (~own).astype(np.int64)), w.n_docs, excess)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(3)] + [pa.array(label)], names=["a", "b", "c", "y"])
 
-    known = rows.join(sample, F.col("doc_id") == F.col("label_id")).select("text", "toxic")
     table = known.mapInArrow(scan, "a double, b double, c double, y int").toArrow()
+    held.destroy()
+    if not table.num_rows:                                 # labels of other documents only
+        return Model(excess, None, None, None, base)
     x = np.stack([table[c].to_numpy() for c in "abc"], axis=1)
     curve = logistic(x, (table["y"].to_numpy() == 1).astype(float))
-    held.destroy()
-    return Model(bits, excess, counts.ratios(), curve, base)
+    return Model(excess, counts.words, counts.ratios(), curve, base)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:

@@ -1,10 +1,13 @@
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from staykit.llm import toxicity as X
+from staykit.llm.kernel import Words
 
 BAD = ["scum", "idiot", "trash"]
 
@@ -47,38 +50,65 @@ def test_labels_of_the_held_out_fold_change_nothing(docs_of, spark):
     assert np.array_equal(a.ratios, b.ratios) and np.allclose(a.curve.weights, b.curve.weights)
 
 
-def test_counts_are_documents_and_probabilities_sum_to_one(docs_of, spark):
-    docs = docs_of([(1, "bad bad Bad word"), (2, "bad good"), (3, "good good"), (4, "new")])
-    marked = docs.selectExpr("text", "case doc_id when 1 then 1 when 2 then 0 end as toxic")
-    bits = 16
-    rows = X.cells(marked, bits).collect()
-    cell = {w: int(X._tokens(__import__("pyarrow").array([w]), bits)[1][0]) for w in ("bad", "word", "good", "new")}
-    got = {r.cell: (r.toxic, r.ordinary) for r in rows}
-    assert got == {cell["bad"]: (1, 1), cell["word"]: (1, 0), cell["good"]: (0, 1), cell["new"]: (0, 0)}
-    c = X.Counts.collect(X.cells(marked, bits), bits)
-    assert c.total == (2, 2) and not c.toxic.any()            # nothing above the discount: all mass is shared
-    assert c.ratio(np.array([cell["bad"], cell["new"]])).tolist() == [0, 0]
+def plain_counts(rows, toxic):
+    """Class counts, vocabulary and left neighbours, word by word."""
+    tokens = [re.findall(r"[0-9a-z\u0080-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in t or "")) for _, t in rows]
+    held = [(toxic.get(i), ws) for (i, _), ws in zip(rows, tokens)]
+    seen = Counter(w for c, ws in held if c is not None for w in set(ws))
+    words = {w for w, n in seen.items() if n > 1}
+    count = [Counter(w if w in words else None for c, ws in held if c == k for w in {x if x in words else None for x in ws}) for k in (1, 0)]
+    left = {(a if a in words or a == "" else None, w if w in words else None) for _, ws in held for a, w in zip(["", *ws], ws)}
+    return words, count, Counter(w for _, w in left)
 
 
-def test_class_model_sums_to_one_and_matches_a_plain_computation(docs_of, spark):
+def test_counts_and_probabilities_match_a_plain_computation_and_sum_to_one(docs_of, spark):
     rows, labels = made(200)
-    toxic = {i: t for i, _, t in labels}
-    marked = spark.createDataFrame([(t, toxic[i]) for i, t in rows], "text string, toxic int")
-    bits = 18
-    c = X.Counts.collect(X.cells(marked, bits), bits)
-    tokens = [[t.lower().strip(",.") for t in text.split()] for _, text in rows]
-    count = [Counter(w for (i, _), ws in zip(rows, tokens) for w in set(ws) if toxic[i] == k) for k in (1, 0)]
+    rows += [(900 + i, f"new{i} scum word{i % 3} the") for i in range(30)] + [(990, None), (991, "")]
+    toxic = {i: t for i, _, t in labels if i % 4 != 1}
+    docs = docs_of(rows)
+    known = spark.createDataFrame([(t, toxic[i]) for i, t in rows if i in toxic], "text string, toxic int")
+    c = X.count(docs, known)
+    words, count, left = plain_counts(rows, toxic)
+    assert len(c.words) == len(words) and (np.diff(c.words.view(np.int64).astype(object)) != 0).all()
+    total = sum(left.values()) + 0.5 * (len(words) + 1)
     drop = [0, 1, 1.8, 2.5]
-    assert c.total == tuple(sum(n.values()) for n in count)
-    assert np.allclose(c.mass, [sum(drop[min(x, 3)] for x in n.values()) / sum(n.values()) for n in count])
-    assert c.shared.sum() < 1
-    import pyarrow as pa
-    for w in set(count[0]) | set(count[1]):
-        a, b = (n[w] - drop[min(n[w], 3)] for n in count)
-        at = X._tokens(pa.array([w]), bits)[1]
-        s = float(c.shared[at[0]])
-        want = np.log((a / c.total[0] + c.mass[0] * s) / (b / c.total[1] + c.mass[1] * s)) if a > 0 or b > 0 else 0
-        assert abs(c.ratio(at)[0] - want) < 1e-4
+    for w in [None, *sorted(words)]:
+        at = np.zeros(1, np.int64) if w is None else X._number(c.words, Words(pa.array([w]), space=X.TOKEN_SPACE).hash)
+        assert (w is None) == (at[0] == 0)
+        for k, got in ((0, c.toxic), (1, c.ordinary)):
+            n, size = count[k][w], sum(count[k].values())
+            mass = sum(min(x, drop[min(x, 3)]) for x in count[k].values()) / size
+            assert got[at[0]] == n
+            want = max(n - drop[min(n, 3)], 0) / size + mass * (left[w] + 0.5) / total
+            assert abs(c.probability(at, k == 0)[0] - want) < 1e-12
+    for k in (True, False):
+        assert abs(c.probability(np.arange(len(c.toxic)), k).sum() - 1) < 1e-9
+
+
+def test_scores_match_a_plain_computation_from_end_to_end(docs_of, spark):
+    rows, labels = made(160)
+    docs = docs_of(rows)
+    model = X.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    train = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    words, count, left = plain_counts(rows, train)
+    total, drop = sum(left.values()) + 0.5 * (len(words) + 1), [0, 1, 1.8, 2.5]
+
+    def p(w, k, own):
+        n, size = max(count[k][w] - own, 0), sum(count[k].values())
+        return max(n - drop[min(n, 3)], 0) / size + sum(min(x, drop[min(x, 3)]) for x in count[k].values()) / size * (left[w] + 0.5) / total
+
+    def plain(text, label):
+        ws = {w if w in words else None for w in re.findall(r"[0-9a-z\u0080-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text))}
+        r = [np.log(p(w, 0, int(label == 1))) - np.log(p(w, 1, int(label == 0)))
+             if count[0][w] > (label == 1) or count[1][w] > (label == 0) else 0.0 for w in ws]
+        over = sum(max(x - 1.5, 0) ** 2 for x in r)
+        return [sum(r) / len(r), (over / len(r)) ** 0.5, np.log1p(over / len(r) ** 0.5)]
+
+    known = [(plain(t, train[i]), train[i]) for i, t in rows if i in train]
+    curve = X.logistic(np.array([x for x, _ in known]), np.array([float(y) for _, y in known]))
+    got = {r.doc_id: r.score for r in X.score(docs, model).collect()}
+    for i, t in rows:
+        assert abs(got[i] - float(curve(np.array([plain(t, None)]))[0])) < 1e-6
 
 
 def test_no_training_rows_and_empty_tables(docs_of, spark):
