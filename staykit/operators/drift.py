@@ -90,4 +90,4 @@ def drift_report(before: DataFrame, after: DataFrame, columns: list[str] | None
     ks = ks_statistic(before, after, shared)
     found = before.sparkSession.createDataFrame([(c, psi.get(c)) for c in shared], "_p string, psi double")
     return ks.join(F.broadcast(found), F.col("column_name") == F.col("_p"), "left").select(
-        "column_name", "n_before", "n_after", _round(F.col("ks"), digits).alias("ks"), _round(F.col("psi"), digits).alias("psi"))
+        "column_name", "n_before", "n_after", _round(F.col("ks"), digits).alias("ks"), (_round(F.col("psi"), digits) + F.lit(0.0)).alias("psi"))

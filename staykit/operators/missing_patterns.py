@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_missing
 from ..session import checkpoint_root
+from .multivariate import _unsigned
 from .profile import _round
 from .quantiles import _present, empty_report
 
@@ -62,7 +63,7 @@ def co_missing(df: DataFrame, columns: list[str] | None = None, digits: int | No
     n, x, y = (F.col(c).cast("double") for c in ("n", "na", "nb"))
     phi = F.when((F.col("na") < F.col("n")) & (F.col("nb") < F.col("n")),
                  (n * F.col("n_both") - x * y) / (F.sqrt(x * (n - x)) * F.sqrt(y * (n - y))))
-    out = pairs.withColumn("phi", _round(phi, digits)).drop("na", "nb", "n")
+    out = pairs.withColumn("phi", _unsigned(phi, digits)).drop("na", "nb", "n")
     return out.orderBy(F.array_position(order, F.col("column_a")), F.array_position(order, F.col("column_b")))
 
 
@@ -86,6 +87,6 @@ def missing_effect(df: DataFrame, value: str, columns: list[str] | None = None,
         nm, np_, am, ap, vm, vp = (F.col(f"{k}{s}{i}") for k in "nav" for s in "mp")
         error = vm / nm + vp / np_
         structs.append(F.struct(F.lit(c).alias("column_name"), nm.alias("n_missing"), np_.alias("n_present"), _round(am, digits).alias("mean_missing"),
-                                _round(ap, digits).alias("mean_present"), _round(am - ap, digits).alias("difference"),
-                                _round(F.when((nm > 1) & (np_ > 1) & (error > 0), (am - ap) / F.sqrt(error)), digits).alias("t")))
+                                _round(ap, digits).alias("mean_present"), _unsigned(am - ap, digits).alias("difference"),
+                                _unsigned(F.when((nm > 1) & (np_ > 1) & (error > 0), (am - ap) / F.sqrt(error)), digits).alias("t")))
     return df.agg(*aggs).select(F.inline(F.array(*structs)))

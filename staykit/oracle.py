@@ -586,7 +586,7 @@ def _co_missing():
                      f"count(*) filter (where not {x} and not {y}) as n_neither from listings")
     na, nb, n = "(n_both + n_only_a)::double", "(n_both + n_only_b)::double", "(n_both + n_only_a + n_only_b + n_neither)::double"
     return f"""{L}, p as ({union(parts)})
-select *, round(case when {na} < {n} and {nb} < {n} then ({n} * n_both - {na} * {nb}) / (sqrt({na} * ({n} - {na})) * sqrt({nb} * ({n} - {nb}))) end, {DIG}) as phi
+select *, round(case when {na} < {n} and {nb} < {n} then ({n} * n_both - {na} * {nb}) / (sqrt({na} * ({n} - {na})) * sqrt({nb} * ({n} - {nb}))) end, {DIG}) + 0e0 as phi
 from p where {na} > 0 and {nb} > 0"""
 
 
@@ -600,8 +600,8 @@ def _missing_effect():
                      f"avg(price) filter (where {m}) as am, avg(price) filter (where not {m}) as ap, "
                      f"var_samp(price) filter (where {m}) as vm, var_samp(price) filter (where not {m}) as vp from fixed")
     return f"""{L}{FIXED_PRICE}, p as ({union(parts)})
-select column_name, nm as n_missing, np as n_present, round(am, {DIG}) as mean_missing, round(ap, {DIG}) as mean_present, round(am - ap, {DIG}) as difference,
-       round(case when nm > 1 and np > 1 and vm / nm + vp / np > 0 then (am - ap) / sqrt(vm / nm + vp / np) end, {DIG}) as t from p"""
+select column_name, nm as n_missing, np as n_present, round(am, {DIG}) as mean_missing, round(ap, {DIG}) as mean_present, round(am - ap, {DIG}) + 0e0 as difference,
+       round(case when nm > 1 and np > 1 and vm / nm + vp / np > 0 then (am - ap) / sqrt(vm / nm + vp / np) end, {DIG}) + 0e0 as t from p"""
 
 
 def _grouped_impute(method, columns):
@@ -646,7 +646,7 @@ c as (select s.column_name, len(list_filter(cuts, lambda x: v > x)) as bin, sum(
 p as (select column_name, sum((greatest(coalesce(b, 0), 0.5e0)::double / nb - greatest(coalesce(a, 0), 0.5e0)::double / na)
              * ln((greatest(coalesce(b, 0), 0.5e0)::double / nb) / (greatest(coalesce(a, 0), 0.5e0)::double / na))) as psi
       from bins join c using (column_name, bin) join n using (column_name) group by column_name)
-select column_name, na as n_before, nb as n_after, round(ks, {DIG}) as ks, round(psi, {DIG}) as psi from n join k using (column_name) join p using (column_name)"""
+select column_name, na as n_before, nb as n_after, round(ks, {DIG}) as ks, round(psi, {DIG}) + 0e0 as psi from n join k using (column_name) join p using (column_name)"""
 
 
 def _state():
