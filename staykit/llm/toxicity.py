@@ -137,18 +137,20 @@ def continuations(docs: DataFrame, words, size: int) -> DataFrame:
     wide = size + 2
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
         for part in slices(batches, "text", 4 << 20):
             w = Words(part.column("text"), space=TOKEN_SPACE)
             number = _number(words.value, w.hash)
             left = np.empty_like(number)
             left[1:] = number[:-1]
             left[w.first[:-1][w.count > 0]] = size + 1
-            held = np.union1d(held, left * wide + number)
-            if len(held) > _HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(held)], names=["pair"])
-                held = np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(held)], names=["pair"])
+            held.append(np.unique(left * wide + number))
+            if sum(map(len, held)) > _HELD:
+                held = [np.unique(np.concatenate(held))]
+                if len(held[0]) > _HELD // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(held.pop())], names=["pair"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], names=["pair"])
 
     pairs = docs.select("text").mapInArrow(scan, "pair long").distinct()
     return pairs.groupBy(F.pmod("pair", F.lit(wide)).alias("word")).agg(F.count(F.lit(1)).alias("n"))
